@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statbank import schema as S
 from statbank.operators import metadata
 from statbank.plans.store import Store
+from statbank.session import materialized
 
 # Metadata derivations in the SQL that Spark and the oracle engine share; {name} is a table.
 VARIABLES_SQL = """
@@ -178,6 +179,12 @@ class Tables:
     def store(self) -> Store:
         return Store.of(self.facts, self.variables, self.subjects, self.subjects_en, self.variables_en)
 
+    @cached_property
+    def stored(self) -> Store:
+        """The store with its facts written once, as build_store leaves them."""
+        facts = materialized(self.facts, "facts")
+        return Store.of(facts, self.variables, self.subjects, self.subjects_en, self.variables_en)
+
     @cached_property
     def pages(self) -> DataFrame:
         """Landed metadata pages of 100 ids each; every seventh page never arrived."""

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from catalog import filters, projections, sources  # noqa: F401
+from catalog import api, filters, ordering, projections, relations, sources  # noqa: F401

@@ -130,7 +130,8 @@ def _(t):
 
 
 def _laid_out(t):
-    return export_store(t.store, workspace(t.spark, "store"))
+    """The whole store, laid out: facts are stored once, then planned and written in parts."""
+    return export_store(t.stored, workspace(t.spark, "store"))
 
 
 @query(
@@ -173,7 +174,7 @@ ON f.unitLevel = r.unitLevel AND f.variable_id BETWEEN r.lo AND r.hi""",
 )
 def _(t):
     folder = workspace(t.spark, "parts")
-    layout.write_parts(t.facts, folder)
+    layout.write_parts(t.stored.facts, folder)
     return scan.read_parts(t.spark, folder)
 
 

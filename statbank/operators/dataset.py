@@ -42,7 +42,7 @@ def estimate(total: DataFrame) -> DataFrame:
     """Size text and feasibility flag from a one-row frame with the column `total`."""
     size = F.col("total") * S.BYTES_PER_ROW
     kilobytes = F.concat(F.greatest(F.lit(1), F.floor(size / 1e3 + 0.5)).cast("string"), F.lit(" KB"))
-    small_mb = F.concat(F.format_number(size / 1e6, "0.0"), F.lit(" MB"))
+    small_mb = F.concat(F.format_number(size / 1e6, 1), F.lit(" MB"))
     large_mb = F.concat(F.floor(size / 1e6 + 0.5).cast("string"), F.lit(" MB"))
     return total.select(
         "total",

@@ -152,3 +152,17 @@ def axes(codebook: DataFrame) -> DataFrame:
         F.get("labels", F.col("i")).alias("label"),
         F.get("labels_en", F.col("i")).alias("label_en"),
     )
+
+
+def panel(codebook: DataFrame) -> DataFrame:
+    """Everything a facet panel shows: axes, labels, ordered values and initial ticks."""
+    ticked = facet_defaults(codebook).withColumn("tick", F.lit(True))
+    values = ranked_values(facet_values(codebook))
+    return (
+        values.join(axes(codebook), ["subjectId", "dim"])
+        .join(ticked, ["subjectId", "dim", "value"], "left")
+        .select(
+            "subjectId", "dim", "axis", "label", "label_en", "value", "value_en", "position",
+            F.coalesce("tick", F.lit(False)).alias("ticked"),
+        )
+    )

@@ -27,3 +27,10 @@ def plan_bytes(df: DataFrame) -> int:
 def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast when the estimate is within `limit`; otherwise leave the join to AQE."""
     return F.broadcast(df) if plan_bytes(df) <= limit else df
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back, so later passes do not recompute it."""
+    path = workspace(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

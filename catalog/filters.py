@@ -168,9 +168,9 @@ def _(t):
     ),
 )
 def _(t):
-    documents = t.source("documents").select("doc_id", text.fold(F.col("text")).alias("key"))
+    documents = t.source("documents")
     names = t.source("part").select(F.col("p_name").alias("qid"), F.col("p_name").alias("query")).distinct()
-    return match.match_terms(documents, names, "doc_id", ["key"])
+    return match.match_terms(documents, names, "doc_id", ["text"], staged=True, folded=False)
 
 
 PICK = """

@@ -133,7 +133,7 @@ class Tables:
         )
         gap = (F.col("variable_id") + F.col("year")) % 11 == 0
         value, attr = F.when(~gap, F.col("quantity")), F.col("line").cast("tinyint")
-        return merged.withColumns({"value": value, "attr_id": attr}).select(*[f.name for f in S.FACT.fields])
+        return merged.withColumns({"value": value, "attr_id": attr}).select(*S.FACT.names)
 
     @cached_property
     def facts(self) -> DataFrame:

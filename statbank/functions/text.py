@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from statbank import schema as S
 
 SPACE = r"[\s\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]+"
-
 # Suffixes of the light English stemmer, in the order they are tried, and
 # spacing marks that a typed query loses together with its accents.
 SUFFIXES = ("ments", "ment", "tions", "tion", "sions", "sion", "ing", "ers", "ed", "es", "s")
@@ -66,6 +65,12 @@ def terms(c: Column) -> Column:
     return F.filter(F.split(fold_query(c), SPACE), lambda t: t != "")
 
 
+def words(c: Column) -> Column:
+    """The different words of a text. Splitting at the common blanks is enough to look up
+    query words, which contain no blank of any kind, and much faster than splitting at all."""
+    return F.array_distinct(F.split(c, r"\s+"))
+
+
 def null_tokens(c: Column) -> Column:
     """NULL for the empty string and for 'NA' (English labels)."""
     return F.nullif(F.nullif(c, F.lit("")), F.lit(S.MISSING))

@@ -6,13 +6,16 @@ short character gram (an equi join), and the few candidates are verified with co
 No text is compared with all queries, and no text is shuffled: only its distinct words are.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from statbank.functions import text
-from statbank.operators.filters import long_enough
+from statbank.operators.filters import all_of, any_of, long_enough
+from statbank.session import materialized, small_side
 
 GRAM = 3
+LISTED_FORMS = 256
 
 
 def _gram_set(c: Column) -> Column:
@@ -34,13 +37,16 @@ def _first_gram(c: Column) -> Column:
 
 
 def substring_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
-    """(needle, haystack) for every haystack that contains the needle; both sides distinct."""
+    """Every (needle, haystack row) with the needle inside the column `haystack`.
+
+    Needles are distinct. A haystack has each of its grams once, so a pair comes up once.
+    """
     left = needles.select("needle", _first_gram(F.col("needle")).alias("gram"))
-    right = haystacks.select("haystack", F.explode(_gram_set(F.col("haystack"))).alias("gram"))
+    right = haystacks.select("*", F.explode(_gram_set(F.col("haystack"))).alias("gram"))
     return (
-        left.join(right, "gram")
+        right.join(left, "gram")
         .where(F.contains(F.col("haystack"), F.col("needle")))
-        .select("needle", "haystack")
+        .drop("gram")
     )
 
 
@@ -55,22 +61,68 @@ def query_words(queries: DataFrame, stems: bool = True) -> DataFrame:
     return words.select("qid", "n_terms", "pos", F.explode(forms).alias("form"))
 
 
-def match_terms(
-    texts: DataFrame, queries: DataFrame, key: str, columns: list[str], stems: bool = True
+def match_listed(
+    texts: DataFrame, forms: list[Row], qid: DataType, key: str, columns: list[str], folded: bool = True
 ) -> DataFrame:
-    """(qid, key) where every word of the query occurs in some column of the row."""
+    """match_terms for a short list of query words: one pass over the texts, no shuffle."""
     joined = F.concat_ws(" ", *[F.col(c) for c in columns])
-    words = texts.select(key, F.explode(F.array_distinct(F.split(joined, text.SPACE))).alias("word"))
-    vocabulary = words.select(F.col("word").alias("haystack")).distinct()
+    found = sorted({r.form for r in forms})
+    words: dict[object, dict[int, set[str]]] = {}
+    for r in forms:
+        words.setdefault(r.qid, {}).setdefault(r.pos, set()).add(r.form)
+    prepared = texts.select(key, (joined if folded else text.fold(joined)).alias("text"))
+    flagged = prepared.select(key, F.array(*[F.col("text").contains(f) for f in found]).alias("has"))
+
+    def whole_query(by_word: dict[int, set[str]]) -> Column:
+        return all_of(any_of(F.get("has", found.index(f)) for f in fs) for fs in by_word.values())
+
+    tags = [F.when(whole_query(by_word), F.lit(q).cast(qid)) for q, by_word in words.items()]
+    return flagged.select(F.explode(F.array_compact(F.array(*tags))).alias("qid"), key)
+
+
+def match_terms(
+    texts: DataFrame,
+    queries: DataFrame,
+    key: str,
+    columns: list[str],
+    stems: bool = True,
+    staged: bool = False,
+    folded: bool = True,
+    listed: int = LISTED_FORMS,
+) -> DataFrame:
+    """(qid, key) where every word of the query occurs in some column of the row.
+
+    Columns that are not `folded` yet are folded word by word, once per different word.
+
+    With `staged`, for large corpora, sizes are looked at before the texts are read. Up to
+    `listed` query words go into the scan of the texts as literals. More of them are stored,
+    and so is the matched vocabulary; as long as it is small the texts meet it by broadcast
+    and their words are not shuffled. Beyond the broadcast limit words are shuffled by word.
+    """
     forms = query_words(queries, stems)
+    if staged:
+        forms = small_side(materialized(forms, "forms"))
+        short = forms.limit(listed + 1).collect()
+        if 0 < len(short) <= listed:
+            return match_listed(texts, short, forms.schema["qid"].dataType, key, columns, folded)
+    joined = F.concat_ws(" ", *[F.col(c) for c in columns])
+    words = texts.select(key, F.explode(text.words(joined)).alias("word"))
+    vocabulary = words.select("word").distinct()
+    vocabulary = vocabulary.withColumn("haystack", F.col("word") if folded else text.fold(F.col("word")))
     pairs = substring_pairs(forms.select(F.col("form").alias("needle")).distinct(), vocabulary)
     wanted = (
         forms.join(pairs, F.col("form") == F.col("needle"))
-        .select("qid", "n_terms", "pos", F.col("haystack").alias("word"))
+        .select("qid", "n_terms", "pos", "word")
         .distinct()
     )
-    hits = words.join(wanted, "word").select("qid", key, "n_terms", "pos").distinct()
+    if staged:
+        wanted = small_side(materialized(wanted, "words"))
+    # Words seen, as bits: one row per query, row and 32 words leaves each task.
+    seen = words.join(wanted, "word").groupBy("qid", key, "n_terms", F.expr("pos DIV 32").alias("slot"))
+    bits = seen.agg(F.bit_or(F.expr("shiftleft(1L, pos % 32)")).alias("bits"))
     return (
-        hits.groupBy("qid", key, "n_terms").count().where(F.col("count") == F.col("n_terms"))
+        bits.groupBy("qid", key, "n_terms")
+        .agg(F.sum(F.bit_count("bits")).alias("n_seen"))
+        .where(F.col("n_seen") == F.col("n_terms"))
         .select("qid", key)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from statbank import schema as S
 from statbank.operators.filters import aggregate_predicate, dims_predicate
 from statbank.operators.match import substring_pairs
+from statbank.session import literal_table
 
 KEYWORD_MIN = 4
 
@@ -90,15 +91,14 @@ def resolve_ids(
     spark = codebook.sparkSession
     sources = []
     if variable_ids is not None:
-        rows = [(int(i),) for i in variable_ids]
-        sources.append(spark.createDataFrame(rows, "variable_id int"))
+        sources.append(literal_table(spark, [int(i) for i in variable_ids], "variable_id", "int"))
     if codes is not None:
         plain = [c for c in codes if not c.startswith("K")]
         if plain:
             chosen = variables.where(F.col("subjectId").isin(*plain))
             sources.append(chosen.select(F.col("id").alias("variable_id")))
         if len(plain) < len(codes):
-            table = spark.createDataFrame([(c,) for c in codes], "code string")
+            table = literal_table(spark, codes, "code", "string")
             sources.append(by_category(variables, subjects, codebook, table))
     if not sources:
         raise ValueError("give variables, subjects or both")

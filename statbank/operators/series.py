@@ -28,8 +28,10 @@ def top_series(observations: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
 
 
 def top_points(observations: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
-    """Points of the top series; the k keys are the small side."""
-    return points(observations).join(F.broadcast(top_series(observations, k).select(*SERIES)), SERIES)
+    """Points of the top series. The k keys are broadcast, so the second pass over the
+    observations drops everything else before it aggregates."""
+    keys = F.broadcast(top_series(observations, k).select(*SERIES))
+    return points(observations.join(keys, SERIES, "left_semi"))
 
 
 def named_points(

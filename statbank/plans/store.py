@@ -71,7 +71,7 @@ class Store:
 
     def register_views(self) -> None:
         """The tables under their SQL names, for use in spark.sql."""
-        columns = [f.name for f in S.FACT.fields]
+        columns = S.FACT.names
         facts = self.facts.select(*columns)
         facts.createOrReplaceTempView("facts_all")
         for level, name in S.FACT_TABLES.items():

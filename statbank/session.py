@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,14 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def literal_table(spark: SparkSession, values: Sequence[object], name: str, kind: str) -> DataFrame:
+    """One column of plan-time values; its size is known to the optimizer."""
+    row = spark.range(1)
+    if not values:
+        return row.select(F.lit(None).cast(kind).alias(name)).where(F.lit(False))
+    return row.select(F.explode(F.array(*[F.lit(v).cast(kind) for v in values])).alias(name))
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so later passes do not recompute it."""
     path = workspace(df.sparkSession, name)

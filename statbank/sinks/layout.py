@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from statbank import schema as S
 from statbank.functions import text
-from statbank.session import small_side, workspace
+from statbank.session import BROADCAST_BYTES, plan_bytes, workspace
 
 BLOCK = 4096
 ROWS_PER_FILE = 20_000_000
 
 
+def block_of(key: str, block: int = BLOCK) -> Column:
+    return F.expr(f"{key} DIV {block}")
+
+
 def key_counts(facts: DataFrame) -> DataFrame:
     return facts.groupBy("unitLevel", "variable_id").agg(F.count("*").alias("n"))
 
@@ -31,7 +35,7 @@ def prefix_sum(counts: DataFrame, block: int = BLOCK) -> DataFrame:
     Keys are cut into blocks of `block` consecutive ids. Only the block sums run through a
     window per level; inside a block the window sees at most `block` keys.
     """
-    blocked = counts.withColumn("block", F.floor(F.col("variable_id") / block))
+    blocked = counts.withColumn("block", block_of("variable_id", block))
     sums = blocked.groupBy("unitLevel", "block").agg(F.sum("n").alias("block_rows"))
     by_level = Window.partitionBy("unitLevel")
     before = by_level.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -118,24 +122,30 @@ def write_parts(
 ) -> DataFrame:
     """Write facts as unitLevel/part folders of sorted zstd files; returns the key placement.
 
-    One task writes one slice. The rows of a key that alone exceeds a file are spread by unit
-    and year, so a hot key never ends up in one task. Files are sorted by key, which lets the
-    reader skip row groups.
+    Slices are numbered, and a number is a task, so no two slices share one by accident. The
+    rows of a key that alone exceeds a file are spread by unit and year over several numbers,
+    so a hot key never ends up in one task. Files are sorted by key, which lets the reader
+    skip row groups. `facts` should be a stored table: it is counted first and written next.
     """
     spark = facts.sparkSession
     index = workspace(spark, "keys")
     write_parquet(key_parts(facts, parts, rows_per_file), index)
     placed = spark.read.parquet(index)
-    slices = placed.groupBy("unitLevel", "part", "slice").agg(F.max("spread").alias("files"))
+    slice_key = ["unitLevel", "part", "slice"]
+    slices = placed.groupBy(*slice_key).agg(F.max("spread").alias("files"))
     n_tasks = slices.agg(F.sum("files")).first()[0] or 1
-    where = placed.select("unitLevel", "variable_id", "part", "slice", "spread")
-    tagged = facts.join(small_side(where), ["unitLevel", "variable_id"]).withColumn(
-        "salt", F.pmod(F.xxhash64("unitId", "year"), F.col("spread"))
+    earlier = Window.orderBy(*slice_key).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = slices.withColumn("first_task", F.coalesce(F.sum("files").over(earlier), F.lit(0)))
+    where = placed.join(numbered, slice_key).select(
+        "unitLevel", "variable_id", "part", "first_task", "spread"
     )
-    spread = tagged.repartition(n_tasks, "unitLevel", "part", "slice", "salt")
+    tagged = facts.join(F.broadcast(where) if plan_bytes(placed) <= BROADCAST_BYTES else where,
+                        ["unitLevel", "variable_id"])
+    salt = F.pmod(F.xxhash64("unitId", "year"), F.col("spread"))
+    spread = tagged.repartitionById(n_tasks, (F.col("first_task") + salt).cast("int"))
     ordered = spread.sortWithinPartitions("unitLevel", "part", "variable_id", "unitId", "year")
     (
-        ordered.select(*[f.name for f in S.FACT.fields], "part")
+        ordered.select(*S.FACT.names, "part")
         .write.option("compression", "zstd")
         .option("parquet.block.row.count.limit", S.ROW_GROUP_ROWS)
         .option("maxRecordsPerFile", 2 * rows_per_file)

@@ -8,19 +8,19 @@ from pyspark.sql import types as T
 
 from statbank import schema as S
 from statbank.operators.filters import variables_in
-from statbank.sinks.layout import BLOCK
+from statbank.sinks.layout import BLOCK, block_of
 
 LAID_OUT = T.StructType([*S.FACT.fields, T.StructField("part", T.IntegerType())])
 
 
 def read_facts(spark: SparkSession, *paths: str) -> DataFrame:
     """Facts from a file, several files or a glob, with declared types."""
-    return spark.read.schema(S.FACT).parquet(*paths)
+    return spark.read.schema(S.FACT).parquet(*paths).select(*S.FACT.names)
 
 
 def read_parts(spark: SparkSession, root: str) -> DataFrame:
     """The laid-out fact table: the fact columns plus the partition column `part`."""
-    return spark.read.schema(LAID_OUT).parquet(root)
+    return spark.read.schema(LAID_OUT).parquet(root).select(*LAID_OUT.names)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -33,11 +33,11 @@ def locate(ids: DataFrame, manifest: DataFrame, block: int = BLOCK) -> DataFrame
     A range join as an equi join on key blocks: each part lists the blocks it touches, an id
     meets only the parts of its own block, and the exact bounds decide.
     """
-    low, high = F.floor(F.col("var_min") / block), F.floor(F.col("var_max") / block)
+    low, high = block_of("var_min", block), block_of("var_max", block)
     covered = manifest.select(
         "unitLevel", "part", "var_min", "var_max", F.explode(F.sequence(low, high)).alias("block")
     )
-    keyed = ids.select("variable_id", F.floor(F.col("variable_id") / block).alias("block"))
+    keyed = ids.select("variable_id", block_of("variable_id", block).alias("block"))
     return (
         keyed.join(covered, "block")
         .where(F.col("variable_id").between(F.col("var_min"), F.col("var_max")))
@@ -47,9 +47,8 @@ def locate(ids: DataFrame, manifest: DataFrame, block: int = BLOCK) -> DataFrame
 
 def pruned_scan(facts: DataFrame, manifest: DataFrame, ids: DataFrame) -> DataFrame:
     """Facts of the ids; the located parts prune partitions at run time."""
-    located = locate(ids, manifest).distinct()
     keys = ["unitLevel", "part", "variable_id"]
-    return facts.join(located, keys, "left_semi").select(*[f.name for f in S.FACT.fields])
+    return facts.join(locate(ids, manifest), keys, "left_semi").select(*S.FACT.names)
 
 
 def literal_scan(facts: DataFrame, manifest: DataFrame | None, ids: Sequence[int]) -> DataFrame:

@@ -36,9 +36,8 @@ SELECT 'P' || lpad(CAST(b AS string), 4, '0') AS id, 'K' || CAST(b % 5 + 1 AS st
 FROM (SELECT DISTINCT CAST(replace(p_brand, 'Brand#', '') AS int) AS b FROM {part}) x WHERE b % 13 <> 12
 UNION ALL
 SELECT id, CAST(NULL AS string) AS parentId, name, CAST(NULL AS string) AS description
-FROM (SELECT 'K1' AS id, 'Ludność' AS name UNION ALL SELECT 'K2', 'Rynek pracy'
-      UNION ALL SELECT 'K3', 'Źródła dochodów' UNION ALL SELECT 'K4', 'Mieszkania'
-      UNION ALL SELECT 'K5', 'Dla gmin') k"""
+FROM (VALUES ('K1', 'Ludność'), ('K2', 'Rynek pracy'), ('K3', 'Źródła dochodów'),
+             ('K4', 'Mieszkania'), ('K5', 'Dla gmin')) k(id, name)"""
 
 LABELS_SQL = """
 SELECT id, subjectId, CASE WHEN n1 = 'ogółem' THEN 'total' ELSE n1 END AS n1,

@@ -48,14 +48,16 @@ def named_points(
 
 def domain(observations: DataFrame, shown: DataFrame) -> DataFrame:
     """Axis ranges: years of all observations, values of the shown points, zero included."""
-    years = observations.select("year").distinct().agg(
-        F.count("*").alias("n_years"), F.min("year").alias("year_min"), F.max("year").alias("year_max")
+    years = observations.select("year").distinct()
+    values = shown.agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    both = years.unionByName(values, allowMissingColumns=True)
+    return both.agg(
+        F.count("year").alias("n_years"),
+        F.min("year").alias("year_min"),
+        F.max("year").alias("year_max"),
+        F.least(F.lit(0.0), F.min("low")).alias("y_min"),
+        F.max("high").alias("y_max"),
     )
-    values = shown.agg(
-        F.least(F.lit(0.0), F.min("value")).alias("y_min"), F.max("value").alias("y_max")
-    )
-    # Two one-row aggregates side by side.
-    return years.withColumn("one", F.lit(1)).join(values.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def mixed_measures(variables: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from statbank import schema as S
 from statbank.operators import dataset, facets, search, series
 from statbank.plans import explore
 from statbank.plans.get import get
-from statbank.plans.store import export_store
+from statbank.plans.store import lay_out
 from statbank.session import workspace
 from statbank.sinks import datasets
 
@@ -70,7 +70,7 @@ def _(t):
     "SELECT variable_id, unitId, unitName, unitLevel, year, value FROM facts_6 WHERE variable_id IN (SELECT variable_id FROM codebook WHERE subjectId IN ('P0012', 'P0021') AND n1 = 'small')",
 )
 def _(t):
-    store = export_store(t.stored, workspace(t.spark, "store"))
+    store = lay_out(t.stored, workspace(t.spark, "store"))
     return get(store, subjects=["P0012", "P0021"], level="gmina", dims={"n1": "small"}, add_labels=False)
 
 
@@ -103,12 +103,12 @@ def _(t):
     "SELECT variable_id, n1, n2, n3, n4, n5, variable_dimensions FROM codebook WHERE subjectId = 'P0013'",
 )
 def _(t):
-    return search.subject_dims(t.codebook, "P0013").orderBy("variable_id")
+    return search.subject_dims(t.codebook, "P0013")
 
 
 @query("api_list_subjects", "SELECT id, name FROM subjects WHERE starts_with(id, 'K')")
 def _(t):
-    return search.top_subjects(t.subjects).orderBy("id")
+    return search.top_subjects(t.subjects)
 
 
 @query("api_codebook", "SELECT * FROM codebook WHERE measureUnitName = '-'")
@@ -119,7 +119,7 @@ def _(t):
 
 @query("api_browse", VARIABLE_ROW + "starts_with(subjectId, 'P002')")
 def _(t):
-    return search.browse(t.codebook, "P002").orderBy("subjectId", "variable_id")
+    return search.browse(t.codebook, "P002")
 
 
 @query("api_ranked_search", ranked_oracle([["ludnosc"], ["small"]], "ludnosc small", 2))
@@ -242,7 +242,7 @@ def _selection(t):
 
 @query("api_build", PREVIEW.format(n=3000).replace("FROM facts", f"FROM ({SLICE}) f"))
 def _(t):
-    store = export_store(t.stored, workspace(t.spark, "store"))
+    store = lay_out(t.stored, workspace(t.spark, "store"))
     total, preview = explore.build(store, _selection(t))
     return preview
 

@@ -90,4 +90,4 @@ def _(t):
 FROM codebook WHERE contains(lower(variable_full_name), 'blue')""",
 )
 def _(t):
-    return search.search_variables(t.codebook, "BLUE").orderBy("subjectId", "variable_id")
+    return search.search_variables(t.codebook, "BLUE")

@@ -6,7 +6,7 @@ from catalog.registry import query
 from statbank import schema as S
 from statbank.functions import text
 from statbank.operators import dataset, metadata
-from statbank.plans.store import export_store
+from statbank.plans.store import build_store, export_store, lay_out
 from statbank.session import workspace
 from statbank.sinks import datasets, layout
 from statbank.sources import files, scan
@@ -29,17 +29,20 @@ SELECT variable_id, variable_full_name AS variable_name, variable_full_name_en A
 FROM bilingual WHERE measureUnitName = 'zł'"""
 
 
-@query("src_fact_csv", FACTS)
-def _(t):
+def _extracts(t) -> dict[str, str]:
+    """Raw CSV extracts, one folder per endpoint name, written in one job."""
     folder = workspace(t.spark, "csv")
     endpoint = F.lit(None).cast("string")
     for name, level in S.RAW_FILE_LEVELS.items():
         endpoint = F.when(F.col("unitLevel") == level, name).otherwise(endpoint)
     extracts = t.facts.withColumn("endpoint", endpoint)
     extracts.write.option("header", True).partitionBy("endpoint").csv(folder)
-    return files.load_raw_extracts(
-        t.spark, {name: f"{folder}/endpoint={name}" for name in S.RAW_FILE_LEVELS}
-    )
+    return {name: f"{folder}/endpoint={name}" for name in S.RAW_FILE_LEVELS}
+
+
+@query("src_fact_csv", FACTS)
+def _(t):
+    return files.load_raw_extracts(t.spark, _extracts(t))
 
 
 @query("src_labels_csv", "SELECT * FROM variables_en")
@@ -140,7 +143,7 @@ def _laid_out(t):
 (SELECT variable_id FROM codebook WHERE subject_parent_id = 'K2' AND measureUnitName = 'zł')""",
 )
 def _(t):
-    store = _laid_out(t)
+    store = lay_out(t.stored, workspace(t.spark, "store"))
     wanted = (F.col("subject_parent_id") == "K2") & (F.col("measureUnitName") == "zł")
     ids = store.codebook.where(wanted).select("variable_id")
     return scan.pruned_scan(store.facts, store.manifest, ids)
@@ -246,15 +249,7 @@ def _(t):
 
 @query("build_store", "SELECT f.*, u.voivod_teryt, u.first_year, u.last_year FROM facts f JOIN units u USING (unitId, unitLevel)")
 def _(t):
-    from statbank.plans.store import build_store
-
-    folder = workspace(t.spark, "raw")
-    endpoint = F.lit(None).cast("string")
-    for name, level in S.RAW_FILE_LEVELS.items():
-        endpoint = F.when(F.col("unitLevel") == level, name).otherwise(endpoint)
-    t.facts.withColumn("endpoint", endpoint).write.option("header", True).partitionBy("endpoint").csv(folder)
-    extracts = {name: f"{folder}/endpoint={name}" for name in S.RAW_FILE_LEVELS}
-    store = build_store(t.spark, extracts, t.variables, t.subjects, workspace(t.spark, "built"))
+    store = build_store(t.spark, _extracts(t), t.variables, t.subjects, workspace(t.spark, "built"))
     spans = store.units.select("unitId", "unitLevel", "voivod_teryt", "first_year", "last_year")
     return store.facts.join(spans, ["unitId", "unitLevel"])
 

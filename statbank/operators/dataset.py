@@ -56,15 +56,20 @@ def estimate(total: DataFrame) -> DataFrame:
 
 
 def summary(observations: DataFrame) -> DataFrame:
-    """Scope of a selection in one row; distinct keys are reduced to small sets first."""
-    return observations.agg(
-        F.count("*").alias("observations"),
+    """Scope of a selection in one row; rows are reduced to their distinct keys first."""
+    by_variable = observations.groupBy("variable_id", "unitLevel").agg(
+        F.count("*").alias("n"), F.min("year").alias("lo"), F.max("year").alias("hi")
+    )
+    scope = by_variable.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("observations"),
         F.countDistinct("variable_id").alias("variables"),
         F.countDistinct("unitLevel").alias("levels"),
-        F.countDistinct("unitId").alias("units"),
-        F.min("year").alias("year_from"),
-        F.max("year").alias("year_to"),
+        F.min("lo").alias("year_from"),
+        F.max("hi").alias("year_to"),
     )
+    units = observations.select("unitId").distinct().agg(F.count("unitId").alias("units"))
+    columns = ["observations", "variables", "levels", "units", "year_from", "year_to"]
+    return scope.unionByName(units, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def long(observations: DataFrame, codebook: DataFrame) -> DataFrame:
@@ -116,7 +121,7 @@ def wide(
 
 def codebook_doc(codebook: DataFrame, ids: DataFrame) -> DataFrame:
     """Documentation of the selected variables, from a bilingual codebook."""
-    chosen = codebook.join(ids.select("variable_id").distinct(), "variable_id", "left_semi")
+    chosen = codebook.join(ids.select("variable_id"), "variable_id", "left_semi")
     return chosen.select(
         "variable_id",
         F.col("variable_full_name").alias("variable_name"),

@@ -37,11 +37,11 @@ def _first_gram(c: Column) -> Column:
 
 
 def substring_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
-    """Every (needle, haystack row) with the needle inside the column `haystack`.
+    """Rows of both sides joined where the column `haystack` contains the column `needle`.
 
-    Needles are distinct. A haystack has each of its grams once, so a pair comes up once.
+    A needle has one gram and a haystack has each of its grams once, so a pair comes up once.
     """
-    left = needles.select("needle", _first_gram(F.col("needle")).alias("gram"))
+    left = needles.select("*", _first_gram(F.col("needle")).alias("gram"))
     right = haystacks.select("*", F.explode(_gram_set(F.col("haystack"))).alias("gram"))
     return (
         right.join(left, "gram")
@@ -113,10 +113,10 @@ def match_terms(
     wanted = (
         forms.join(pairs, F.col("form") == F.col("needle"))
         .select("qid", "n_terms", "pos", "word")
-        .distinct()
     )
     if staged:
         wanted = small_side(materialized(wanted, "words"))
+    # A word may match several forms; the bits below do not mind repeats.
     # Words seen, as bits: one row per query, row and 32 words leaves each task.
     seen = words.join(wanted, "word").groupBy("qid", key, "n_terms", F.expr("pos DIV 32").alias("slot"))
     bits = seen.agg(F.bit_or(F.expr("shiftleft(1L, pos % 32)")).alias("bits"))

@@ -8,16 +8,24 @@ from statbank.operators.filters import leading_zero
 
 
 def profile(facts: DataFrame) -> DataFrame:
-    """Rows, distinct keys and id lengths of each fact table in one pass."""
-    tagged = facts.withColumn("tbl", text.fact_table_name(F.col("unitLevel")))
-    return tagged.groupBy("tbl").agg(
-        F.count("*").alias("nrows"),
-        F.countDistinct("variable_id").alias("nvars"),
-        F.countDistinct("unitId").alias("nunits"),
+    """Rows, distinct keys and id lengths of each fact table.
+
+    One narrow pass per key instead of one pass with several distinct counts: the latter
+    would multiply every fact row before aggregating it.
+    """
+    tbl = text.fact_table_name(F.col("unitLevel")).alias("tbl")
+    by_variable = facts.groupBy("unitLevel", "variable_id").agg(F.count("*").alias("n"))
+    by_unit = facts.groupBy("unitLevel", "unitId").agg(F.lit(1).alias("one"))
+    variables = by_variable.groupBy(tbl).agg(
+        F.sum("n").alias("nrows"), F.count("variable_id").alias("nvars")
+    )
+    units = by_unit.groupBy(tbl).agg(
+        F.count("unitId").alias("nunits"),
         F.min(F.length("unitId")).alias("min_idlen"),
         F.max(F.length("unitId")).alias("max_idlen"),
         F.countDistinct("unitLevel").alias("nlevels"),
     )
+    return variables.join(units, "tbl")
 
 
 def leading_zero_count(facts: DataFrame) -> DataFrame:

@@ -50,18 +50,13 @@ def category_subjects(subjects: DataFrame, codebook: DataFrame, codes: DataFrame
         .select("subjectId", F.lower("subject_name").alias("haystack"))
         .distinct()
     )
-    pairs = substring_pairs(
-        categories.select("needle").distinct(), names.select("haystack").distinct()
-    )
-    return (
-        categories.join(pairs, "needle").join(names, "haystack").select("code", "subjectId").distinct()
-    )
+    return substring_pairs(categories, names).select("code", "subjectId").distinct()
 
 
 def by_category(
     variables: DataFrame, subjects: DataFrame, codebook: DataFrame, codes: DataFrame
 ) -> DataFrame:
-    matched = category_subjects(subjects, codebook, codes).select("subjectId").distinct()
+    matched = category_subjects(subjects, codebook, codes).select("subjectId")
     return variables.join(matched, "subjectId", "left_semi").select(F.col("id").alias("variable_id"))
 
 

@@ -39,7 +39,7 @@ def search_subjects(codebook: DataFrame, query: str, level: int | None = None) -
         F.sum("agg").alias("n_aggregate"),
         F.expr("listagg(DISTINCT n1, ' | ') WITHIN GROUP (ORDER BY n1)").alias("n1_breakdowns"),
         F.min("first_id").alias("example_variable_id"),
-    )
+    ).orderBy("subject_name", "subjectId")
 
 
 def search_variables(codebook: DataFrame, query: str, level: int | None = None) -> DataFrame:
@@ -47,24 +47,26 @@ def search_variables(codebook: DataFrame, query: str, level: int | None = None)
     found = codebook.where(filters.contains_any(query, columns))
     if level is not None:
         found = found.where(filters.level_exact(level))
-    return found.select(*VARIABLE_ROW)
+    return found.select(*VARIABLE_ROW).orderBy("subjectId", "variable_id")
 
 
 def subject_dims(codebook: DataFrame, subject: str) -> DataFrame:
     rows = codebook.where(F.col("subjectId") == subject)
-    return rows.select("variable_id", *S.DIMS, "variable_dimensions")
+    return rows.select("variable_id", *S.DIMS, "variable_dimensions").orderBy("variable_id")
 
 
 def top_subjects(subjects: DataFrame) -> DataFrame:
-    return subjects.where(F.col("id").startswith("K")).select("id", "name")
+    return subjects.where(F.col("id").startswith("K")).select("id", "name").orderBy("id")
 
 
 def codebook_rows(codebook: DataFrame, ids: DataFrame) -> DataFrame:
-    return codebook.join(ids.select("variable_id").distinct(), "variable_id", "left_semi")
+    rows = codebook.join(ids.select("variable_id"), "variable_id", "left_semi")
+    return rows.orderBy("variable_id")
 
 
 def browse(codebook: DataFrame, prefix: str) -> DataFrame:
-    return codebook.where(filters.subject_prefix(prefix)).select(*VARIABLE_ROW)
+    rows = codebook.where(filters.subject_prefix(prefix)).select(*VARIABLE_ROW)
+    return rows.orderBy("subjectId", "variable_id")
 
 
 def _subject_hits(found: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """A store of facts and metadata: build it from raw extracts, lay it out, open it."""
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,10 @@ from statbank.sources.files import load_raw_extracts
 
 @dataclass(frozen=True)
 class Store:
-    """The tables queries run on. `manifest` is present for a laid-out fact table."""
+    """The tables queries run on.
+
+    A laid-out store also has a manifest and the stored forms of its two search tables.
+    """
 
     facts: DataFrame
     variables: DataFrame
@@ -24,7 +27,9 @@ class Store:
     units: DataFrame
     subjects_en: DataFrame | None = None
     variables_en: DataFrame | None = None
-    manifest: DataFrame | None = field(default=None)
+    manifest: DataFrame | None = None
+    search_codebook: DataFrame | None = None
+    search_units: DataFrame | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -32,11 +37,13 @@ class Store:
 
     @property
     def bilingual(self) -> DataFrame:
+        if self.search_codebook is not None:
+            return self.search_codebook
         return metadata.bilingual_codebook(self.codebook, self.subjects_en, self.variables_en)
 
     @property
     def searchable_units(self) -> DataFrame:
-        return metadata.unit_search_keys(self.units)
+        return metadata.unit_search_keys(self.units) if self.search_units is None else self.search_units
 
     @staticmethod
     def of(
@@ -53,7 +60,7 @@ class Store:
 
     @staticmethod
     def open(spark: SparkSession, root: str, english: bool = True) -> "Store":
-        """A store written by export_store; english=False leaves the optional labels out."""
+        """A store written by export_store; english=False if it was written without labels."""
 
         def table(name: str) -> DataFrame:
             return spark.read.parquet(f"{root}/{name}")
@@ -67,6 +74,8 @@ class Store:
             subjects_en=table("subjects_en") if english else None,
             variables_en=table("variables_en") if english else None,
             manifest=scan.read_manifest(spark, f"{root}/manifest"),
+            search_codebook=table("search_codebook"),
+            search_units=table("search_units"),
         )
 
     def register_views(self) -> None:
@@ -98,17 +107,33 @@ def build_store(
     return Store.of(scan.read_facts(spark, path), variables, subjects, subjects_en, variables_en)
 
 
-def export_store(
+def lay_out(
     store: Store,
     root: str,
     parts: Mapping[int, int] | int = S.LEVEL_PARTS,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> Store:
-    """Write facts in equi-depth parts, the manifest and the metadata tables."""
+    """Write the facts in equi-depth parts with their manifest; the metadata stays as it is."""
     placed = write_parts(store.facts, f"{root}/facts", parts, rows_per_file)
+    # One row per part.
     manifest(placed).coalesce(1).write.json(f"{root}/manifest")
+    facts = scan.read_parts(store.spark, f"{root}/facts")
+    return replace(store, facts=facts, manifest=scan.read_manifest(store.spark, f"{root}/manifest"))
+
+
+def export_store(
+    store: Store,
+    root: str,
+    parts: Mapping[int, int] | int = S.LEVEL_PARTS,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> Store:
+    """Write facts in equi-depth parts, the manifest, the metadata and the search tables."""
+    lay_out(store, root, parts, rows_per_file)
     english = store.subjects_en is not None and store.variables_en is not None
     names = ["codebook", "units", "variables", "subjects"]
     for name in names + (["subjects_en", "variables_en"] if english else []):
         write_parquet(getattr(store, name), f"{root}/{name}")
+    stored = replace(store, **{name: store.spark.read.parquet(f"{root}/{name}") for name in ("codebook", "units")})
+    write_parquet(stored.bilingual, f"{root}/search_codebook")
+    write_parquet(stored.searchable_units, f"{root}/search_units")
     return Store.open(store.spark, root, english)

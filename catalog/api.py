@@ -150,7 +150,7 @@ SELECT * FROM (
                CASE WHEN m.qid IS NULL THEN 1 ELSE 0 END::BIGINT AS name_match,
                CASE WHEN starts_with(norm, replace(strip_accents(lower(q.query)), 'ł', 'l'))
                       OR starts_with(en_norm, replace(strip_accents(lower(q.query)), 'ł', 'l')) THEN 0 ELSE 1 END::BIGINT AS is_prefix,
-               length(name) - length(replace(name, ',', '')) AS commas, length(name) AS namelen
+               len(string_split(name, ',')) - 1 AS commas, length(name) AS namelen
         FROM (SELECT h.qid, b.subjectId, min(b.subject_name) AS name, min(b.subject_name_en) AS name_en,
                      min(b.subj_norm) AS norm, min(b.subj_en_norm) AS en_norm, count(*) AS n_vars,
                      min(b.measureUnitName) AS unit

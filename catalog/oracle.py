@@ -24,12 +24,14 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN geo ON o_custkey = geo
 GROUP BY l_partkey, {code}, year(o_orderdate)"""
 
 
-def _label(columns: list[str]) -> str:
-    return f"trim(concat_ws(' | ', {', '.join(columns)}))"
+def _label(missing: str) -> str:
+    """The dimensions outside the `missing` list, joined."""
+    kept = f"list_filter([n1, n2, n3, n4, n5], lambda d: d IS NOT NULL AND d NOT IN ({missing}))"
+    return f"array_to_string({kept}, ' | ')"
 
 
-PL = _label([f"CASE WHEN v.n{i} IS NOT NULL AND v.n{i} != 'NA' THEN v.n{i} END" for i in range(1, 6)])
-EN = _label([f"nullif(nullif(n{i}, ''), 'NA')" for i in range(1, 6)])
+PL = _label("'NA'")
+EN = _label("'NA', ''")
 
 TABLES = {
     "geo": """
@@ -52,22 +54,30 @@ FROM ({VARIABLES_SQL.format(part="part")}) raw_variables""",
 SELECT id, {", ".join(f"nullif(nullif(n{i}, ''), 'NA') AS n{i}_en" for i in range(1, 6))},
        measureUnitName AS measureUnitName_en, {EN} AS variable_dimensions_en
 FROM labels_raw""",
+    "level_names": """
+SELECT * FROM (VALUES (6, 'gmina', 'gmina'), (5, 'powiat', 'powiat'), (4, 'podregion', 'podregion'),
+       (3, NULL, 'region'), (2, 'wojewodztwo', 'wojewodztwo'), (1, 'makroregion', 'makroregion'),
+       (0, NULL, 'Polska')) l(code, level, doc_level)""",
     "codebook": f"""
-SELECT v.id AS variable_id, v.subjectId, s.name AS subject_name, s.description AS subject_description,
-       s.parentId AS subject_parent_id, v.n1, v.n2, v.n3, v.n4, v.n5, {PL} AS variable_dimensions,
-       v.level AS unit_level, v.measureUnitId, v.measureUnitName,
-       concat_ws(': ', s.name, {PL}) AS variable_full_name
-FROM variables v LEFT JOIN subjects s ON v.subjectId = s.id""",
+SELECT variable_id, subjectId, subject_name, subject_description, subject_parent_id, n1, n2, n3, n4, n5,
+       variable_dimensions, unit_level, measureUnitId, measureUnitName,
+       CASE WHEN subject_name IS NULL THEN '' ELSE subject_name || ': ' END || variable_dimensions AS variable_full_name
+FROM (SELECT variables.* RENAME (id AS variable_id, level AS unit_level), {PL} AS variable_dimensions,
+             subjects.name AS subject_name, subjects.description AS subject_description,
+             subjects.parentId AS subject_parent_id
+      FROM variables LEFT JOIN subjects ON subjects.id = variables.subjectId) named""",
     "bilingual": """
-SELECT c.variable_id, c.subjectId, c.subject_name, c.variable_dimensions, c.n1, c.n2, c.n3, c.n4, c.n5,
-       v.n1_en, v.n2_en, v.n3_en, v.n4_en, v.n5_en, c.unit_level, c.measureUnitName, v.measureUnitName_en,
-       c.variable_full_name, e.name_en AS subject_name_en, v.variable_dimensions_en,
-       nullif(concat_ws(': ', e.name_en, nullif(v.variable_dimensions_en, '')), '') AS variable_full_name_en,
-       replace(strip_accents(lower(c.subject_name || ' ' || coalesce(c.variable_dimensions, ''))), 'ł', 'l') AS search_key,
-       replace(strip_accents(lower(c.subject_name)), 'ł', 'l') AS subj_norm,
-       lower(coalesce(e.name_en, '')) AS subj_en_norm,
-       lower(coalesce(e.name_en, '') || ' ' || coalesce(v.variable_dimensions_en, '')) AS search_key_en
-FROM codebook c LEFT JOIN subjects_en e ON c.subjectId = e.subjectId LEFT JOIN variables_en v ON c.variable_id = v.id""",
+SELECT * EXCLUDE (folded_dims, subject_description, subject_parent_id, measureUnitId),
+       subj_norm || ' ' || folded_dims AS search_key,
+       subj_en_norm || ' ' || lower(coalesce(variable_dimensions_en, '')) AS search_key_en
+FROM (SELECT codebook.*, variables_en.* EXCLUDE (id), name_en AS subject_name_en,
+             nullif(array_to_string(list_filter([name_en, nullif(variable_dimensions_en, '')],
+                                                lambda p: p IS NOT NULL), ': '), '') AS variable_full_name_en,
+             replace(lower(strip_accents(subject_name)), 'ł', 'l') AS subj_norm,
+             replace(lower(strip_accents(variable_dimensions)), 'ł', 'l') AS folded_dims,
+             coalesce(lower(name_en), '') AS subj_en_norm
+      FROM codebook LEFT JOIN subjects_en USING (subjectId)
+      LEFT JOIN variables_en ON variables_en.id = codebook.variable_id) keyed""",
     "units": """
 SELECT unitId, min(unitName) AS unitName, unitLevel, substr(unitId, 3, 2) AS voivod_teryt,
        min(year) AS first_year, max(year) AS last_year

@@ -27,10 +27,10 @@ def _(t):
 
 
 RANKED = """
-SELECT subjectId, name, name_en, n_vars, unit, name_match::BIGINT AS name_match, is_prefix::BIGINT AS is_prefix,
-       (length(name) - length(replace(name, ',', ''))) AS commas, length(name) AS namelen
-FROM (SELECT subjectId, name, name_en, n_vars, unit, CASE WHEN {all_in_name} THEN 0 ELSE 1 END AS name_match,
-             CASE WHEN starts_with(norm, '{start}') OR starts_with(en_norm, '{start}') THEN 0 ELSE 1 END AS is_prefix
+SELECT subjectId, name, name_en, n_vars, unit, (NOT in_name)::BIGINT AS name_match, (NOT leads)::BIGINT AS is_prefix,
+       len(string_split(name, ',')) - 1 AS commas, length(name) AS namelen
+FROM (SELECT subjectId, name, name_en, n_vars, unit, coalesce({all_in_name}, false) AS in_name,
+             coalesce(starts_with(norm, '{start}') OR starts_with(en_norm, '{start}'), false) AS leads
       FROM (SELECT subjectId, min(subject_name) AS name, min(subject_name_en) AS name_en, min(subj_norm) AS norm,
                    min(subj_en_norm) AS en_norm, count(*) AS n_vars, min(measureUnitName) AS unit
             FROM bilingual WHERE ({where}) AND unit_level >= {level} GROUP BY subjectId) s) r

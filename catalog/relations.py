@@ -139,8 +139,8 @@ def _(t):
 
 SUBJECT_SUMMARY = """
 SELECT subjectId, max(subject_name) AS subject_name, count(*) AS n_variables,
-       sum(CASE WHEN n1 = 'ogółem' AND (n2 IS NULL OR n2 = 'NA' OR n2 = 'ogółem')
-                AND (n3 IS NULL OR n3 = 'NA' OR n3 = 'ogółem') THEN 1 ELSE 0 END)::BIGINT AS n_aggregate,
+       count(*) FILTER (WHERE n1 = 'ogółem' AND coalesce(n2, 'NA') IN ('NA', 'ogółem')
+                        AND coalesce(n3, 'NA') IN ('NA', 'ogółem')) AS n_aggregate,
        string_agg(DISTINCT n1, ' | ' ORDER BY n1) AS n1_breakdowns, min(variable_id) AS example_variable_id
 FROM codebook WHERE contains(lower(subject_name), lower('{query}')) {more} GROUP BY subjectId"""
 

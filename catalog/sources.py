@@ -13,20 +13,15 @@ from statbank.sources import files, scan
 
 FACTS = "SELECT * FROM facts"
 LONG = """
-SELECT f.variable_id, c.variable_full_name AS variable_name, f.unitId, f.unitName, f.unitLevel,
-       CASE f.unitLevel WHEN 6 THEN 'gmina' WHEN 5 THEN 'powiat' WHEN 4 THEN 'podregion'
-                        WHEN 2 THEN 'wojewodztwo' WHEN 1 THEN 'makroregion' ELSE f.unitLevel::VARCHAR END AS level,
-       f.year, f.value
-FROM facts f LEFT JOIN codebook c USING (variable_id)"""
+SELECT f.variable_id, c.variable_full_name AS variable_name, f.unitId, f.unitName, f.unitLevel, l.level, f.year, f.value
+FROM facts f LEFT JOIN codebook c USING (variable_id) JOIN level_names l ON l.code = f.unitLevel"""
 DOC = """
 SELECT variable_id, variable_full_name AS variable_name, variable_full_name_en AS variable_name_en,
        subject_name AS subject_pl, subject_name_en AS subject_en, variable_dimensions AS breakdown_pl,
        variable_dimensions_en AS breakdown_en, measureUnitName AS measure_unit,
        measureUnitName_en AS measure_unit_en,
-       CASE unit_level WHEN 6 THEN 'gmina' WHEN 5 THEN 'powiat' WHEN 4 THEN 'podregion' WHEN 3 THEN 'region'
-            WHEN 2 THEN 'wojewodztwo' WHEN 1 THEN 'makroregion' WHEN 0 THEN 'Polska'
-            ELSE unit_level::VARCHAR END AS lowest_level, subjectId
-FROM bilingual WHERE measureUnitName = 'zł'"""
+       doc_level AS lowest_level, subjectId
+FROM bilingual JOIN level_names ON code = unit_level WHERE measureUnitName = 'zł'"""
 
 
 def _extracts(t) -> dict[str, str]:

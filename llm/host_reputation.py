@@ -55,7 +55,8 @@ def levels(host: Column) -> tuple[Column, Column]:
 
 def _shrunk(nodes: DataFrame, key: str, parents: DataFrame, parent: str) -> DataFrame:
     """Posterior (mean, deviation) of each node, given its parent's posterior mean."""
-    joined = nodes.join(parents.select(F.col(parent), F.col("mean").alias("m")), parent)
+    # Written, so that neither the estimate below nor the next level plans this level again.
+    joined = materialized(nodes.join(parents.select(F.col(parent), F.col("mean").alias("m")), parent), key)
     seen = F.col("n") > 0
     p = F.least(F.greatest(F.col("m"), F.lit(1e-6)), F.lit(1 - 1e-6))
     rate = F.col("bad") / F.col("n")
@@ -66,7 +67,7 @@ def _shrunk(nodes: DataFrame, key: str, parents: DataFrame, parent: str) -> Data
         F.coalesce(F.sum(F.when(seen, p * (1 - p) * (F.col("n") - 1))), F.lit(0.0)).alias("room"),
     )
     rho = F.when(F.col("room") > 0, (F.col("s") - F.col("noise")) / F.col("room")).otherwise(RHO[0])
-    k = scatter.select(1 / F.least(F.greatest(rho, F.lit(RHO[0])), F.lit(RHO[1])) - 1).scalar()
+    k = scatter.select((1 / F.least(F.greatest(rho, F.lit(RHO[0])), F.lit(RHO[1])) - 1).alias("k")).first()["k"]
     a = F.col("bad") + k * F.col("m")
     total = F.col("n") + k
     mean = a / total

@@ -1,9 +1,22 @@
 """Operators of a training-data pipeline. Nothing else in the library imports this package."""
 
-from llm import config_packing, host_reputation
+from llm import (
+    circulant_minhash,
+    config_packing,
+    edit_decontamination,
+    folded_lexicon,
+    host_reputation,
+    language_id,
+    quality_trees,
+)
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
+    "op2_quality_trees": quality_trees.op2_quality_trees,
+    "op3_circulant_minhash": circulant_minhash.op3_circulant_minhash,
+    "op6_edit_decontamination": edit_decontamination.op6_edit_decontamination,
     "op7_host_reputation": host_reputation.op7_host_reputation,
     "op8_config_packing": config_packing.op8_config_packing,
+    "op9_folded_lexicon": folded_lexicon.op9_folded_lexicon,
 }
 ORACLES = {"op7_host_reputation": host_reputation.ORACLE}

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 #: Bounds of fitting: labelled rows, lexicon entries, exception phrases.
 SAMPLE, ENTRIES, EXCEPTIONS = 20_000, 3_000, 1_000
-#: Letters of a word's beginning; an entry's least share of toxic rows, least count and least ratio.
+#: Letters of a word's beginning; an entry's least share of toxic rows, least likelihood-ratio statistic, least ratio.
 STEMS = (3, 4, 5, 6, 7, 8)
-SHARE, COUNT, LIFT = 0.005, 4, 15.0
+SHARE, EVIDENCE, LIFT = 0.005, 16.0, 15.0
 #: A phrase is an exception in at least so many clean rows and at this ratio of clean to toxic shares.
 CLEAN_COUNT, CLEAN_LIFT = 3, 2.0
 CUT = 0.7
@@ -165,8 +165,12 @@ def fitted(rows: DataFrame, sample: int = SAMPLE) -> Lexicon:
     if not toxic or not clean:
         return Lexicon(logistic=(20.0 if toxic else -20.0, 0.0, 0.0))
     lift = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
+    both, part = F.col("toxic") + F.col("clean"), toxic / (toxic + clean)
+    evidence = sum(
+        F.when(F.col(k) > 0, 2 * F.col(k) * F.log(F.col(k) / (both * share))).otherwise(0.0) for k, share in (("toxic", part), ("clean", 1 - part))
+    )
     telling = _counted(rows, stems).withColumn("lift", lift)
-    telling = telling.where((F.col("toxic") >= max(COUNT, SHARE * toxic)) & (F.col("lift") >= LIFT))
+    telling = telling.where((F.col("toxic") >= SHARE * toxic) & (evidence >= EVIDENCE) & (F.col("lift") >= LIFT))
     entries: dict[str, float] = {}
     for r in sorted(telling.orderBy(F.desc("toxic"), "part").limit(ENTRIES).collect(), key=lambda r: (len(r["part"]), r["part"])):
         if not any(r["part"][:n] in entries for n in STEMS):

@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline. Nothing else in the library imports this package."""
 
 from llm import (
+    backoff_automaton,
     circulant_minhash,
     config_packing,
     edit_decontamination,
@@ -8,15 +9,18 @@ from llm import (
     host_reputation,
     language_id,
     quality_trees,
+    suffix_merge,
 )
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_quality_trees": quality_trees.op2_quality_trees,
     "op3_circulant_minhash": circulant_minhash.op3_circulant_minhash,
+    "op4_backoff_automaton": backoff_automaton.op4_backoff_automaton,
     "op6_edit_decontamination": edit_decontamination.op6_edit_decontamination,
     "op7_host_reputation": host_reputation.op7_host_reputation,
     "op8_config_packing": config_packing.op8_config_packing,
     "op9_folded_lexicon": folded_lexicon.op9_folded_lexicon,
+    "op10_suffix_merge": suffix_merge.op10_suffix_merge,
 }
 ORACLES = {"op7_host_reputation": host_reputation.ORACLE}

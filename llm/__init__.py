@@ -8,6 +8,7 @@ from llm import (
     folded_lexicon,
     host_reputation,
     language_id,
+    mincut_extraction,
     quality_trees,
     suffix_merge,
 )
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_quality_trees": quality_trees.op2_quality_trees,
     "op3_circulant_minhash": circulant_minhash.op3_circulant_minhash,
     "op4_backoff_automaton": backoff_automaton.op4_backoff_automaton,
+    "op5_mincut_extraction": mincut_extraction.op5_mincut_extraction,
     "op6_edit_decontamination": edit_decontamination.op6_edit_decontamination,
     "op7_host_reputation": host_reputation.op7_host_reputation,
     "op8_config_packing": config_packing.op8_config_packing,

@@ -154,11 +154,34 @@ class Finder:
                 yield self.items[k].item_id, a, b, distance
 
 
-def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """docs (doc_id, text), items (item_id, text) -> doc_id, item_id, start, end (in normalised text), distance."""
+def blocks_of(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+    """The test items in blocks of about `block_chars` characters, one at a time."""
     items = items.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("c")).first()["c"]
     blocks = max(1, -(-int(chars) // block_chars))
+    for b in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
+        yield sorted((int(r["item_id"]), r["text"]) for r in rows)
+
+
+def clean_of(docs: DataFrame, items: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of docs, with all their columns, that hold no test item."""
+
+    def clean_of_block(block: list[tuple[int, str]]):
+        def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            finder = Finder(items_of(block, rate))
+            for batch in batches:
+                yield pd.Series([next(finder.find(normal(text)), None) is None for text in batch], dtype=bool)
+
+        return F.pandas_udf(clean, "boolean", F.PandasUDFType.SCALAR_ITER)
+
+    for block in blocks_of(items, block_chars):
+        docs = docs.where(clean_of_block(block)("text"))
+    return docs
+
+
+def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """docs (doc_id, text), items (item_id, text) -> doc_id, item_id, start, end (in normalised text), distance."""
     docs = docs.select("doc_id", "text")
 
     def search(block: list[tuple[int, str]]):
@@ -174,9 +197,8 @@ def leaks(docs: DataFrame, items: DataFrame, rate: float = RATE, block_chars: in
         return docs.mapInPandas(run, MATCHES)
 
     found = None
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        one = search(sorted((int(r["item_id"]), r["text"]) for r in rows))
+    for block in blocks_of(items, block_chars):
+        one = search(block)
         found = one if found is None else found.unionByName(one)
     return found
 

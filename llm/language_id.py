@@ -206,22 +206,36 @@ def trained(rows: DataFrame, sample: int = SAMPLE, hidden: int = HIDDEN, steps:
     return network
 
 
+def predicted(network: Network, texts: Sequence[str | None]) -> Iterator[tuple[int, list[str], np.ndarray]]:
+    """(first row, languages, scores) of consecutive texts."""
+    for first, raw in chunks(texts):
+        known = np.array([bool(network.langs) and t is not None and bool(_LETTER.search(t)) for t in texts[first : first + len(raw)]])
+        best, score = np.zeros(len(raw), np.int64), np.zeros(len(raw))
+        if known.any():
+            p = network.pooled(raw)
+            best, score = p.argmax(axis=1), np.clip(p.max(axis=1), 0, 1)
+        yield first, [network.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
+
+
+def in_known_language(docs: DataFrame, network: Network, least: float) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is known with at least this score."""
+
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([k != UNKNOWN and s >= least for _, names, score in predicted(network, batch.tolist()) for k, s in zip(names, score, strict=True)], dtype=bool)
+
+    return docs.where(F.pandas_udf(known, "boolean", F.PandasUDFType.SCALAR_ITER)("text"))
+
+
 def languages(docs: DataFrame, network: Network) -> DataFrame:
     """docs (doc_id, text) -> doc_id, lang_pred, score: the most probable language and its probability."""
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = batch["doc_id"].astype("Int64")
-            texts = batch["text"].tolist()
-            for first, raw in chunks(texts):
-                known = np.array([bool(network.langs) and t is not None and bool(_LETTER.search(t)) for t in texts[first : first + len(raw)]])
-                best, score = np.zeros(len(raw), np.int64), np.zeros(len(raw))
-                if known.any():
-                    p = network.pooled(raw)
-                    best, score = p.argmax(axis=1), np.clip(p.max(axis=1), 0, 1)
-                names = [network.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-                own = ids.iloc[first : first + len(raw)].reset_index(drop=True)
-                yield pd.DataFrame({"doc_id": own, "lang_pred": names, "score": np.where(known, score, 0.0)})
+            for first, names, score in predicted(network, batch["text"].tolist()):
+                own = ids.iloc[first : first + len(names)].reset_index(drop=True)
+                yield pd.DataFrame({"doc_id": own, "lang_pred": names, "score": score})
 
     return docs.select("doc_id", "text").mapInPandas(label, "doc_id bigint, lang_pred string, score double")
 

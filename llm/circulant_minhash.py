@@ -5,14 +5,18 @@ is one random order of the slots. Coordinate k of a signature is the least value
 permutation, circularly shifted by k, over the shingles' slots; so a shingle contributes one
 contiguous window of the second permutation to all coordinates at once. Coordinates are cut into
 `BANDS` bands of `ROWS`; documents with an equal band are candidates. At similarity 0.85 a pair
-misses all bands with probability 4e-7.
+misses all bands with probability 1e-7.
 
-Documents with equal shingle sets are one class from the start. Within a bucket no pairs are listed:
-members are compared with the bucket's pivot, linked members join its component, and the bucket is
-finished once it holds a single component. Buckets that are not finished take further pivots; a
-pivot that was compared with all others leaves its bucket, so the search ends with every pair of
-different components refuted on full sets. Buckets of at most `SMALL` members are then settled in
-one go. No stage collects a bucket, a component or a set of ids in one task or on the driver.
+Documents with equal shingle sets are one class from the start. Members of a bucket are joined with
+the bucket's least member only, and the connected components of these joins are families: two linked
+documents are always in one family. A family of at most `FAMILY` members is settled in one task on full
+sets: from a member the search compares it with all members not yet reached, at once, so a group of
+copies costs about one comparison a member and no list of pairs is made.
+
+Larger families are settled by joins, bucket by bucket: the members outside a bucket's commonest
+component are its pivots in turn, `PIVOTS` a round; a pivot is compared with all members of other
+components and then leaves, so the search ends with every pair refuted or joined, and no bucket,
+component or set of ids is collected in one task or on the driver.
 
 Defined results: a null or wordless text has no shingles, is linked with nothing and is kept. With
 fewer than `k` words the whole sequence is one shingle. A row without doc_id is linked with nothing:
@@ -32,14 +36,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.components import components
-from llm.words import Words, chunks, mixed
+from llm.words import CHUNK_BYTES, Words, chunks, mixed
 from statbank.session import materialized
 
 SHINGLE, PERCENT = 5, 85
-BANDS, ROWS, SLOT_BITS = 25, 5, 20
-#: Buckets of at most SMALL members compare all pairs of different components; larger ones use PIVOTS pivots a round.
-SMALL, PIVOTS = 16, 8
-_STEP = 2048
+BANDS, ROWS, SLOT_BITS = 50, 8, 16
+#: Members of a family that one task settles; pivots of a bucket in each round over larger families.
+FAMILY, PIVOTS = 6_000, 8
+_STEP = 1024
 
 
 class Circulant:
@@ -47,7 +51,7 @@ class Circulant:
 
     def __init__(self, bands: int = BANDS, rows: int = ROWS, bits: int = SLOT_BITS, seed: int = 7):
         self.bands, self.rows, self.shift = bands, rows, np.uint64(64 - bits)
-        order = np.random.default_rng(seed).permutation(1 << bits).astype(np.uint32)
+        order = np.random.default_rng(seed).permutation(1 << bits).astype(np.uint16 if bits <= 16 else np.uint32)
         k = bands * rows
         #: row s holds the second permutation at slots s, s + 1, ..., s + k - 1, going round at the end
         self.windows = sliding_window_view(np.concatenate([order, order[: k - 1]]), k)
@@ -102,13 +106,13 @@ def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
-    """docs (id, text) with the text deflated: what goes through the pair joins."""
+    """docs (id, family, size, text) with the text deflated: what goes through the joins."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield batch.assign(text=[zlib.compress(x.encode("utf-8", "surrogatepass"), 1) for x in batch["text"]])
 
-    return docs.mapInPandas(pack, "id bigint, text binary")
+    return docs.select("id", "family", "size", "text").mapInPandas(pack, "id bigint, family bigint, size bigint, text binary")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -122,16 +126,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                 part = batch.iloc[at : at + 256]
                 # Neighbours share a pivot's text; equal texts are hashed once.
                 known = {x: None for x in [*part["ta"], *part["tb"]]}
-                raws = [zlib.decompress(x) for x in known]
-                size, held, sets = 0, [], []
-                for raw in raws:
-                    held.append(raw)
-                    size += len(raw)
-                    if size > 2 << 20:
-                        sets += shingle_sets(held, k)
-                        held, size = [], 0
-                sets += shingle_sets(held, k) if held else []
-                known = dict(zip(known, sets, strict=True))
+                known = dict(zip(known, _sets_of([zlib.decompress(x) for x in known], k), strict=True))
                 good = []
                 for x, y in zip(part["ta"], part["tb"], strict=True):
                     x, y = known[x], known[y]
@@ -142,60 +137,144 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return both.mapInPandas(compare, "a bigint, b bigint").distinct()
 
 
-def _labelled(live: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """live with the component of each class; classes without links are their own."""
-    if labels is None:
-        return live.withColumn("comp", F.col("rep"))
-    joined = live.join(labels.select(F.col("node").alias("rep"), F.col("component")), "rep", "left")
-    return joined.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-
-
-def linked_components(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
-    """classes (rep, n, bands): the components of linked classes as (node, component); None if there are none."""
-    bands = materialized(classes.select("rep", "n", F.explode("bands").alias("key")), "bands")
-    shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    live = materialized(bands.join(shared, "key").select("key", "rep", "n"), "buckets")
-    needed = live.select(F.col("rep").alias("doc_id")).distinct()
-    found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(needed, "doc_id")
-    texts = materialized(packed_texts(found.select(F.col("doc_id").alias("id"), "text")), "texts")
+def settled(sets: list[np.ndarray], percent: int) -> list[int]:
+    """For each set the first set that its links reach, itself included (as positions in the list)."""
+    sizes = np.array([len(x) for x in sets])
+    reached = np.full(len(sets), -1)
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    marks = np.zeros(int(ids.max()) + 1, np.int32)
+    left, flat, starts = np.arange(len(sets)), ids, bounds[:-1]
+    for first in range(len(sets)):
+        if reached[first] >= 0:
+            continue
+        reached[first] = first
+        queue = [first]
+        while queue:
+            at = queue.pop()
+            open_now = reached[left] < 0
+            if not open_now.any():
+                break
+            if open_now.sum() * 2 < len(left):  # forget sets that were reached
+                left = left[open_now]
+                flat = np.concatenate([ids[bounds[i] : bounds[i + 1]] for i in left.tolist()])
+                starts = np.concatenate([[0], np.cumsum(sizes[left])[:-1]])
+                open_now = np.ones(len(left), bool)
+            own = ids[bounds[at] : bounds[at + 1]]
+            marks[own] = 1
+            both = np.add.reduceat(marks[flat], starts)
+            marks[own] = 0
+            linked = left[open_now & (100 * both >= percent * (sizes[at] + sizes[left] - both))]
+            reached[linked] = first
+            queue += linked.tolist()
+    return reached.tolist()
+
+
+def _sets_of(raws: list[bytes], k: int) -> list[np.ndarray]:
+    out, held, size = [], [], 0
+    for raw in raws:
+        held.append(raw)
+        size += len(raw)
+        if size > CHUNK_BYTES:
+            out += shingle_sets(held, k)
+            held, size = [], 0
+    return out + list(shingle_sets(held, k)) if held else out
+
+
+def _families_settled(members: DataFrame, k: int, percent: int) -> DataFrame:
+    """members (family, id, text deflated), each family in one task and in a row -> (node, component)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[int, bytes]] = []
+        family, out = None, []
+
+        def settle() -> None:
+            held.sort()
+            found = settled(_sets_of([zlib.decompress(text) for _, text in held], k), percent)
+            least = {f: held[f][0] for f in found}
+            # Texts of one id are one node: what they reach is one component.
+            while True:
+                own: dict[int, int] = {}
+                for (node, _), f in zip(held, found, strict=True):
+                    own[node] = min(own.get(node, node), least[f])
+                lower = dict(least)
+                for (node, _), f in zip(held, found, strict=True):
+                    lower[f] = min(lower[f], own[node])
+                if lower == least:
+                    break
+                least = lower
+            out.extend(own.items())
+            held.clear()
 
-    labels, links, tested, spread = None, None, None, 1
+        for batch in batches:
+            for own, node, text in zip(batch["family"].tolist(), batch["id"].tolist(), batch["text"], strict=True):
+                if own != family and held:
+                    settle()
+                family = own
+                held.append((node, text))
+            if len(out) > 10_000:
+                yield pd.DataFrame(out, columns=["node", "component"])
+                out.clear()
+        if held:
+            settle()
+        yield pd.DataFrame(out, columns=["node", "component"])
+
+    return members.mapInPandas(run, "node bigint, component bigint")
+
+
+def _by_rounds(live: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """live (key, rep, n) of large families -> (node, component) of the linked nodes; None if there are none."""
+    labels, links = None, None
     while True:
-        now = _labelled(live, labels)
-        state = now.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        open_keys = state.where("size > 1 AND low <> high").select("key", "size")
-        now = materialized(now.join(open_keys, "key"), "open")
+        if labels is None:
+            now = live.withColumn("comp", F.col("rep"))
+        else:
+            now = live.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
+            now = now.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+        # In the first round every member is a component of its own, and the least one is the pivot.
+        counts = now.groupBy("key", "comp").agg(F.count("*").alias("c")) if labels is not None else now.select("key", "comp", F.lit(1).alias("c"))
+        main = counts.groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("c", F.negative("comp").alias("x"))).alias("m"))
+        main = main.where("comps > 1").select("key", F.negative("m.x").alias("main"))
+        now = materialized(now.join(main, "key"), "open")
         if now.isEmpty():
             return labels
-        # The first round has one pivot a bucket; afterwards small buckets are settled at once.
-        many = now if spread == 1 else now.where(F.col("size") > SMALL)
-        salt = F.pmod(F.xxhash64("rep"), F.lit(spread))
-        pivots = many.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("rep", "n", "comp")).alias("p"))
+        first = labels is None and links is None
+        outside = now.where("rep = comp AND comp = main") if first else now.where("comp <> main")
+        pivots = outside.groupBy("key", F.pmod(F.xxhash64("rep"), F.lit(PIVOTS)).alias("salt")).agg(F.min(F.struct("rep", "n", "comp")).alias("p"))
         pivots = pivots.select("key", F.col("p.rep").alias("b"), F.col("p.n").alias("nb"), F.col("p.comp").alias("cb"))
-        # A pivot meets the other pivots of its bucket once, every other member always.
-        pairs = many.join(pivots, "key")
-        if spread > 1:
-            small = now.where(F.col("size") <= SMALL)
-            pairs = pairs.unionByName(
-                small.join(small.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "key")
-            )
-        pairs = pairs.where((F.col("rep") != F.col("b")) & (F.col("comp") != F.col("cb")) & _sizes_allow(F.col("n"), F.col("nb"), percent))
-        pairs = pairs.select(F.least("rep", "b").alias("b"), F.greatest("rep", "b").alias("a")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialized(pairs, "pairs")
+        pairs = now.join(pivots, "key").where((F.col("comp") != F.col("cb")) & _sizes_allow(F.col("n"), F.col("nb"), percent))
+        pairs = materialized(pairs.select(F.least("rep", "b").alias("b"), F.greatest("rep", "b").alias("a")).distinct(), "pairs")
         new = materialized(confirmed(pairs, texts, k, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
         if not new.isEmpty():
             labels = components(links)
-        gone = pivots.select("key", F.col("b").alias("rep"))
-        live = many.join(gone, ["key", "rep"], "left_anti").select("key", "rep", "n")
-        spread = PIVOTS
+        live = now.join(pivots.select("key", F.col("b").alias("rep")), ["key", "rep"], "left_anti").select("key", "rep", "n")
+
+
+def linked_components(classes: DataFrame, docs: DataFrame, k: int, percent: int, family: int = FAMILY) -> DataFrame:
+    """classes (rep, n, bands): (node, component) of every class that shares a bucket with another one."""
+    bands = materialized(classes.select("rep", "n", F.explode("bands").alias("key")), "bands")
+    shared = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1").select("key", "least")
+    live = materialized(bands.join(shared, "key"), "buckets")
+    families = components(live.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct())
+    families = families.select(F.col("node").alias("id"), F.col("component").alias("family"))
+    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
+    families = materialized(families.join(sizes, "family"), "families")
+    needed = families.select(F.col("id").alias("doc_id"), "family", "size")
+    found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(needed, "doc_id")
+    texts = materialized(packed_texts(found.select(F.col("doc_id").alias("id"), "family", "size", "text")), "texts")
+    parts = max(4, int(families.count()) // 2_000)
+    members = texts.where(F.col("size") <= family).repartition(parts, "family").sortWithinPartitions("family")
+    out = _families_settled(members.select("family", "id", "text"), k, percent)
+    large = families.where(F.col("size") > family).select(F.col("id").alias("rep"))
+    if large.isEmpty():
+        return materialized(out, "settled")
+    slow = _by_rounds(live.select("key", "rep", "n").join(large, "rep"), texts.select("id", "text"), k, percent)
+    return materialized(out if slow is None else out.unionByName(slow), "settled")
 
 
 def near_duplicates(
-    docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
+    docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, family: int = FAMILY
 ) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_shingles, component_id, kept: one row per row of docs."""
     signed = materialized(signatures(docs, k, bands, rows), "signatures")
@@ -204,12 +283,10 @@ def near_duplicates(
     classes = materialized(
         classes.select("digest", F.col("x.doc_id").alias("rep"), F.col("x.n_shingles").alias("n"), F.col("x.bands").alias("bands")), "classes"
     )
-    labels = linked_components(classes.select("rep", "n", "bands"), docs, k, percent)
+    labels = linked_components(classes.select("rep", "n", "bands"), docs, k, percent, family)
     named = signed.select("doc_id", "n_shingles", "digest").join(classes.select("digest", "rep"), "digest", "left")
-    least = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
-    if labels is not None:
-        named = named.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        least = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    named = named.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    least = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return named.select("doc_id", "n_shingles", least.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )

@@ -3,8 +3,8 @@
 A configuration is a multiset of piece lengths that fits into one sequence. The program asks for the
 fewest configurations that cover the histogram. Multiplicative weights solve it: every length has a
 weight that falls as its coverage rises; an unbounded-knapsack dynamic program prices configurations
-under these weights, one for each length that must be in it. The averaged solution is rounded down
-and the rest, which is small against the histogram, is filled length by length with the same program.
+under these weights, one for each length that must be in it. The fractional solution is rounded down
+and the rest of the histogram is placed by best fit, longest pieces first.
 
 Only the histogram (at most `capacity` numbers) and the chosen configurations reach the driver. A
 piece finds its place from its rank among the pieces of its length: ranks are counted in blocks by
@@ -36,6 +36,8 @@ END = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Rounds of multiplicative weights, and how strongly coverage lowers a weight.
 ROUNDS, RATE = 40, 0.5
+#: Parts of the fractional solution that are tried when it is rounded down.
+SHARES = (1.0, 0.9, 0.8, 0.6, 0.5, 0.4, 0.25, 0.1)
 #: Pieces per counting block, on average.
 BLOCK_ROWS = 50_000
 #: Distinct words whose ids a Python worker remembers; beyond it the memory starts anew.
@@ -155,58 +157,84 @@ def _filled(room: int, take: np.ndarray) -> list[int]:
     return out
 
 
+def fractional(need: np.ndarray, capacity: int, rounds: int) -> dict[tuple[int, ...], float]:
+    """The program by multiplicative weights: how often each configuration is used, in fractions.
+
+    After round t every length is covered to the t-th part of its need at least. Lengths are visited from
+    the longest on; one that lags behind takes the best priced configuration that holds it, which also covers
+    others. Lengths that are covered beyond their part lose weight for the next round.
+    """
+    lengths = np.flatnonzero(need)
+    size = np.arange(capacity + 1, dtype=float)
+    # Of configurations that fill as much, the one of fewer and longer pieces: short ones fit anywhere later.
+    worth = size + 1e-3 * size**2 / capacity
+    covered, x = np.zeros(capacity + 1), Counter()
+    for t in range(1, rounds + 1):
+        ratio = np.divide(covered, need, out=np.zeros_like(covered), where=need > 0) * rounds - (t - 1)
+        weight = np.where(need > 0, worth * np.exp(-RATE * np.clip(ratio, -4, 4)), 0.0)
+        _, take = priced(weight, capacity)
+        for length in lengths[::-1].tolist():
+            lag = need[length] * t / rounds - covered[length]
+            if lag > 1e-9:
+                pattern = tuple(sorted([length, *_filled(capacity - length, take)], reverse=True))
+                counts = Counter(pattern)
+                amount = lag / counts[length]
+                x[pattern] += amount
+                for y, c in counts.items():
+                    covered[y] += amount * c
+    return x
+
+
+def best_fit(left: np.ndarray, capacity: int) -> Counter[tuple[int, ...]]:
+    """Best fit decreasing on a histogram: equal pieces and equal sequences are placed together."""
+    rooms: dict[int, Counter[tuple[int, ...]]] = {}
+    for length in np.flatnonzero(left)[::-1].tolist():
+        n = int(left[length])
+        while n:
+            room = min((r for r, held in rooms.items() if r >= length and held), default=None)
+            if room is None:
+                # New sequences take as many equal pieces as fit.
+                each = min(n, capacity // length)
+                rooms.setdefault(capacity - each * length, Counter())[(length,) * each] += n // each
+                n %= each
+                continue
+            pattern, times = next(iter(rooms[room].items()))
+            each = min(n, room // length)
+            some = min(times, n // each)
+            rooms[room][pattern] -= some
+            if not rooms[room][pattern]:
+                del rooms[room][pattern]
+            rooms.setdefault(room - each * length, Counter())[pattern + (length,) * each] += some
+            n -= some * each
+    return sum(rooms.values(), Counter())
+
+
 def configurations(histogram: Mapping[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a configuration, times used), which together hold exactly the histogram."""
-    left = np.zeros(capacity + 1, np.int64)
+    """(lengths of a configuration, times used), which together hold exactly the histogram.
+
+    The fractional solution is rounded down, whole or scaled by one of `SHARES`, and the rest is best-fit; the
+    rounding that needs the fewest sequences counts.
+    """
+    need = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
-        left[length] = n
-    lengths = np.flatnonzero(left)
-    if not len(lengths):
+        need[length] = n
+    if not need.any():
         return []
-    need, covered = left.astype(float), np.zeros(capacity + 1)
-    x: Counter[tuple[int, ...]] = Counter()
-    for _ in range(rounds):
-        ratio = np.divide(covered, need, out=np.zeros_like(covered), where=need > 0)
-        weight = np.where(left > 0, np.arange(capacity + 1) * np.exp(-RATE * (ratio - ratio[lengths].mean())), 0.0)
-        _, take = priced(weight, capacity)
-        for length in lengths.tolist():
-            pattern = tuple(sorted([length, *_filled(capacity - length, take)], reverse=True))
-            amount = need[length] / rounds
-            x[pattern] += amount
-            for y in pattern:
-                covered[y] += amount
-    scale = max(1.0, float((covered[lengths] / need[lengths]).min()))
-    out: Counter[tuple[int, ...]] = Counter()
-    # Longest pieces first: short ones are easy to place later.
-    for pattern, amount in sorted(x.items(), key=lambda p: (-p[0][0], -p[1], p[0])):
-        counts = Counter(pattern)
-        times = min(int(amount / scale), *(int(left[y]) // c for y, c in counts.items()))
-        if times > 0:
-            out[pattern] += times
-            for y, c in counts.items():
-                left[y] -= times * c
-    while left.any():
-        first = int(np.flatnonzero(left)[-1])
-        present = np.where(left > 0, np.arange(capacity + 1), 0).astype(float)
-        _, take = priced(present, capacity)
-        pattern, room, have = [first], capacity - first, left.copy()
-        have[first] -= 1
-        for y in sorted(_filled(room, take), reverse=True):
-            if have[y] > 0:
-                pattern.append(y)
-                have[y] -= 1
-                room -= y
-        for y in np.flatnonzero(have)[::-1].tolist():  # best fit of what the program took too often
-            while have[y] > 0 and y <= room:
-                pattern.append(y)
-                have[y] -= 1
-                room -= y
-        counts = Counter(pattern)
-        times = min(int(left[y]) // c for y, c in counts.items())
-        out[tuple(sorted(pattern, reverse=True))] += times
-        for y, c in counts.items():
-            left[y] -= times * c
-    return sorted(out.items())
+    best: Counter[tuple[int, ...]] = Counter()
+    x = sorted(fractional(need, capacity, int(max(1, min(rounds, np.median(need[need > 0]) // 8)))).items(), key=lambda p: (-sum(p[0]), -p[0][0], -p[1], p[0]))
+    for share in SHARES:
+        left, out = need.copy(), Counter()
+        for pattern, amount in x:
+            counts = Counter(pattern)
+            times = min(int(amount * share), *(int(left[y]) // c for y, c in counts.items()))
+            if times > 0:
+                out[pattern] += times
+                for y, c in counts.items():
+                    left[y] -= times * c
+        out += best_fit(left, capacity)
+        if not best or out.total() < best.total():
+            best = out
+    return sorted(best.items())
 
 
 class Places:

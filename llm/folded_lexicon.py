@@ -7,7 +7,7 @@ clean ones, weighted by the logarithm of that ratio, the shortest sufficient beg
 phrases are two-word contexts of an entry that are common in clean documents; a hit inside one does
 not count. The score is a logistic function of the weight found, alone and per word of the text.
 
-Fitting uses at most `SAMPLE` labelled rows, chosen by a hash of their ids; scoring covers every text
+Fitting uses at most `SAMPLE` different labelled rows, chosen by a hash; scoring covers every text
 from end to end.
 
 Defined results: a null or empty text finds nothing and gets the score of a text without hits. Without
@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statbank.session import materialized
+
 #: Bounds of fitting: labelled rows, lexicon entries, exception phrases.
 SAMPLE, ENTRIES, EXCEPTIONS = 20_000, 3_000, 1_000
 #: Letters of a word's beginning; an entry's least share of toxic rows, least likelihood-ratio statistic, least ratio.
@@ -157,9 +159,10 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 def fitted(rows: DataFrame, sample: int = SAMPLE) -> Lexicon:
     """A lexicon from labelled rows (doc_id, text, y 0 or 1), of which at most `sample` are used."""
     rows = rows.where(F.col("y").isin(0, 1)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample).drop("doc_id")
-    # A bounded table, read by three passes.
-    rows = materialized_rows(rows)
+    # Chosen by narrow rows; the choice is of at most `sample` numbers, so it is sent to where the texts are.
+    mark = F.xxhash64("doc_id", "y", "text")
+    chosen = F.broadcast(rows.select(mark.alias("mark")).orderBy("mark").limit(sample).distinct())
+    rows = materialized(rows.withColumn("mark", mark).join(chosen, "mark", "left_semi").dropDuplicates(["mark"]).select("text", "y"), "labelled")
     total = {int(r["y"]): int(r["n"]) for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = total.get(1, 0), total.get(0, 0)
     if not toxic or not clean:
@@ -198,12 +201,6 @@ def fitted(rows: DataFrame, sample: int = SAMPLE) -> Lexicon:
     return lexicon
 
 
-def materialized_rows(rows: DataFrame) -> DataFrame:
-    from statbank.session import materialized
-
-    return materialized(rows, "labelled").repartition(8)
-
-
 def toxicity(docs: DataFrame, lexicon: Lexicon, cut: float = CUT, spans: bool = False) -> DataFrame:
     """docs (doc_id, text) -> doc_id, score, predicted; with `spans` also the hits in the folded text."""
 
@@ -227,10 +224,17 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").where(~held_out(F.col("doc_id"))).join(known, "doc_id")
 
 
+def sampled_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most twice `sample` labels of documents that are not held out, by a hash of their ids: few enough to
+    be sent to where the texts are."""
+    own = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return F.broadcast(own.orderBy(F.xxhash64("doc_id")).limit(2 * sample))
+
+
 def op9_folded_lexicon(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's toxicity; learned from labels of documents that are not held out."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    lexicon = fitted(labelled(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+    lexicon = fitted(labelled(docs, sampled_labels(spark.read.parquet(f"{folder}/labels.parquet"))))
     return toxicity(docs, lexicon).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 

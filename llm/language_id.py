@@ -184,7 +184,10 @@ class Network:
 def trained(rows: DataFrame, sample: int = SAMPLE, hidden: int = HIDDEN, steps: int = STEPS, epochs: int = EPOCHS) -> Network:
     """A network from labelled rows (doc_id, text, lang), of which at most `sample` are used."""
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select("doc_id", "text", "lang")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "text").limit(sample)
+    # Chosen by one number a row; the choice, at most `sample` numbers, is sent to where the texts are.
+    mark = F.xxhash64("doc_id", "lang", "text")
+    chosen = F.broadcast(rows.select(mark.alias("mark")).orderBy("mark").limit(sample).distinct())
+    rows = rows.withColumn("mark", mark).join(chosen, "mark", "left_semi").dropDuplicates(["mark"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Segments from evenly spaced places, so that long texts bring no more than short ones."""
@@ -197,7 +200,8 @@ def trained(rows: DataFrame, sample: int = SAMPLE, hidden: int = HIDDEN, steps:
                     out.append((raw[at : at + steps], lang))
             yield pd.DataFrame(out, columns=["raw", "lang"])
 
-    got = rows.mapInPandas(cut, "raw binary, lang string").toPandas()  # at most sample * SEGMENTS * steps bytes
+    got = rows.select("text", "lang").mapInPandas(cut, "raw binary, lang string").toPandas()  # at most sample * SEGMENTS * steps bytes
+    got = got.sort_values(["lang", "raw"], ignore_index=True)
     langs = sorted(set(got["lang"]))
     network = Network(langs, hidden, steps)
     if langs:

@@ -61,7 +61,7 @@ def main() -> None:
     store: Store = timed("export_store", lambda: export_store(stored, workspace(spark, "bench")))
     facts, bilingual = store.facts, store.bilingual
     title = store.codebook.where((F.col("subjectId") == "P0012") & (F.col("n1") == "ogółem"))
-    chosen = Selection(levels=(1, 2, 4, 5, 6)).add(title.where(F.col("n4").isNull()).limit(40))
+    chosen = Selection(levels=(1, 2, 4, 5, 6)).add(title.where(F.col("n4").isNull()).orderBy("variable_id").limit(40))
     zl = store.codebook.where((F.col("subject_parent_id") == "K2") & (F.col("measureUnitName") == "zł"))
     some_queries = queries_table(t)
     documents = t.source("documents")

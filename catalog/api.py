@@ -74,6 +74,18 @@ def _(t):
     return get(store, subjects=["P0012", "P0021"], level="gmina", dims={"n1": "small"}, add_labels=False)
 
 
+@query(
+    "api_get_variables",
+    """SELECT f.variable_id, f.unitId, f.unitName, f.unitLevel, f.year, f.value FROM facts_6 f
+WHERE f.variable_id IN (SELECT variable_id FROM codebook WHERE subjectId = 'P0012' AND n1 = 'small') AND f.year < 1998""",
+)
+def _(t):
+    store = lay_out(t.stored, workspace(t.spark, "store"))
+    rows = t.codebook.where((F.col("subjectId") == "P0012") & (F.col("n1") == "small")).select("variable_id").collect()
+    years = range(1900, 1998)
+    return get(store, variables=[r.variable_id for r in rows], level="gmina", years=years, add_labels=False)
+
+
 @query("api_get_none", "SELECT variable_id, unitId, unitName, unitLevel, year, value FROM facts_1 WHERE false")
 def _(t):
     return get(t.store, subjects=["P9999"], level="makroregion", add_labels=False)
@@ -307,7 +319,7 @@ def _(t):
     folder = workspace(t.spark, "export")
     explore.export(t.store, _selection(t), folder, layout="long", per_level=True)
     shape = dataset.long(t.facts, t.codebook).schema
-    return t.spark.read.schema(shape).option("header", True).csv(f"{folder}/data")
+    return t.spark.read.schema(shape).options(**S.CSV).csv(f"{folder}/data")
 
 
 @query(
@@ -317,5 +329,5 @@ def _(t):
 def _(t):
     folder = workspace(t.spark, "export")
     explore.export(t.store, _selection(t), folder, layout="wide")
-    doc = t.spark.read.option("header", True).csv(f"{folder}/codebook")
+    doc = t.spark.read.options(**S.CSV).csv(f"{folder}/codebook")
     return doc.select(F.col("variable_id").cast("bigint"), "variable_name", "subjectId")

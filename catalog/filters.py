@@ -6,7 +6,7 @@ from catalog.registry import query
 from statbank import schema as S
 from statbank.functions import text
 from statbank.operators import facets, filters, match, search
-from statbank.plans.explore import selection_add
+from statbank.plans.explore import selection_add, selection_remove
 
 TITLE_WORDS = ["ludność typu", "mieszkania", "registered unemployed", "źródła red", "dwellings large"]
 
@@ -301,21 +301,23 @@ def _subject_totals(t, subject):
 
 @query(
     "flt_cart_limit",
-    f"""SELECT 'some' AS kind, variable_id FROM ({HELD}) h WHERE (SELECT count(*) FROM ({HELD}) n) <= 60
-UNION ALL SELECT 'many', variable_id FROM (SELECT NULL::BIGINT AS variable_id) z
-WHERE (SELECT count(*) FROM codebook) <= 60""",
+    f"""SELECT 'some' AS kind, variable_id, true AS added FROM ({HELD}) h WHERE (SELECT count(*) FROM ({HELD}) n) <= 60
+UNION ALL SELECT 'some', NULL, false WHERE (SELECT count(*) FROM ({HELD}) n) > 60
+UNION ALL SELECT 'many', variable_id, true FROM codebook WHERE (SELECT count(*) FROM codebook) <= 60
+UNION ALL SELECT 'many', NULL, false WHERE (SELECT count(*) FROM codebook) > 60""",
 )
 def _(t):
     none = t.codebook.select("variable_id").where(F.lit(False))
     some = selection_add(none, _subject_totals(t, "P0012")).withColumn("kind", F.lit("some"))
     many = selection_add(none, t.codebook.select("variable_id")).withColumn("kind", F.lit("many"))
-    return some.unionByName(many).select("kind", "variable_id")
+    return some.unionByName(many).select("kind", "variable_id", "added")
 
 
 @query(
     "set_selection_add",
-    f"""SELECT variable_id FROM ({HELD}) h UNION SELECT variable_id FROM ({MORE}) m
-WHERE (SELECT count(*) FROM ({HELD}) a) + (SELECT count(*) FROM ({MORE}) b) <= 60""",
+    f"""SELECT variable_id, (SELECT count(*) FROM ({HELD}) a) + (SELECT count(*) FROM ({MORE}) b) <= 60 AS added FROM (
+SELECT variable_id FROM ({HELD}) h UNION SELECT variable_id FROM ({MORE}) m
+WHERE (SELECT count(*) FROM ({HELD}) a) + (SELECT count(*) FROM ({MORE}) b) <= 60) u""",
 )
 def _(t):
     return selection_add(_subject_totals(t, "P0012"), _subject_totals(t, "P0013"))
@@ -326,4 +328,4 @@ def _(t):
     f"SELECT variable_id FROM codebook WHERE variable_id NOT IN ({HELD})",
 )
 def _(t):
-    return t.codebook.select("variable_id").join(_subject_totals(t, "P0012"), "variable_id", "left_anti")
+    return selection_remove(t.codebook, _subject_totals(t, "P0012"))

@@ -208,7 +208,7 @@ def _(t):
     folder = workspace(t.spark, "dataset")
     data = dataset.long(t.facts, t.codebook)
     datasets.write_dataset(data, folder)
-    return t.spark.read.schema(data.schema).option("header", True).csv(folder)
+    return t.spark.read.schema(data.schema).options(**S.CSV).csv(folder)
 
 
 @query("sink_per_level", LONG)
@@ -216,7 +216,7 @@ def _(t):
     folder = workspace(t.spark, "levels")
     data = dataset.long(t.facts, t.codebook)
     datasets.write_dataset(data, folder, per_level=True)
-    return t.spark.read.schema(data.schema).option("header", True).csv(folder)
+    return t.spark.read.schema(data.schema).options(**S.CSV).csv(folder)
 
 
 @query(
@@ -228,7 +228,7 @@ def _(t):
     ids = t.bilingual.where(F.col("measureUnitName") == "zł")
     doc = dataset.codebook_doc(t.bilingual, ids)
     datasets.write_csv(doc, folder)
-    return t.spark.read.schema(doc.schema).option("header", True).csv(folder)
+    return t.spark.read.schema(doc.schema).options(**S.CSV).csv(folder)
 
 
 @query("proj_codebook_doc", DOC)

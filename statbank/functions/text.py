@@ -21,10 +21,13 @@ STEM_MIN_LEFT = 4
 
 @lru_cache(maxsize=1)
 def _fold_table() -> tuple[str, str]:
-    """translate() arguments, by rule: a lower-case letter whose decomposition is one base
-    character plus marks becomes the base, a bare mark disappears, and ł becomes l."""
+    """translate() arguments, by rule over all of Unicode: a lower-case letter whose decomposition
+    is one base character plus marks becomes the base, a bare mark disappears, ł becomes l, and a
+    letter with several bases stays."""
     source, target, dropped = ["ł"], ["l"], []
-    for code in range(0x80, 0x2100):
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code < 0xE000:
+            continue
         char = chr(code)
         if unicodedata.category(char) == "Mn":
             dropped.append(char)
@@ -36,6 +39,13 @@ def _fold_table() -> tuple[str, str]:
     return "".join(source + dropped), "".join(target)
 
 
+@lru_cache(maxsize=1)
+def _literal_table() -> dict[int, str | None]:
+    source, target = _fold_table()
+    letters = dict(zip(map(ord, source), target, strict=False))
+    return letters | {ord(c): None for c in source[len(target) :] + SPACING_MARKS}
+
+
 def fold(c: Column) -> Column:
     """Lower-cased text without accents; ł counts as l, other stroked letters stay."""
     source, target = _fold_table()
@@ -50,10 +60,17 @@ def fold_query(c: Column) -> Column:
 
 def fold_literal(text: str) -> str:
     """`fold_query` of a plan-time string."""
-    marks = set(SPACING_MARKS)
-    letters = unicodedata.normalize("NFD", text)
-    kept = [c for c in letters if unicodedata.category(c) != "Mn" and c not in marks]
-    return "".join(kept).lower().replace("ł", "l")
+    return text.lower().translate(_literal_table())
+
+
+def stripped(c: Column) -> Column:
+    """A query without blanks of any kind at its ends."""
+    return F.regexp_replace(c, f"^{SPACE}|{SPACE}$", "")
+
+
+def strip_literal(text: str) -> str:
+    """`stripped` of a plan-time string."""
+    return re.sub(f"^{SPACE}|{SPACE}$", "", text, flags=re.ASCII)
 
 
 def query_terms(text: str) -> list[str]:

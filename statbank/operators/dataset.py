@@ -87,12 +87,12 @@ def long(observations: DataFrame, codebook: DataFrame) -> DataFrame:
     )
 
 
-def indicator_labels(codebook: DataFrame, key: str = "variable_full_name") -> list[str]:
-    """Column headings of a wide dataset; refused beyond the selection limit."""
+def indicator_labels(codebook: DataFrame, key: str = "variable_full_name", limit: int = S.MAX_VARIABLES) -> list[str]:
+    """Column headings of a wide dataset; refused beyond `limit`."""
     found = codebook.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("label"))
-    rows = found.distinct().limit(S.MAX_VARIABLES + 1).collect()
-    if len(rows) > S.MAX_VARIABLES:
-        raise ValueError(f"a wide dataset takes at most {S.MAX_VARIABLES} indicators")
+    rows = found.distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a wide dataset takes at most {limit} indicators")
     return sorted(r.label for r in rows)
 
 
@@ -101,6 +101,7 @@ def wide(
     codebook: DataFrame,
     labels: Sequence[str] | None = None,
     key: str = "variable_full_name",
+    limit: int = S.MAX_VARIABLES,
 ) -> DataFrame:
     """Unit × year rows with one column per indicator.
 
@@ -108,15 +109,23 @@ def wide(
     key="variable_id" keeps them apart.
     """
     if labels is None:
-        labels = indicator_labels(codebook, key)
+        labels = indicator_labels(codebook, key, limit)
     names = codebook.select("variable_id", F.col(key).cast("string").alias("indicator")) if (
         key != "variable_id"
     ) else codebook.select("variable_id", F.col("variable_id").cast("string").alias("indicator"))
-    keyed = observations.join(small_side(names), "variable_id", "left").withColumn(
-        "level", text.level_name(F.col("unitLevel"))
-    )
-    grouped = keyed.groupBy("unitId", "unitName", "unitLevel", "level", "year")
-    return grouped.pivot("indicator", list(labels)).agg(F.min_by("value", "variable_id"))
+    # The heading becomes a small number beside the metadata; facts are grouped once, by narrow keys.
+    number = None
+    for i, label in enumerate(labels):
+        hit = F.col("indicator") == label
+        number = F.when(hit, i) if number is None else number.when(hit, i)
+    names = names.select("variable_id", (F.lit(None).cast("int") if number is None else number).alias("column"))
+    keyed = observations.join(small_side(names), "variable_id", "left")
+    key_columns = ["unitId", "unitName", "unitLevel", "year"]
+    cells = [F.expr(f"min_by(value, variable_id) FILTER (WHERE column = {i})").alias(label) for i, label in enumerate(labels)]
+    grouped = keyed.groupBy(*key_columns)
+    data = grouped.agg(*cells) if cells else keyed.select(*key_columns).distinct()
+    level = text.level_name(F.col("unitLevel")).alias("level")
+    return data.select("unitId", "unitName", "unitLevel", level, "year", *[F.col(f"`{x.replace('`', '``')}`") for x in labels])
 
 
 def codebook_doc(codebook: DataFrame, ids: DataFrame) -> DataFrame:

@@ -100,12 +100,13 @@ def term_in(term: str, columns: Sequence[str], stems: bool = True) -> Column:
 
 
 def terms_all(query: str, columns: Sequence[str], stems: bool = True) -> Column:
-    """Every word of the query, in some form, in some column."""
-    return all_of(term_in(t, columns, stems) for t in text.query_terms(query))
+    """Every word of the query, in some form, in some column; nothing if no word is left."""
+    terms = text.query_terms(query)
+    return all_of(term_in(t, columns, stems) for t in terms) if terms else F.lit(False)
 
 
 def long_enough(query: Column) -> Column:
-    return F.length(F.trim(query)) >= S.MIN_QUERY
+    return F.length(text.stripped(query)) >= S.MIN_QUERY
 
 
 def key_range(lo: int, hi: int, key: str = "variable_id") -> Column:

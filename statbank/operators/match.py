@@ -6,20 +6,18 @@ short character gram (an equi join), and the few candidates are verified with co
 No text is compared with all queries, and no text is shuffled: only its distinct words are.
 """
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 from statbank.functions import text
-from statbank.operators.filters import all_of, any_of, long_enough
+from statbank.operators.filters import long_enough
 from statbank.session import materialized, small_side
 
 GRAM = 3
-LISTED_FORMS = 256
 
 
 def _gram_set(c: Column) -> Column:
-    """All character grams of length 0..GRAM, without repeats."""
+    """All character grams of length 1..GRAM, without repeats."""
     chars = F.split(c, "")
     grams = F.transform(
         chars,
@@ -29,7 +27,7 @@ def _gram_set(c: Column) -> Column:
             F.concat(ch, F.get(chars, i + 1), F.get(chars, i + 2)),
         ),
     )
-    return F.array_distinct(F.array_compact(F.concat(F.array(F.lit("")), F.flatten(grams))))
+    return F.array_distinct(F.array_compact(F.flatten(grams)))
 
 
 def _first_gram(c: Column) -> Column:
@@ -37,12 +35,14 @@ def _first_gram(c: Column) -> Column:
 
 
 def substring_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
-    """Rows of both sides joined where the column `haystack` contains the column `needle`.
+    """Rows of both sides joined where the column `haystack` contains the column `needle`, which is not empty.
 
     A needle has one gram and a haystack has each of its grams once, so a pair comes up once.
     """
     left = needles.select("*", _first_gram(F.col("needle")).alias("gram"))
     right = haystacks.select("*", F.explode(_gram_set(F.col("haystack"))).alias("gram"))
+    # Most grams of the texts are no query's: they go before anything is joined.
+    right = right.join(left.select("gram").distinct(), "gram", "left_semi")
     return (
         right.join(left, "gram")
         .where(F.contains(F.col("haystack"), F.col("needle")))
@@ -50,34 +50,32 @@ def substring_pairs(needles: DataFrame, haystacks: DataFrame) -> DataFrame:
     )
 
 
-def query_words(queries: DataFrame, stems: bool = True) -> DataFrame:
-    """(qid, n_terms, pos, form): one row per form of each word of each usable query."""
-    words = (
-        queries.where(long_enough(F.col("query")))
-        .withColumn("terms", text.terms(F.col("query")))
-        .select("qid", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("pos", "term"))
-    )
-    forms = text.term_variants(F.col("term")) if stems else F.array("term")
-    return words.select("qid", "n_terms", "pos", F.explode(forms).alias("form"))
+def asked_words(queries: DataFrame, stems: bool = True) -> DataFrame:
+    """(query, forms): the forms of each word of each different usable query text."""
+    asked = queries.select("query").where(long_enough(F.col("query"))).distinct()
+    asked = asked.withColumn("terms", text.terms(F.col("query"))).where(F.size("terms") > 0)
+    forms = F.transform("terms", text.term_variants if stems else lambda t: F.array(t))
+    return asked.select("query", F.array_distinct(forms).alias("forms"))
 
 
-def match_listed(
-    texts: DataFrame, forms: list[Row], qid: DataType, key: str, columns: list[str], folded: bool = True
-) -> DataFrame:
-    """match_terms for a short list of query words: one pass over the texts, no shuffle."""
-    joined = F.concat_ws(" ", *[F.col(c) for c in columns])
-    found = sorted({r.form for r in forms})
-    words: dict[object, dict[int, set[str]]] = {}
-    for r in forms:
-        words.setdefault(r.qid, {}).setdefault(r.pos, set()).add(r.form)
-    prepared = texts.select(key, (joined if folded else text.fold(joined)).alias("text"))
-    flagged = prepared.select(key, F.array(*[F.col("text").contains(f) for f in found]).alias("has"))
+def rarest_words(asked: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(query, word): the text words that match a query's rarest term, for queries whose terms all occur.
+
+    vocabulary: (word, haystack, n), with the number of rows that hold each word.
+    """
+    forms = asked.select("query", F.size("forms").alias("n_terms"), F.posexplode("forms").alias("pos", "any_form"))
+    forms = forms.select("query", "n_terms", "pos", F.explode("any_form").alias("needle"))
+    pairs = substring_pairs(forms.select("needle").distinct(), vocabulary).select("needle", "word", "n")
+    wanted = forms.join(pairs, "needle").select("query", "n_terms", "pos", "word", "n").distinct()
+    costs = wanted.groupBy("query", "n_terms", "pos").agg(F.sum("n").alias("cost"))
+    cheapest = costs.groupBy("query", "n_terms").agg(F.count("*").alias("found"), F.min_by("pos", F.struct("cost", "pos")).alias("pos"))
+    cheapest = cheapest.where("found = n_terms").select("query", "pos")
+    return wanted.join(cheapest, ["query", "pos"]).select("query", "word").distinct()
 
-    def whole_query(by_word: dict[int, set[str]]) -> Column:
-        return all_of(any_of(F.get("has", found.index(f)) for f in fs) for fs in by_word.values())
 
-    tags = [F.when(whole_query(by_word), F.lit(q).cast(qid)) for q, by_word in words.items()]
-    return flagged.select(F.explode(F.array_compact(F.array(*tags))).alias("qid"), key)
+def candidates(words: DataFrame, rare: DataFrame, key: str) -> DataFrame:
+    """(query, key) of rows that hold a word of the query's rarest term."""
+    return words.join(rare, "word").select("query", key).distinct()
 
 
 def match_terms(
@@ -88,41 +86,25 @@ def match_terms(
     stems: bool = True,
     staged: bool = False,
     folded: bool = True,
-    listed: int = LISTED_FORMS,
 ) -> DataFrame:
-    """(qid, key) where every word of the query occurs in some column of the row.
+    """(qid, key) where every word of a query of that qid occurs in some column of the row; each pair once.
 
-    Columns that are not `folded` yet are folded word by word, once per different word.
+    Rows are counted for each different word of the texts. A query's candidates are the rows with a word that
+    holds its rarest term; the other terms are looked up in these rows only. Columns that are not `folded` yet
+    are folded word by word, once per different word, and again in the candidates.
 
-    With `staged`, for large corpora, sizes are looked at before the texts are read. Up to
-    `listed` query words go into the scan of the texts as literals. More of them are stored,
-    and so is the matched vocabulary; as long as it is small the texts meet it by broadcast
-    and their words are not shuffled. Beyond the broadcast limit words are shuffled by word.
+    With `staged`, for large corpora, the rarest words are stored, so that their size decides the join.
     """
-    forms = query_words(queries, stems)
-    if staged:
-        forms = small_side(materialized(forms, "forms"))
-        short = forms.limit(listed + 1).collect()
-        if 0 < len(short) <= listed:
-            return match_listed(texts, short, forms.schema["qid"].dataType, key, columns, folded)
+    asked = asked_words(queries, stems)
     joined = F.concat_ws(" ", *[F.col(c) for c in columns])
     words = texts.select(key, F.explode(text.words(joined)).alias("word"))
-    vocabulary = words.select("word").distinct()
+    vocabulary = words.groupBy("word").agg(F.count("*").alias("n"))
     vocabulary = vocabulary.withColumn("haystack", F.col("word") if folded else text.fold(F.col("word")))
-    pairs = substring_pairs(forms.select(F.col("form").alias("needle")).distinct(), vocabulary)
-    wanted = (
-        forms.join(pairs, F.col("form") == F.col("needle"))
-        .select("qid", "n_terms", "pos", "word")
-    )
+    rare = rarest_words(asked, vocabulary)
     if staged:
-        wanted = small_side(materialized(wanted, "words"))
-    # A word may match several forms; the bits below do not mind repeats.
-    # Words seen, as bits: one row per query, row and 32 words leaves each task.
-    seen = words.join(wanted, "word").groupBy("qid", key, "n_terms", F.expr("pos DIV 32").alias("slot"))
-    bits = seen.agg(F.bit_or(F.expr("shiftleft(1L, pos % 32)")).alias("bits"))
-    return (
-        bits.groupBy("qid", key, "n_terms")
-        .agg(F.sum(F.bit_count("bits")).alias("n_seen"))
-        .where(F.col("n_seen") == F.col("n_terms"))
-        .select("qid", key)
-    )
+        rare = small_side(materialized(rare, "words"))
+    body = (joined if folded else text.fold(joined)).alias("body")
+    found = candidates(words, rare, key).join(asked, "query").join(texts.select(key, body), key)
+    every = F.forall("forms", lambda any_form: F.exists(any_form, lambda form: F.contains(F.col("body"), form)))
+    found = found.where(every).select("query", key)
+    return queries.select("qid", "query").join(found, "query").select("qid", key).distinct()

@@ -116,7 +116,7 @@ def ranked_search(
     codebook: DataFrame, query: str, levels: Sequence[int] = (), k: int = S.MAX_SUBJECTS
 ) -> DataFrame:
     """Ranked subjects of one query, on a bilingual codebook."""
-    if len(query.strip()) < S.MIN_QUERY:
+    if len(text.strip_literal(query)) < S.MIN_QUERY:
         found = codebook.where(F.lit(False))
     else:
         found = codebook.where(filters.level_available(levels)).where(
@@ -173,7 +173,7 @@ def unit_search(
     units: DataFrame, query: str, levels: Sequence[int], k: int = S.MAX_UNITS
 ) -> DataFrame:
     """Units at the levels whose folded name contains every word; input has search_key."""
-    if len(query.strip()) < S.MIN_QUERY or not levels:
+    if len(text.strip_literal(query)) < S.MIN_QUERY or not levels:
         found = units.where(F.lit(False))
     else:
         found = units.where(F.col("unitLevel").isin(*levels)).where(

@@ -11,8 +11,9 @@ SERIES = ["variable_id", "unitId", "unitLevel"]
 
 def points(observations: DataFrame) -> DataFrame:
     """One non-null value per series and year; repeats keep the largest, nulls never count."""
-    yearly = observations.where(F.col("value").isNotNull()).groupBy(*SERIES, "year")
-    return yearly.agg(F.max("value").alias("value"))
+    # Dealt out by series once: the yearly and the series aggregation both stay within a task.
+    dealt = observations.where(F.col("value").isNotNull()).select(*SERIES, "year", "value").repartition(*SERIES)
+    return dealt.groupBy(*SERIES, "year").agg(F.max("value").alias("value"))
 
 
 def series(observations: DataFrame) -> DataFrame:
@@ -23,22 +24,42 @@ def series(observations: DataFrame) -> DataFrame:
 
 def top_series(observations: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
     """The k series with the highest mean."""
+    return _best(series(observations), k)
+
+
+def _best(means: DataFrame, k: int) -> DataFrame:
     order = [F.col("mean").desc(), F.col("variable_id"), F.col("unitLevel").desc(), F.col("unitId")]
-    return series(observations).orderBy(*order).limit(k)
+    return means.orderBy(*order).limit(k)
+
+
+def ranked(means: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
+    """The k best series with the number of all series beside them."""
+    total = means.agg(F.count("*").alias("n_series"))
+    return _best(means, k).withColumn("n_series", total.scalar())
+
+
+def points_of(observations: DataFrame, keys: DataFrame) -> DataFrame:
+    """Points of chosen series. The few keys are broadcast, so this pass over the observations
+    drops everything else before it aggregates."""
+    return points(observations.join(F.broadcast(keys.select(*SERIES)), SERIES, "left_semi"))
 
 
 def top_points(observations: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
-    """Points of the top series. The k keys are broadcast, so the second pass over the
-    observations drops everything else before it aggregates."""
-    keys = F.broadcast(top_series(observations, k).select(*SERIES))
-    return points(observations.join(keys, SERIES, "left_semi"))
+    """Points of the top series; at most 8 keys are chosen."""
+    if not 0 <= k <= S.MAX_SERIES:
+        raise ValueError(f"at most {S.MAX_SERIES} series")
+    return points_of(observations, top_series(observations, k))
 
 
 def named_points(
-    points: DataFrame, units: DataFrame, codebook: DataFrame, many_levels: bool, many_variables: bool
+    points: DataFrame, units: DataFrame, codebook: DataFrame, many_levels: bool, many_variables: bool, lang: str = "pl"
 ) -> DataFrame:
+    """Points with the series' name, in Polish or, from a bilingual codebook, in English where there is one."""
     labelled = points.join(units.select("unitId", "unitLevel", "unitName"), ["unitId", "unitLevel"], "left")
-    labelled = labelled.join(codebook.select("variable_id", "variable_full_name"), "variable_id", "left")
+    title = F.col("variable_full_name")
+    if lang == "en" and "variable_full_name_en" in codebook.columns:
+        title = text.bilingual(title, F.col("variable_full_name_en"), lang)[0]
+    labelled = labelled.join(codebook.select("variable_id", title.alias("variable_full_name")), "variable_id", "left")
     variable = F.coalesce("variable_full_name", F.col("variable_id").cast("string"))
     name = text.series_name(
         F.col("unitName"), F.col("unitLevel"), variable, F.lit(many_levels), F.lit(many_variables)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from statbank import schema as S
 from statbank.operators import dataset, facets, filters, series
 from statbank.plans.store import Store
+from statbank.session import materialized
 from statbank.sinks.datasets import write_csv, write_dataset
 from statbank.sources.scan import literal_scan
 
@@ -59,14 +60,25 @@ class Selection:
 
 
 def selection_add(current: DataFrame, more: DataFrame, limit: int = S.MAX_VARIABLES) -> DataFrame:
-    """`Selection.add` on frames: the union, or the current ids where the union is refused."""
-    sizes = current.select("variable_id").distinct().agg(F.count("*").alias("held")).first().held
-    extra = more.select("variable_id").distinct()
-    added = extra.limit(limit + 1).count()
-    new_ids = extra.join(current, "variable_id", "left_anti").limit(1).count()
-    if added > limit or (sizes + added > limit and new_ids > 0):
-        return current.select("variable_id").distinct()
-    return current.select("variable_id").unionByName(extra).distinct()
+    """`Selection.add` on frames: (variable_id, added). Where the union is refused, the rows are the
+    current ids and `added` is false, with one row of a NULL id if there are none."""
+    held = current.select("variable_id", F.lit(True).alias("held"))
+    both = held.unionByName(more.select("variable_id", F.lit(False).alias("held"))).where("variable_id IS NOT NULL")
+    ids = both.groupBy("variable_id").agg(F.max("held").alias("held"), F.min("held").alias("both"))
+    counts = ids.agg(
+        F.count_if("held").alias("held"), F.count_if(~F.col("held") | ~F.col("both")).alias("added"), F.count_if(~F.col("held")).alias("fresh")
+    )
+    refused = counts.select((F.col("added") > limit) | ((F.col("held") + F.col("added") > limit) & (F.col("fresh") > 0))).first()[0]
+    if not refused:
+        return ids.select("variable_id", F.lit(True).alias("added"))
+    kept = ids.where("held").select("variable_id")
+    nothing = current.sparkSession.range(1).select(F.lit(None).cast(kept.schema["variable_id"].dataType).alias("variable_id"))
+    return (kept if not kept.isEmpty() else nothing).select("variable_id", F.lit(False).alias("added"))
+
+
+def selection_remove(current: DataFrame, gone: DataFrame) -> DataFrame:
+    """`Selection.remove` on frames."""
+    return current.select("variable_id").join(gone.select("variable_id"), "variable_id", "left_anti")
 
 
 def resolve(store: Store, subject: str, ticks: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -93,14 +105,21 @@ def build(store: Store, selection: Selection) -> tuple[DataFrame, DataFrame]:
     return rows.agg(F.count("*").alias("total")), dataset.preview(rows)
 
 
-def series_chart(store: Store, selection: Selection) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(named points of the top series, axis domain, measure check) of a selection."""
+def series_chart(store: Store, selection: Selection, lang: str = "pl") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(named points of the top series with the number of all series, axis domain, measure check) of a selection.
+
+    Series are ranked once: their stored keys serve the points, the names and the axes.
+    """
     rows = observations(store, selection)
-    shown = series.top_points(rows)
-    chosen = store.codebook.where(filters.variables_in(selection.variables))
+    ranked = series.series(rows)
+    keys = materialized(series.ranked(ranked), "series")
+    shown = series.points_of(rows, keys)
+    chosen = store.bilingual if store.subjects_en is not None and store.variables_en is not None else store.codebook
+    chosen = chosen.where(filters.variables_in(selection.variables))
     named = series.named_points(
-        shown, store.units, chosen, len(selection.levels) > 1, len(selection.variables) > 1
+        shown, store.units, chosen, len(selection.levels) > 1, len(selection.variables) > 1, lang
     )
+    named = named.join(F.broadcast(keys.select(*series.SERIES, "n_series")), series.SERIES)
     return named, series.domain(rows, shown), series.mixed_measures(chosen)
 
 
@@ -118,4 +137,4 @@ def export(
     data = dataset.wide(rows, chosen) if layout == "wide" else dataset.long(rows, chosen)
     write_dataset(data, f"{path}/data", per_level and len(selection.levels) > 1)
     if docs:
-        write_csv(dataset.codebook_doc(chosen, chosen.select("variable_id")), f"{path}/codebook")
+        write_csv(dataset.codebook_doc(chosen, chosen.select("variable_id")).orderBy("variable_id"), f"{path}/codebook")

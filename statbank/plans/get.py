@@ -11,7 +11,7 @@ from statbank.operators.dataset import with_labels
 from statbank.operators.resolve import level_of, resolve_ids
 from statbank.plans.store import Store
 from statbank.session import small_side
-from statbank.sources.scan import pruned_scan
+from statbank.sources.scan import literal_scan, pruned_scan
 
 
 def get(
@@ -42,7 +42,8 @@ def get(
     if units is not None:
         facts = facts.where(filters.units_any(units))
     if subjects is None and dims is None and not aggregate:
-        facts = facts.where(filters.variables_in(variables))
+        manifest = None if store.manifest is None else store.manifest.where(of_level)
+        facts = literal_scan(facts, manifest, variables)
     else:
         ids = resolve_ids(
             store.codebook, store.variables, store.subjects, variables, subjects, dims, aggregate

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from statbank import schema as S
 from statbank.operators import metadata
+from statbank.session import materialized
 from statbank.sinks.layout import ROWS_PER_FILE, manifest, write_parquet, write_parts
 from statbank.sources import scan
 from statbank.sources.files import load_raw_extracts
@@ -54,7 +55,8 @@ class Store:
         variables_en: DataFrame | None = None,
     ) -> "Store":
         """A store over frames that were not laid out."""
-        codebook = metadata.codebook(variables, subjects)
+        # Stored, so that joins with the facts know its size.
+        codebook = materialized(metadata.codebook(variables, subjects), "codebook")
         units = metadata.units(facts)
         return Store(facts, variables, subjects, codebook, units, subjects_en, variables_en)
 

@@ -98,3 +98,11 @@ HEAVY_ROWS = 3_000_000
 PAGE_SIZE = 100
 ROW_GROUP_ROWS = 1_000_000
 LEVEL_PARTS = {6: 16, 5: 4, 4: 1, 2: 1, 1: 1}
+
+# One CSV dialect for reading and writing: quotes are doubled, blanks at the edges belong to the text.
+CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}

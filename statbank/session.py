@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Estimates of stored tables are compressed sizes; the limit leaves room for unpacking.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Estimates of stored tables are compressed sizes; long repeated labels unpack to many times that.
+BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def workspace(spark: SparkSession, name: str) -> str:

@@ -2,11 +2,12 @@
 
 from pyspark.sql import DataFrame
 
+from statbank import schema as S
 from statbank.operators.dataset import export_order
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+    df.write.options(**S.CSV).csv(path)
 
 
 def write_dataset(df: DataFrame, path: str, per_level: bool = False) -> None:
@@ -17,7 +18,7 @@ def write_dataset(df: DataFrame, path: str, per_level: bool = False) -> None:
     """
     first = ["variable_id"] if "variable_id" in df.columns else []
     ordered = df.orderBy(*export_order(*first))
-    writer = ordered.write.option("header", True)
+    writer = ordered.write.options(**S.CSV)
     if per_level:
         writer = writer.partitionBy("level")
     writer.csv(path)

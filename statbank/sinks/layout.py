@@ -49,7 +49,9 @@ def prefix_sum(counts: DataFrame, block: int = BLOCK) -> DataFrame:
     inside = Window.partitionBy("unitLevel", "block").orderBy("variable_id")
     running = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = blocked.withColumn("local", F.coalesce(F.sum("n").over(running), F.lit(0)))
-    return local.join(offsets, ["unitLevel", "block"]).select(
+    offsets = offsets.select(F.col("unitLevel").alias("_level"), F.col("block").alias("_block"), "offset", "total")
+    same = F.col("unitLevel").eqNullSafe(F.col("_level")) & (F.col("block") == F.col("_block"))
+    return local.join(offsets, same).select(
         "unitLevel", "variable_id", "n", (F.col("offset") + F.col("local")).alias("before"), "total"
     )
 
@@ -73,8 +75,9 @@ def key_parts(
 ) -> DataFrame:
     """Placement of each key: its part, the file-sized slice inside it, and the number of
     files a single oversized key is spread over."""
-    n_parts = _parts_of(F.col("unitLevel"), parts)
-    n_slices = F.greatest(n_parts, F.ceil(F.col("total") / rows_per_file))
+    # The given number of parts is a minimum: beyond a file's rows in each, parts grow with the table.
+    n_parts = F.greatest(_parts_of(F.col("unitLevel"), parts), F.ceil(F.col("total") / rows_per_file))
+    n_slices = n_parts
     return prefix_sum(key_counts(facts)).select(
         "unitLevel",
         "variable_id",
@@ -136,12 +139,16 @@ def write_parts(
     slices = placed.groupBy(*slice_key).agg(F.max("spread").alias("files"))
     n_tasks = slices.agg(F.sum("files")).first()[0] or 1
     earlier = Window.orderBy(*slice_key).rowsBetween(Window.unboundedPreceding, -1)
-    numbered = slices.withColumn("first_task", F.coalesce(F.sum("files").over(earlier), F.lit(0)))
-    where = placed.join(numbered, slice_key).select(
-        "unitLevel", "variable_id", "part", "first_task", "spread"
+    numbered = slices.select(
+        *[F.col(c).alias(f"_{c}") for c in slice_key], F.coalesce(F.sum("files").over(earlier), F.lit(0)).alias("first_task")
     )
-    tagged = facts.join(F.broadcast(where) if plan_bytes(placed) <= BROADCAST_BYTES else where,
-                        ["unitLevel", "variable_id"])
+    # A NULL level or key is a key like any other.
+    of_slice = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in slice_key]
+    where = placed.join(numbered, of_slice).select(
+        F.col("unitLevel").alias("_level"), F.col("variable_id").alias("_id"), "part", "first_task", "spread"
+    )
+    same = F.col("unitLevel").eqNullSafe(F.col("_level")) & F.col("variable_id").eqNullSafe(F.col("_id"))
+    tagged = facts.join(F.broadcast(where) if plan_bytes(placed) <= BROADCAST_BYTES else where, same)
     salt = F.pmod(F.xxhash64("unitId", "year"), F.col("spread"))
     spread = tagged.repartitionById(n_tasks, (F.col("first_task") + salt).cast("int"))
     ordered = spread.sortWithinPartitions("unitLevel", "part", "variable_id", "unitId", "year")

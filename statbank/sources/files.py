@@ -17,9 +17,25 @@ def cast_facts(raw: DataFrame, lenient: bool = False) -> DataFrame:
     return raw.select(*columns)
 
 
+def read_csv(spark: SparkSession, path: str, columns: T.StructType, lines: bool = False) -> DataFrame:
+    """The named columns of a CSV file or folder, as text, wherever the header puts them.
+
+    A missing column raises, and so does a file whose header differs from that of the folder's first
+    file. With `lines` a quoted field may hold line breaks; such files are not split.
+    """
+    read = spark.read.options(**S.CSV)
+    header = read.csv(path).columns
+    missing = [c for c in columns.names if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    shape = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    typed = read.schema(shape).option("enforceSchema", False).option("mode", "FAILFAST").option("multiLine", lines)
+    return typed.csv(path).select(*[F.col(f"`{c}`") for c in columns.names])
+
+
 def load_fact_csv(spark: SparkSession, path: str, level: int) -> DataFrame:
     """One raw extract. Ids stay text, malformed rows fail, and so does a row of another level."""
-    raw = spark.read.schema(S.FACT).option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = cast_facts(read_csv(spark, path, S.FACT))
     message = F.concat(F.lit(f"expected level {level}, found "), F.col("unitLevel").cast("string"))
     checked = F.when(F.col("unitLevel") == level, F.col("unitLevel")).otherwise(
         F.raise_error(message).cast(T.ByteType())
@@ -37,13 +53,20 @@ def load_raw_extracts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def load_label_csv(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.schema(S.LABELS_RAW).option("header", True).option("mode", "FAILFAST").csv(path)
-    return english_labels(raw)
+    raw = read_csv(spark, path, S.LABELS_RAW, lines=True)
+    return english_labels(raw.select(*[F.col(f.name).cast(f.dataType) for f in S.LABELS_RAW.fields]))
+
+
+def _pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages, one copy of each: the one with the most records."""
+    pages = spark.read.schema(S.PAGE).option("mode", "FAILFAST").json(path)
+    best = F.max(F.struct(F.size("results").alias("n"), "totalRecords", "results")).alias("p")
+    return pages.groupBy("page").agg(best).select("page", "p.totalRecords", "p.results")
 
 
 def load_pages(spark: SparkSession, path: str) -> DataFrame:
     """Records of landed metadata pages with their page and position; absent fields become ''."""
-    pages = spark.read.schema(S.PAGE).option("mode", "FAILFAST").json(path)
+    pages = _pages(spark, path)
     records = pages.select("page", F.posexplode("results").alias("position", "record"))
     texts = [
         F.coalesce(F.col(f"record.{f.name}"), F.lit("")).alias(f.name)
@@ -83,13 +106,13 @@ def page_report(landed: DataFrame, total: int, size: int = S.PAGE_SIZE) -> DataF
 
 def load_subject_names(spark: SparkSession, id_list: str, responses: str) -> DataFrame:
     ids = spark.read.text(id_list).select(F.trim("value", F.lit(" \t\r\n")).alias("subjectId"))
-    answers = spark.read.schema(S.SUBJECT_RESPONSE).json(responses)
+    answers = spark.read.schema(S.SUBJECT_RESPONSE).option("mode", "FAILFAST").json(responses)
     return subject_names(ids.where(F.col("subjectId") != ""), answers)
 
 
 def subject_names(ids: DataFrame, responses: DataFrame) -> DataFrame:
     """English name per requested subject, '' where no answer carries one."""
-    names = responses.select(F.col("id").alias("subjectId"), "name")
+    names = responses.groupBy(F.col("id").alias("subjectId")).agg(F.max("name").alias("name"))
     return ids.join(names, "subjectId", "left").select(
         "subjectId", F.coalesce("name", F.lit("")).alias("name_en")
     )

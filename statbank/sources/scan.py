@@ -46,20 +46,31 @@ def locate(ids: DataFrame, manifest: DataFrame, block: int = BLOCK) -> DataFrame
 
 
 def pruned_scan(facts: DataFrame, manifest: DataFrame, ids: DataFrame) -> DataFrame:
-    """Facts of the ids; the located parts prune partitions at run time."""
-    keys = ["unitLevel", "part", "variable_id"]
-    return facts.join(locate(ids, manifest), keys, "left_semi").select(*S.FACT.names)
+    """Facts of the ids; the located parts prune partitions at run time.
+
+    The (level, part) pairs are at most one for each manifest entry, so their broadcast needs no
+    estimate; the ids themselves join without a hint.
+    """
+    located = locate(ids, manifest).groupBy("unitLevel", "part").agg(F.count("*").alias("n"))
+    # The filter holds for every row; it tells the optimizer that the pairs are worth pruning by.
+    parts = F.broadcast(located.where("n > 0").select("unitLevel", "part"))
+    found = facts.join(parts, ["unitLevel", "part"], "left_semi")
+    return found.join(ids.select("variable_id").distinct(), "variable_id", "left_semi").select(*S.FACT.names)
 
 
 def literal_scan(facts: DataFrame, manifest: DataFrame | None, ids: Sequence[int]) -> DataFrame:
-    """Facts of a short id list: the parts become literal partition filters, the ids reach the
-    row-group statistics. All parts are read if no part range holds an id."""
+    """Facts of a short id list: the parts become literal partition filters by level, the ids reach
+    the row-group statistics. No part is read if no part range holds an id."""
     wanted = facts.where(variables_in(ids))
     if manifest is None or not ids:
         return wanted
     holds = F.lit(False)
     for i in ids:
         holds = holds | F.lit(int(i)).between(F.col("var_min"), F.col("var_max"))
-    rows = manifest.where(holds).select("part").distinct().collect()
-    parts = sorted(r.part for r in rows)
-    return wanted.where(F.col("part").isin(*parts)) if parts else wanted
+    parts: dict[int, list[int]] = {}
+    for r in manifest.where(holds & F.col("unitLevel").isNotNull()).select("unitLevel", "part").distinct().collect():
+        parts.setdefault(r.unitLevel, []).append(r.part)
+    pairs = F.lit(False)
+    for level, held in sorted(parts.items()):
+        pairs = pairs | ((F.col("unitLevel") == level) & F.col("part").isin(*sorted(held)))
+    return wanted.where(pairs)

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from catalog.filters import queries_table
 from statbank import schema as S
 from statbank.functions import text
 from statbank.operators import dataset, facets, filters, match, metadata, quality, resolve, search, series
@@ -145,16 +146,44 @@ TEXTS = [
 ASKED = ["unemployment", "dwelling lodz", "bb ccc", "😀x", "xyz", "ąę", "unit the", "city", "cities", "zz", "d dd", "no such"]
 
 
-@pytest.mark.parametrize("staged, listed", [(False, 0), (True, 0), (True, 256)])
+@pytest.mark.parametrize("staged", [False, True])
 @pytest.mark.parametrize("stems", [True, False])
-def test_match_terms_against_brute_force(spark, staged, listed, stems):
+def test_match_terms_against_brute_force(spark, staged, stems):
     texts = spark.createDataFrame(TEXTS, "id int, body string")
     asked = spark.createDataFrame([(q, q) for q in ASKED], "qid string, query string")
-    found = match.match_terms(texts, asked, "id", ["body"], stems, staged, folded=False, listed=listed)
+    found = match.match_terms(texts, asked, "id", ["body"], stems, staged, folded=False)
     assert {(r.qid, r.id) for r in found.collect()} == brute(TEXTS, ASKED, stems)
     assert found.count() == len(brute(TEXTS, ASKED, stems))
 
 
+def test_match_terms_with_repeated_and_null_qids(spark):
+    texts = spark.createDataFrame(TEXTS, "id int, body string")
+    asked = [("a", "unit the"), ("a", "cities"), ("a", "the cities"), (None, "bb ccc"), (None, "dwellings"), ("b", None), ("c", "^^"), ("d", "a\t"), ("e", " \u3000x\n")]
+    found = match.match_terms(texts, spark.createDataFrame(asked, "qid string, query string"), "id", ["body"], folded=False)
+    assert sorted(found.collect(), key=str) == sorted([("a", 4), (None, 2), (None, 1)], key=str)
+
+
+@pytest.mark.parametrize("query", ["a\t", "^^", " \n", "\u3000bb ccc", "Ludność\t", "´ludność"])
+def test_single_and_batch_search_agree(spark, tables, query):
+    asked = spark.createDataFrame([("q", query)], "qid string, query string")
+    pool = tables.bilingual.where(F.col("unit_level").isin(1, 2, 4, 5, 6))
+    single = search.ranked_search(pool, query).select("subjectId").collect()
+    batch = search.ranked_search_batch(pool, asked).orderBy("rank").select("subjectId").collect()
+    assert single == batch
+    units = search.unit_search(tables.searchable_units, query, [5, 4]).collect()
+    assert units == search.unit_search_batch(tables.searchable_units, asked, [5, 4]).orderBy("rank").select("unitId", "unitName", "unitLevel").collect()
+
+
+def test_candidates_stay_close_to_results(tables):
+    """What enters the last join is a small multiple of what comes out."""
+    asked = match.asked_words(queries_table(tables))
+    words = tables.bilingual.select("variable_id", F.explode(text.words(F.concat_ws(" ", "search_key", "search_key_en"))).alias("word"))
+    vocabulary = words.groupBy("word").agg(F.count("*").alias("n")).withColumn("haystack", F.col("word"))
+    entering = match.candidates(words, match.rarest_words(asked, vocabulary), "variable_id").count()
+    leaving = match.match_terms(tables.bilingual, queries_table(tables), "variable_id", ["search_key", "search_key_en"]).count()
+    assert leaving <= entering <= 4 * leaving + 100
+
+
 def test_match_terms_with_many_words(spark):
     words = [f"w{i}" for i in range(40)]
     texts = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[1:]))], "id int, body string")

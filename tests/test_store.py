@@ -87,6 +87,118 @@ def test_located_parts_equal_range_join(spark, store):
     assert rows(found) == rows(brute.select("unitLevel", "part", "variable_id"))
 
 
+def parts_read(frame):
+    """Partitions that the scans of an executed plan have read."""
+    frame.collect()
+    total, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if kind == "FileSourceScanExec" and node.metrics().contains("numPartitions"):
+                total += node.metrics().apply("numPartitions").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.mark.parametrize("limit", ["1m", "-1"])
+def test_parts_read_do_not_depend_on_estimates(spark, store, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        of_level = store.manifest.where("unitLevel = 6")
+        for one in (3, 150):
+            holding = of_level.where(F.lit(one).between(F.col("var_min"), F.col("var_max"))).count()
+            assert parts_read(get(store, variables=[one], level="gmina", add_labels=False)) == holding < 16
+            everywhere = store.manifest.where(F.lit(one).between(F.col("var_min"), F.col("var_max"))).count()
+            assert parts_read(scan.literal_scan(store.facts, store.manifest, [one])) == everywhere
+            # At run time levels and parts are pruned one by one.
+            pruned = parts_read(scan.pruned_scan(store.facts, store.manifest, literal_table(spark, [one], "variable_id", "int")))
+            assert everywhere <= pruned < store.manifest.count()
+        ids = store.codebook.where("subjectId = 'P0012'").select("variable_id")
+        touched = scan.locate(ids, of_level).select("part").distinct().count()
+        assert parts_read(get(store, subjects=["P0012"], level="gmina", add_labels=False)) == touched
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_layout_keeps_rows_without_key(spark):
+    facts = spark.createDataFrame(
+        [(v, "u", "n", lv, 2000, 1.0, 0) for v in (1, 2, None) for lv in (6, 1, None)] * 2, S.FACT.simpleString().replace("struct<", "").replace(">", "")
+    )
+    folder = workspace(spark, "nulls")
+    placed = layout.write_parts(facts, f"{folder}/facts")
+    written = scan.read_parts(spark, f"{folder}/facts")
+    assert rows(written.select(*S.FACT.names)) == rows(facts.select(*S.FACT.names))
+    assert layout.manifest(placed).agg(F.sum("rows")).first()[0] == 18 == written.count()
+
+
+def test_parts_grow_with_the_rows(tables):
+    few, many = (layout.ranges_of(layout.key_parts(tables.facts, rows_per_file=n)).where("unitLevel = 6") for n in (10**9, 300))
+    assert few.count() <= 16 < many.count()
+    assert few.agg(F.sum("rows")).first() == many.agg(F.sum("rows")).first()
+
+
+def test_csv_is_read_by_name_and_with_doubled_quotes(spark, tmp_path):
+    names = S.LABELS_RAW.names
+    row = dict.fromkeys(names, "") | {"id": "1", names[1]: 'a ""q"" b, c', names[2]: "two\nlines", names[-1]: " edge "}
+    for order in (names, names[::-1]):
+        path = tmp_path / f"labels{order[0]}.csv"
+        path.write_text(",".join(order) + "\n" + ",".join(f'"{row[c]}"' for c in order) + "\n")
+        got = files.read_csv(spark, str(path), S.LABELS_RAW, lines=True).first()
+        assert (got["id"], got[names[1]], got[names[2]], got[names[-1]]) == ("1", 'a "q" b, c', "two\nlines", " edge ")
+    broken = tmp_path / "broken.csv"
+    broken.write_text("id,other\n1,2\n")
+    with pytest.raises(ValueError):
+        files.read_csv(spark, str(broken), S.LABELS_RAW)
+    (tmp_path / "facts").mkdir()
+    for k, order in enumerate((S.FACT.names, S.FACT.names[::-1])):
+        (tmp_path / "facts" / f"{k}.csv").write_text(",".join(order) + "\n")
+    (tmp_path / "facts" / "0.csv").write_text(",".join(S.FACT.names) + "\n1,u,n,6,2000,1.5\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        files.read_csv(spark, str(tmp_path / "facts"), S.FACT).collect()
+
+
+def test_csv_bytes(spark, tmp_path):
+    frame = spark.createDataFrame([('Ludnosc: ', '5" pipe, x', " y", 'back\\slash', None)], "a string, b string, c string, d string, e string")
+    datasets.write_csv(frame.coalesce(1), str(tmp_path / "out"))
+    lines = next((tmp_path / "out").glob("part-*.csv")).read_text().splitlines()
+    assert lines == ["a,b,c,d,e", 'Ludnosc: ,"5"" pipe, x", y,back\\slash,']
+    assert files.read_csv(spark, str(tmp_path / "out"), frame.schema).collect() == frame.collect()
+
+
+def test_repeated_pages_and_answers_count_once(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"page": 0, "totalRecords": 1, "results": [{"id": 7}]}\n' * 2)
+    assert [r.id for r in files.load_pages(spark, str(tmp_path / "p.json")).collect()] == [7]
+    ids = spark.createDataFrame([("P1",)], "subjectId string")
+    answers = spark.createDataFrame([("P1", "x"), ("P1", None), ("P1", "x")], "id string, name string")
+    assert files.subject_names(ids, answers).collect() == [("P1", "x")]
+    (tmp_path / "ids").write_text("P1\n")
+    (tmp_path / "bad.json").write_text('{"id": "P1", "name":\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.load_subject_names(spark, str(tmp_path / "ids"), str(tmp_path / "bad.json")).collect()
+
+
+def test_a_refused_union_says_so(spark):
+    ids = lambda *values: literal_table(spark, values, "variable_id", "int")
+    add = lambda a, b: sorted(map(tuple, explore.selection_add(a, b, 3).collect()), key=str)
+    assert add(ids(1, 2), ids(2, 3)) == [(1, False), (2, False)]
+    assert add(ids(1, 2, 3), ids(2, 3)) == [(1, True), (2, True), (3, True)]
+    assert add(ids(), ids(1, 2, 3, 4)) == [(None, False)]
+    assert add(ids(1), ids(2)) == [(1, True), (2, True)]
+
+
+def test_series_are_dealt_out_once(store):
+    text = plan(dataset.preview(store.facts))  # a plan without an exchange of facts by series
+    assert "hashpartitioning(variable_id" not in text
+    from statbank.operators import series
+
+    assert plan(series.series(store.facts)).count("Exchange hashpartitioning") == 1
+
+
 def test_pruned_scan_prunes_partitions(store):
     ids = store.codebook.where((F.col("subjectId") == "P0012") & (F.col("n1") == "small"))
     found = scan.pruned_scan(store.facts, store.manifest, ids)
@@ -225,14 +337,14 @@ def test_export(spark, store, format, per_level):
     chosen = Selection(levels=(1, 2, 6), year_from=1996).add(ids)
     folder = workspace(spark, "export")
     export(store, chosen, folder, format, per_level)
-    found = spark.read.option("header", True).csv(f"{folder}/data")
+    found = spark.read.options(**S.CSV).csv(f"{folder}/data")
     observed = explore.observations(store, chosen)
     if format == "long":
         assert found.count() == observed.count()
     else:
         assert found.count() == observed.select("unitId", "unitLevel", "year").distinct().count()
     assert {len(r.unitId) for r in found.select("unitId").distinct().collect()} == {12}
-    doc = spark.read.option("header", True).csv(f"{folder}/codebook")
+    doc = spark.read.options(**S.CSV).csv(f"{folder}/codebook")
     assert doc.count() == len(chosen.variables)
 
 

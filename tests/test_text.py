@@ -140,3 +140,15 @@ def test_bilingual(spark, pl, en, lang, expected):
 def test_series_name(spark):
     name = text.series_name(F.lit("Bochnia"), F.lit(6), F.lit("X"), F.lit(True), F.lit(False))
     assert spark.range(1).select(name).first()[0] == "Bochnia — gmina"
+
+
+def test_both_folds_agree_over_all_of_unicode(spark):
+    """Every code point that any fold changes, and one in a hundred of the others."""
+    every = (chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    chars = [c for i, c in enumerate(every) if text.fold_literal(c) != c or c != c.lower() or i % 100 == 0]
+    frame = spark.createDataFrame([(c,) for c in chars], "c string")
+    found = frame.select("c", F.lower("c").alias("low"), text.fold_query(F.col("c")).alias("f")).collect()
+    # Letters that only one side's Unicode version knows a lower case of say nothing about folding.
+    different = [(r.c, r.f) for r in found if r.low == r.c.lower() and r.f != text.fold_literal(r.c)]
+    assert different == []
+    assert text.fold_literal("\u304c\uac00\u1e69") == "\u304b\uac00s"

@@ -254,7 +254,9 @@ def _by_rounds(live: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 def linked_components(classes: DataFrame, docs: DataFrame, k: int, percent: int, family: int = FAMILY) -> DataFrame:
     """classes (rep, n, bands): (node, component) of every class that shares a bucket with another one."""
     bands = materialized(classes.select("rep", "n", F.explode("bands").alias("key")), "bands")
+    # Written, so that the join below meets two plain exchanges and a hot bucket's partition can be split.
     shared = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1").select("key", "least")
+    shared = materialized(shared, "shared")
     live = materialized(bands.join(shared, "key"), "buckets")
     families = components(live.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct())
     families = families.select(F.col("node").alias("id"), F.col("component").alias("family"))

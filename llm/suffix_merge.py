@@ -377,12 +377,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> t
     every = materialized(_summaries(keyed, length, gram), "summaries")
     texts = every.groupBy("d", "h").agg(F.count("*").alias("copies"), F.first(F.arrays_zip("grams", "at")).alias("x"))
     anchors = materialized(texts.select("d", "h", F.explode("x").alias("x")).select("d", "h", F.col("x.grams").alias("gram"), F.col("x.at").alias("at")), "anchors")
-    shared = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # Written, so that the join below meets two plain exchanges and a hot gram's partition can be split.
+    shared = materialized(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
     wanted = anchors.join(shared, "gram").groupBy("d", "h").agg(F.collect_set("at").alias("at"))
     once = keyed.where(F.octet_length("text") >= length).groupBy("d", "h").agg(F.first("text").alias("text"))
     found = materialized(once.join(wanted, ["d", "h"]), "repeating")
     n = found.agg(F.sum(F.size("at")).alias("n")).first()["n"] or 0
-    runs = _runs(found, max(4, int(n) // RANGE_SUFFIXES), length, gram, RUN_SUFFIXES)
+    ranges = max(4, int(n) // RANGE_SUFFIXES)
+    runs = _runs(found, ranges, length, gram, RUN_SUFFIXES).repartition(ranges, "range")
     spans = _merged(runs, length, gram).groupBy("d", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     copies = every.groupBy("d", "h").agg(F.count("*").alias("copies"))
     return every.drop("grams", "at").join(copies, ["d", "h"]), found.select("d", "h", "text").join(spans, ["d", "h"])

@@ -278,6 +278,25 @@ def _(t):
     return series.named_points(shown, t.units, t.codebook, True, True)
 
 
+SLICE_POINTS = f"""SELECT variable_id, unitId, unitLevel, year, max(value) AS value FROM ({SLICE}) f
+WHERE value IS NOT NULL GROUP BY variable_id, unitId, unitLevel, year"""
+SLICE_SERIES = f"SELECT variable_id, unitId, unitLevel, avg(value) AS mean FROM ({SLICE_POINTS}) p GROUP BY variable_id, unitId, unitLevel"
+
+
+@query(
+    "api_series_chart",
+    f"""SELECT p.variable_id, p.unitId, p.unitLevel, p.year, p.value, s.n_series,
+       concat_ws(' — ', u.unitName, CASE p.unitLevel WHEN 4 THEN 'podregion' WHEN 2 THEN 'woj.' WHEN 1 THEN 'makro' END,
+                 CASE WHEN (SELECT count(*) FROM ({CHOSEN}) c) > 1
+                      THEN coalesce(nullif(b.variable_full_name_en, ''), nullif(b.variable_full_name, ''), '') END) AS series_name
+FROM ({SLICE_POINTS}) p JOIN (SELECT *, count(*) OVER () AS n_series FROM ({SLICE_SERIES}) r
+                              ORDER BY mean DESC, variable_id, unitLevel DESC, unitId LIMIT 8) s USING (variable_id, unitId, unitLevel)
+JOIN units u USING (unitId, unitLevel) LEFT JOIN bilingual b USING (variable_id)""",
+)
+def _(t):
+    return explore.series_chart(t.store, _selection(t), "en")[0]
+
+
 @query("export_long", LONG)
 def _(t):
     return dataset.long(t.facts, t.codebook)
@@ -322,6 +341,33 @@ def _(t):
     return t.spark.read.schema(shape).options(**S.CSV).csv(f"{folder}/data")
 
 
+EXPORT_LABELS = WIDE_LABELS[:4]
+
+
+def _wide_cells(labels) -> str:
+    return ", ".join(f"first(value ORDER BY variable_id) FILTER (WHERE variable_name = '{x}') AS \"{x}\"" for x in labels)
+
+
+@query(
+    "api_export_wide",
+    f"""SELECT unitId, unitName, unitLevel, level, year, {_wide_cells(EXPORT_LABELS)}
+FROM ({LONG} WHERE f.variable_id IN ({CHOSEN}) AND f.unitLevel IN (1, 2, 4) AND f.year BETWEEN 1996 AND 2000) l
+GROUP BY unitId, unitName, unitLevel, level, year""",
+)
+def _(t):
+    """Written wide, a folder for each level, and read back."""
+    folder = workspace(t.spark, "export")
+    picked = _selection(t)
+    explore.export(t.store, picked, folder, layout="wide", per_level=True, docs=False)
+    chosen = t.bilingual.where(F.col("variable_id").isin(*picked.variables))
+    shape = dataset.wide(explore.observations(t.store, picked), chosen).schema
+    data = t.spark.read.schema(shape).options(**S.CSV).csv(f"{folder}/data")
+    cells = [(F.col(f"`{x}`") if x in data.columns else F.lit(None)).cast("double").alias(x) for x in EXPORT_LABELS]
+    return data.select(
+        "unitId", "unitName", F.col("unitLevel").cast("bigint").alias("unitLevel"), "level", F.col("year").cast("bigint").alias("year"), *cells
+    )
+
+
 @query(
     "api_export_docs",
     f"""SELECT variable_id, variable_full_name AS variable_name, subjectId FROM codebook WHERE variable_id IN ({CHOSEN})""",

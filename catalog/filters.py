@@ -262,8 +262,7 @@ def _(t):
     "SELECT unitId, unitName, unitLevel FROM units WHERE unitLevel IS NULL OR unitLevel IN (2, 5)",
 )
 def _(t):
-    kept = F.col("unitLevel").isNull() | F.col("unitLevel").isin(2, 5)
-    return t.units.where(kept).select("unitId", "unitName", "unitLevel")
+    return t.units.where(filters.level_in_or_unknown([2, 5])).select("unitId", "unitName", "unitLevel")
 
 
 @query(

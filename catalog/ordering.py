@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.sources import LONG
-from statbank.operators import dataset, search, series
+from statbank.operators import dataset, metadata, search, series
 
 PREVIEW = """
 SELECT variable_id, unitId, unitName, unitLevel, year, value FROM facts
@@ -59,13 +59,11 @@ def _(t):
 
 @query(
     "top_units",
-    """SELECT unitId, unitName, unitLevel FROM units WHERE unitLevel IN (6, 5) AND contains(lower(unitName), '1')
+    """SELECT unitId, unitName, unitLevel FROM units WHERE unitLevel IN (6, 5) AND contains(lower(unitName), 'customer#00')
 ORDER BY unitLevel DESC, unitName, unitId LIMIT 100""",
 )
 def _(t):
-    units = t.searchable_units.where(F.col("unitLevel").isin(6, 5) & F.col("search_key").contains("1"))
-    order = [F.col("unitLevel").desc(), F.col("unitName").asc_nulls_last(), F.col("unitId")]
-    return units.orderBy(*order).limit(100).select("unitId", "unitName", "unitLevel")
+    return search.unit_search(t.searchable_units, "Customer#00", [6, 5])
 
 
 @query("top_series", "SELECT * FROM series ORDER BY mean DESC, variable_id, unitLevel DESC, unitId LIMIT 8")
@@ -78,10 +76,12 @@ def _(t):
     return dataset.long(t.facts, t.codebook).orderBy(*dataset.export_order("variable_id"))
 
 
-@query("top_sample", "SELECT least(4, count(*)) AS n FROM variables_en")
+@query(
+    "top_sample",
+    "SELECT id, n1_en, variable_dimensions_en, measureUnitName_en FROM variables_en ORDER BY id LIMIT 4",
+)
 def _(t):
-    columns = ["id", "n1_en", "variable_dimensions_en", "measureUnitName_en"]
-    return t.variables_en.select(*columns).limit(4).agg(F.count("*").alias("n"))
+    return metadata.label_sample(t.variables_en)
 
 
 @query(

@@ -96,11 +96,15 @@ def _(t):
 
 @query(
     "proj_level_alias",
-    """SELECT unit_level AS code, count(*) AS n FROM codebook GROUP BY unit_level""",
+    f"""SELECT a.code, count(*) AS n FROM codebook c JOIN (VALUES {", ".join(f"({k})" for k, names in S.LEVEL_ALIASES.items() for _ in names)}) a(code)
+ON a.code = c.unit_level GROUP BY a.code""",
 )
 def _(t):
-    alias = F.concat(F.lit(" "), F.upper(text.level_name(F.col("unit_level"))), F.lit(" "))
-    return t.codebook.groupBy(text.level_code(alias).alias("code")).agg(F.count("*").alias("n"))
+    """Every alias of each variable's level, written in capitals and with blanks around it."""
+    known = F.create_map(*[x for k, names in S.LEVEL_ALIASES.items() for x in (F.lit(k), F.array(*map(F.lit, names)))])
+    alias = F.explode(F.try_element_at(known, F.col("unit_level").cast("int"))).alias("alias")
+    given = t.codebook.select(alias).select(F.concat(F.lit(" "), F.upper("alias"), F.lit("\t")).alias("alias"))
+    return given.groupBy(text.level_code(F.col("alias")).alias("code")).agg(F.count("*").alias("n"))
 
 
 @query(

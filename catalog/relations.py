@@ -48,9 +48,8 @@ WHERE f.unitLevel = 4 AND f.unitName LIKE 'NATION\\_1%' ESCAPE '\\' AND starts_w
 def _(t):
     places = t.facts.where((F.col("unitLevel") == 4) & F.col("unitName").startswith("NATION_1"))
     people = t.codebook.where(F.col("subject_name").startswith("Ludność"))
-    return places.join(people, "variable_id").select(
-        "variable_id", "unitId", "year", "value", "variable_full_name"
-    )
+    found = dataset.with_metadata(places, people, "variable_full_name")
+    return found.select("variable_id", "unitId", "year", "value", "variable_full_name")
 
 
 def _codes(t):
@@ -296,11 +295,8 @@ def _(t):
     """SELECT variable_id, subjectId, max(subject_name_en) OVER (PARTITION BY subjectId) AS subject_name_en FROM bilingual""",
 )
 def _(t):
-    """A join with one row per subject: no subject's variables have to meet in one task."""
-    names = t.bilingual.groupBy("subjectId", "subject_name_en").count().groupBy("subjectId").agg(
-        F.max("subject_name_en").alias("subject_name_en")
-    )
-    return t.bilingual.select("variable_id", "subjectId").join(names, "subjectId", "left")
+    rows = t.bilingual.select("variable_id", "subjectId", "subject_name_en")
+    return metadata.any_of_group(rows, "subjectId", "subject_name_en")
 
 
 @query("win_dedup_last", "SELECT * FROM points")

@@ -21,6 +21,11 @@ def with_labels(facts: DataFrame, codebook: DataFrame) -> DataFrame:
     return facts.join(small_side(labels), "variable_id", "left").select(*S.OBSERVATION, *LABELS)
 
 
+def with_metadata(facts: DataFrame, codebook: DataFrame, *columns: str) -> DataFrame:
+    """Facts of the codebook's variables only, with columns of it beside them."""
+    return facts.join(small_side(codebook.select("variable_id", *columns)), "variable_id")
+
+
 def preview(observations: DataFrame, n: int = S.PREVIEW_ROWS) -> DataFrame:
     return observations.orderBy(*export_order("variable_id")).limit(n)
 

@@ -109,6 +109,11 @@ def long_enough(query: Column) -> Column:
     return F.length(text.stripped(query)) >= S.MIN_QUERY
 
 
+def level_in_or_unknown(levels: Sequence[int]) -> Column:
+    """Units of the levels, and units whose level is not known."""
+    return F.col("unitLevel").isNull() | F.col("unitLevel").isin(*levels)
+
+
 def key_range(lo: int, hi: int, key: str = "variable_id") -> Column:
     return F.col(key).between(lo, hi)
 

@@ -113,3 +113,15 @@ def unit_search_keys(units: DataFrame) -> DataFrame:
     return units.select(
         "unitId", "unitName", "unitLevel", text.fold(F.col("unitName")).alias("search_key")
     )
+
+
+def any_of_group(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """`value` replaced by the largest one of the row's group: a join with one row for each group,
+    so no group has to meet in one task."""
+    largest = rows.groupBy(group, value).agg(F.count("*").alias("n")).groupBy(group).agg(F.max(value).alias(value))
+    return rows.drop(value).join(largest, group, "left")
+
+
+def label_sample(variables_en: DataFrame, n: int = 4) -> DataFrame:
+    """The first labels by id, to look at after a build."""
+    return variables_en.orderBy("id").limit(n).select("id", "n1_en", "variable_dimensions_en", "measureUnitName_en")

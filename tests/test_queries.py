@@ -8,7 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from catalog.registry import QUERIES as OWN
 from tests.conftest import FOLDER
 
-ORACLES = oracle_sql()
+ORACLES = {name: sql for name, sql in oracle_sql().items() if name in OWN}
 # The queries of the optional subpackage have tests of their own.
 QUERIES = {name: build for name, build in queries().items() if name in OWN}
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow", "Scan ExistingRDD")

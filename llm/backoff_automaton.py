@@ -59,6 +59,16 @@ def _inflated(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zlib.decompress(raw), kind)
 
 
+def _stream_to_bytes(x: np.ndarray) -> bytes:
+    """Numbers of which small ones are common, byte plane by byte plane."""
+    pack = zlib.compressobj(1, zlib.DEFLATED, 15, 9, zlib.Z_RLE)
+    return pack.compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()) + pack.flush()
+
+
+def _stream_from_bytes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
 def _sorted_to_bytes(x: np.ndarray) -> bytes:
     """Ascending 64-bit numbers by their gaps; four bytes each where every gap allows it."""
     gaps = np.diff(x, prepend=np.uint64(0))
@@ -75,7 +85,7 @@ def _sorted_from_bytes(raw: bytes) -> np.ndarray:
 
 def blocks_of(docs: DataFrame, limit: int = BLOCK_TOKENS) -> DataFrame:
     """docs (doc_id, text, held) packed into blocks: ids, flags and token counts of the documents, the
-    ascending hashes of their distinct tokens, and the tokens as indices into these."""
+    hashes of their distinct tokens from the commonest on, and the tokens as indices into these."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         context = TaskContext.get()
@@ -85,8 +95,11 @@ def blocks_of(docs: DataFrame, limit: int = BLOCK_TOKENS) -> DataFrame:
         def out() -> pd.DataFrame:
             nonlocal number
             stream = np.concatenate(tokens)
-            words, index = np.unique(stream, return_inverse=True)
-            row = (number, [x or 0 for x in docs], [x is None for x in docs], list(held), list(lengths), words.tobytes(), _deflated(index.astype(np.uint32)))
+            words, index, counts = np.unique(stream, return_inverse=True, return_counts=True)
+            common = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[common] = np.arange(len(words))
+            row = (number, [x or 0 for x in docs], [x is None for x in docs], list(held), list(lengths), words[common].tobytes(), _stream_to_bytes(rank[index]))
             number += 1
             for x in (docs, held, lengths, tokens):
                 x.clear()
@@ -118,7 +131,12 @@ class Block:
     """The n-grams of a block: for each length the ascending distinct hashes and each position's index."""
 
     def __init__(self, words: bytes, stream: bytes, lengths: np.ndarray, held: np.ndarray, order: int):
-        lexicon, index = np.frombuffer(words, np.uint64), _inflated(stream, "<u4").astype(np.int64)
+        # Stored from the commonest word on; from here on words are in ascending order.
+        common = np.frombuffer(words, np.uint64)
+        ascending = np.argsort(common)
+        place = np.empty(len(ascending), np.int64)
+        place[ascending] = np.arange(len(ascending))
+        lexicon, index = common[ascending], place[_stream_from_bytes(stream)]
         self.ends = np.cumsum(lengths)
         self.owner = np.repeat(np.arange(len(lengths)), lengths)
         self.at = np.arange(len(index)) - (self.ends - lengths)[self.owner]

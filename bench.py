@@ -69,12 +69,15 @@ def main() -> None:
         "get_subject": lambda: get(store, subjects=["P0012"], level="gmina", years=[1997, 1998], dims={"n1": "small"}),
         "get_aggregate": lambda: get(store, subjects=["P0012", "P0013"], level="powiat", aggregate=True),
         "get_category": lambda: get(store, subjects=["K3"], level="wojewodztwo"),
+        "get_variables": lambda: get(store, variables=chosen.variables[:5], level="gmina"),
         "pruned_scan": lambda: scan.pruned_scan(facts, store.manifest, zl),
         "build_preview": lambda: explore.build(store, chosen)[1],
         "export_long": lambda: dataset.long(facts, store.codebook),
         "export_wide": lambda: dataset.wide(
             explore.observations(store, chosen), store.codebook.where(F.col("variable_id").isin(*chosen.variables))
         ),
+        "series_chart": lambda: explore.series_chart(store, chosen)[0],
+        "export_csv": lambda: explore.export(store, chosen, workspace(spark, "csv")),
         "top_series": lambda: series.top_points(facts),
         "series_mean": lambda: series.series(facts),
         "profile": lambda: quality.profile(facts),

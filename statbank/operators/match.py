@@ -93,9 +93,12 @@ def match_terms(
     holds its rarest term; the other terms are looked up in these rows only. Columns that are not `folded` yet
     are folded word by word, once per different word, and again in the candidates.
 
-    With `staged`, for large corpora, the rarest words are stored, so that their size decides the join.
+    With `staged`, for large corpora, the queries and the rarest words are stored, so that their size decides
+    the joins.
     """
     asked = asked_words(queries, stems)
+    if staged:
+        asked = small_side(materialized(asked, "queries"))
     joined = F.concat_ws(" ", *[F.col(c) for c in columns])
     words = texts.select(key, F.explode(text.words(joined)).alias("word"))
     vocabulary = words.groupBy("word").agg(F.count("*").alias("n"))
@@ -104,7 +107,11 @@ def match_terms(
     if staged:
         rare = small_side(materialized(rare, "words"))
     body = (joined if folded else text.fold(joined)).alias("body")
-    found = candidates(words, rare, key).join(asked, "query").join(texts.select(key, body), key)
-    every = F.forall("forms", lambda any_form: F.exists(any_form, lambda form: F.contains(F.col("body"), form)))
-    found = found.where(every).select("query", key)
+    # A text meets all of its candidate queries at once, so it is moved at most once.
+    found = candidates(words, rare, key).join(asked, "query").groupBy(key).agg(F.collect_set(F.struct("query", "forms")).alias("asked"))
+    found = found.join(texts.select(key, body), key)
+    holds = F.filter(
+        "asked", lambda q: F.forall(q["forms"], lambda any_form: F.exists(any_form, lambda form: F.contains(F.col("body"), form)))
+    )
+    found = found.select(key, F.explode(holds).alias("hit")).select("hit.query", key)
     return queries.select("qid", "query").join(found, "query").select("qid", key).distinct()

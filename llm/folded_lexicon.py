@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.sampling import bounded_sample, thinned
 from statbank.session import materialized
 
 #: Bounds of fitting: labelled rows, lexicon entries, exception phrases.
@@ -159,10 +160,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 def fitted(rows: DataFrame, sample: int = SAMPLE) -> Lexicon:
     """A lexicon from labelled rows (doc_id, text, y 0 or 1), of which at most `sample` are used."""
     rows = rows.where(F.col("y").isin(0, 1)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"))
-    # Chosen by narrow rows; the choice is of at most `sample` numbers, so it is sent to where the texts are.
-    mark = F.xxhash64("doc_id", "y", "text")
-    chosen = F.broadcast(rows.select(mark.alias("mark")).orderBy("mark").limit(sample).distinct())
-    rows = materialized(rows.withColumn("mark", mark).join(chosen, "mark", "left_semi").dropDuplicates(["mark"]).select("text", "y"), "labelled")
+    rows = materialized(bounded_sample(rows, ["doc_id", "y", "text"], sample).select("text", "y"), "labelled")
     total = {int(r["y"]): int(r["n"]) for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = total.get(1, 0), total.get(0, 0)
     if not toxic or not clean:
@@ -228,7 +226,7 @@ def sampled_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """At most twice `sample` labels of documents that are not held out, by a hash of their ids: few enough to
     be sent to where the texts are."""
     own = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return F.broadcast(own.orderBy(F.xxhash64("doc_id")).limit(2 * sample))
+    return F.broadcast(thinned(own, F.xxhash64("doc_id"), 2 * sample).orderBy(F.xxhash64("doc_id")).limit(2 * sample))
 
 
 def op9_folded_lexicon(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.sampling import bounded_sample
 from llm.words import chunks
 
 UNKNOWN = "und"
@@ -184,10 +185,7 @@ class Network:
 def trained(rows: DataFrame, sample: int = SAMPLE, hidden: int = HIDDEN, steps: int = STEPS, epochs: int = EPOCHS) -> Network:
     """A network from labelled rows (doc_id, text, lang), of which at most `sample` are used."""
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select("doc_id", "text", "lang")
-    # Chosen by one number a row; the choice, at most `sample` numbers, is sent to where the texts are.
-    mark = F.xxhash64("doc_id", "lang", "text")
-    chosen = F.broadcast(rows.select(mark.alias("mark")).orderBy("mark").limit(sample).distinct())
-    rows = rows.withColumn("mark", mark).join(chosen, "mark", "left_semi").dropDuplicates(["mark"])
+    rows = bounded_sample(rows, ["doc_id", "lang", "text"], sample)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Segments from evenly spaced places, so that long texts bring no more than short ones."""

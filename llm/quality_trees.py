@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.sampling import bounded_sample
 from llm.words import EXACT, Words, chunks, mixed
 from statbank.session import materialized
 
@@ -226,7 +227,7 @@ def measured(docs: DataFrame) -> DataFrame:
 def fitted(rows: DataFrame, sample: int = SAMPLE) -> Forest | None:
     """A forest from rows (doc_id, x, y 0 or 1), of which at most `sample` are used; None without both kinds."""
     rows = rows.where(F.col("y").isin(0, 1)).select("doc_id", "x", F.col("y").cast("int").alias("y"))
-    got = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y", "x").limit(sample).toPandas()
+    got = bounded_sample(rows, ["doc_id", "y", "x"], sample).toPandas().sort_values(["doc_id", "y"], ignore_index=True)
     if got["y"].nunique() < 2:
         return None
     return grown(np.array(got["x"].tolist()), got["y"].to_numpy(float), np.array(list(FEATURES.values())))

@@ -179,3 +179,13 @@ def test_toxicity_awkward_rows(awkward, empty, spark):
     learned = T.fitted(both)
     got = {r.doc_id: r for r in T.toxicity(both, learned, spans=True).collect()}
     assert got[1].predicted == 1 and got[1].hits == ["idi"] and got[2].predicted == 0 and got[99].predicted == 0
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    from llm.sampling import bounded_sample
+
+    rows = spark.range(5_000).selectExpr("id % 4000 AS doc_id", "'t' AS text")
+    some = sorted(r.doc_id for r in bounded_sample(rows, ["doc_id", "text"], 300).collect())
+    assert len(some) <= 300 and len(set(some)) == len(some) > 200
+    assert some == sorted(r.doc_id for r in bounded_sample(rows.repartition(7), ["doc_id", "text"], 300).collect())
+    assert bounded_sample(rows, ["doc_id", "text"], 10_000).count() == 4_000 and bounded_sample(rows.limit(0), ["doc_id"], 5).count() == 0

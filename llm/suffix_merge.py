@@ -38,6 +38,8 @@ from statbank.session import materialized
 LENGTH, GRAM = 400, 100
 #: Suffixes that a run holds and, about, that a range of the exchange holds.
 RUN_SUFFIXES, RANGE_SUFFIXES = 20_000, 20_000
+#: Bytes of text for which anchors are looked for at once; a longer text is one step.
+STEP_BYTES = 1 << 20
 _HEAD = 8
 
 
@@ -285,7 +287,7 @@ def _summaries(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch["doc_id"] = batch["doc_id"].astype("Int64")
-            for first, raw in chunks(batch.pop("text").tolist()):
+            for first, raw in chunks(batch.pop("text").tolist(), STEP_BYTES):
                 found = anchors_of(raw, length, gram)
                 cut = np.searchsorted(found.text, np.arange(len(raw) + 1))
                 own = batch.iloc[first : first + len(raw)].reset_index(drop=True)
@@ -321,7 +323,7 @@ def _runs(found: DataFrame, ranges: int, length: int, gram: int, limit: int) ->
 
         for batch in batches:
             wanted, d, h = [set(x) for x in batch["at"]], batch["d"].tolist(), batch["h"].tolist()
-            for first, raw in chunks(batch["text"].tolist()):
+            for first, raw in chunks(batch["text"].tolist(), STEP_BYTES):
                 a = anchors_of(raw, length, gram)
                 for text, at, key, low, high in zip(*(x.tolist() for x in (a.text, a.at, a.gram, a.low, a.high)), strict=True):
                     i = first + text
@@ -384,7 +386,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> t
     found = materialized(once.join(wanted, ["d", "h"]), "repeating")
     n = found.agg(F.sum(F.size("at")).alias("n")).first()["n"] or 0
     ranges = max(4, int(n) // RANGE_SUFFIXES)
-    runs = _runs(found, ranges, length, gram, RUN_SUFFIXES).repartition(ranges, "range")
+    runs = _runs(found, ranges, length, gram, RUN_SUFFIXES)
     spans = _merged(runs, length, gram).groupBy("d", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     copies = every.groupBy("d", "h").agg(F.count("*").alias("copies"))
     return every.drop("grams", "at").join(copies, ["d", "h"]), found.select("d", "h", "text").join(spans, ["d", "h"])

@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter
 
@@ -198,3 +199,47 @@ def test_pipeline_awkward_rows(spark, awkward, empty):
         out = stage(spark, awkward, FOLDER)
         assert out.columns == awkward.columns
         assert out.count() <= awkward.count() and stage(spark, empty, FOLDER).count() == 0
+
+
+def test_pipeline_near_duplicates_at_four_fifths(spark, wide):
+    """Near copies at 0.80 to 0.85 go, those below stay; texts that share only an id stay."""
+    rng = np.random.default_rng(11)
+    docs = []
+    for g in range(40):
+        base = [f"g{g}w{k}" for k in range(204)]  # 200 shingles
+        own = list(base)
+        for at in rng.choice(np.arange(5, 199, 6), g % 6, replace=False):  # each changed word costs five shingles or fewer
+            own[at] = "other"
+        docs += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(own))]
+    docs += [(500, " ".join(f"x{k}" for k in range(50))), (500, " ".join(f"y{k}" for k in range(50))), (500, " ".join(f"y{k}" for k in range(51)))]
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+    want, between = {500}, 0
+    for (a, x), (b, y) in zip(docs[:80:2], docs[1:80:2], strict=True):
+        x, y = shingles(x), shingles(y)
+        near = len(x & y) / len(x | y)
+        between += 0.8 <= near < 0.85
+        want |= {a} if near >= 0.8 else {a, b}
+    assert between > 5
+    got = corpus_pipeline.near_duplicates(spark, wide(docs), FOLDER).collect()
+    assert {r.doc_id for r in got} == want
+    assert sorted(r.text[0] for r in got if r.doc_id == 500) == ["x", "y"]
+
+
+def test_pipeline_near_duplicates_equal_brute_force(spark):
+    docs = pd.read_parquet(f"{FOLDER}/documents.parquet")
+    fold = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    sets = {}
+    for i, t in zip(docs.doc_id, docs.text, strict=True):
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(fold))
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    least = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    got = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(i for i in sets if least[i] == i)

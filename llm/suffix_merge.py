@@ -12,6 +12,10 @@ known prefix is never compared again and the merged order comes with its common
 the suffixes that share a gram are neighbours; which of the strings around them are equal follows from
 common prefixes to the right and the same to the left of the anchor, without listing pairs.
 
+A gram of more than `HOT` anchors would fill a range alone, so the strings around its anchors are not sorted:
+each is named by 128 bits of BLAKE2b, names are counted where they are made and by hash, and a join brings the
+repeated ones back to their texts. No task holds all anchors of a gram, nor a list of a string's owners.
+
 Every byte of such a string is removed; overlaps count and strings are judged on the input.
 
 Defined results: null and empty texts have no bytes and keep none. Repeated rows are documents of their
@@ -38,6 +42,10 @@ from statbank.session import materialized
 LENGTH, GRAM = 400, 100
 #: Suffixes that a run holds and, about, that a range of the exchange holds.
 RUN_SUFFIXES, RANGE_SUFFIXES = 20_000, 20_000
+#: Anchors of a gram that are sorted; strings around those of commoner grams are counted by name.
+HOT = 1_000
+#: Names that a task holds before it hands them on.
+NAMES = 50_000
 #: Bytes of text for which anchors are looked for at once; a longer text is one step.
 STEP_BYTES = 1 << 20
 _HEAD = 8
@@ -369,7 +377,37 @@ def _merged(runs: DataFrame, length: int, gram: int) -> DataFrame:
     return runs.groupBy("range").applyInPandas(merge, "d bigint, h bigint, start bigint, end bigint")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def _named(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """found (d, h, text, hot: anchors wanted) -> a row for each string around these anchors: d, h, start, name."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[int, int, int, bytes]] = []
+        for batch in batches:
+            wanted, d, h = [set(x) for x in batch["hot"]], batch["d"].tolist(), batch["h"].tolist()
+            for first, raw in chunks(batch["text"].tolist(), STEP_BYTES):
+                a = anchors_of(raw, length, gram)
+                for text, at, low, high in zip(*(x.tolist() for x in (a.text, a.at, a.low, a.high)), strict=True):
+                    i, body = first + text, raw[text]
+                    if at in wanted[i]:
+                        rows += [(d[i], h[i], s, hashlib.blake2b(body[s : s + length], digest_size=16).digest()) for s in range(low, high + 1)]
+                    if len(rows) >= NAMES:
+                        yield pd.DataFrame(rows, columns=["d", "h", "start", "name"])
+                        rows.clear()
+        if rows:
+            yield pd.DataFrame(rows, columns=["d", "h", "start", "name"])
+
+    return found.select("d", "h", "text", "hot").mapInPandas(run, "d bigint, h bigint, start bigint, name binary")
+
+
+def _counted(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """Repeated strings around the anchors `hot`: d, h and byte spans."""
+    named = materialized(_named(found, length, gram), "named")
+    # Written, so that the join meets two plain exchanges and a common string's partition can be split.
+    twice = materialized(named.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "names")
+    return named.join(twice, "name").select("d", "h", "start", (F.col("start") + length).alias("end"))
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id, text) -> (a row for each document: d, h, doc_id, sha256 and n_bytes of the input, copies;
     a row for each different text with repeats: d, h, text and its spans to remove). d and h name a text.
 
@@ -380,14 +418,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> t
     texts = every.groupBy("d", "h").agg(F.count("*").alias("copies"), F.first(F.arrays_zip("grams", "at")).alias("x"))
     anchors = materialized(texts.select("d", "h", F.explode("x").alias("x")).select("d", "h", F.col("x.grams").alias("gram"), F.col("x.at").alias("at")), "anchors")
     # Written, so that the join below meets two plain exchanges and a hot gram's partition can be split.
-    shared = materialized(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams")
-    wanted = anchors.join(shared, "gram").groupBy("d", "h").agg(F.collect_set("at").alias("at"))
+    shared = materialized(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    common = F.col("n") > hot
+    wanted = anchors.join(shared, "gram").groupBy("d", "h")
+    wanted = wanted.agg(F.collect_set(F.when(~common, F.col("at"))).alias("at"), F.collect_set(F.when(common, F.col("at"))).alias("hot"))
     once = keyed.where(F.octet_length("text") >= length).groupBy("d", "h").agg(F.first("text").alias("text"))
     found = materialized(once.join(wanted, ["d", "h"]), "repeating")
     n = found.agg(F.sum(F.size("at")).alias("n")).first()["n"] or 0
     ranges = max(4, int(n) // RANGE_SUFFIXES)
-    runs = _runs(found, ranges, length, gram, RUN_SUFFIXES)
-    spans = _merged(runs, length, gram).groupBy("d", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    runs = _runs(found.where(F.size("at") > 0), ranges, length, gram, RUN_SUFFIXES)
+    spans = _merged(runs, length, gram)
+    if not (often := found.where(F.size("hot") > 0)).isEmpty():
+        spans = spans.unionByName(_counted(often, length, gram))
+    spans = spans.groupBy("d", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     copies = every.groupBy("d", "h").agg(F.count("*").alias("copies"))
     return every.drop("grams", "at").join(copies, ["d", "h"]), found.select("d", "h", "text").join(spans, ["d", "h"])
 
@@ -401,10 +444,10 @@ def _kept(text: bytes, spans) -> tuple[bytes, list[tuple[int, int]]]:
     return b"".join([*out, text[at:]]), cut
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id, text) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document; d, h and the
     remaining bytes `kept` of each different text that lost some, unless it is a copy of another text)."""
-    every, cut = repeated_spans(docs, length, gram)
+    every, cut = repeated_spans(docs, length, gram, hot)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -87,3 +87,23 @@ def test_rewritten_keeps_columns_and_characters(wide):
     out = S.rewritten(docs)
     assert out.columns == docs.columns
     assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(1, "ab", 2), (2, "c", 1), (3, "alone", 5), (4, "", 0), (5, "", 0), (5, "", 0)]
+
+
+def test_common_grams_are_counted_not_sorted(wide, monkeypatch):
+    """A passage in most documents, with different surroundings: equal to brute force, and in no range."""
+    rng = random.Random(9)
+
+    def words(n):
+        return "".join(rng.choice("abcdefgh ") for _ in range(n))
+
+    passages = [words(130), words(450)]
+    docs = [(i, words(rng.randint(0, 300)) + (passages[i % 2] + words(40)[: i % 7 and 40] if i % 3 else words(500)) + words(rng.randint(0, 300))) for i in range(60)]
+    docs += [(100 + i, docs[i][1][:420] + words(90)) for i in range(0, 60, 4)]
+    want = dict(zip([i for i, _ in docs], brute([t.encode() for _, t in docs], 400), strict=True))
+    assert sum(x[1] > 0 for x in want.values()) > 20
+    sorted_anchors, runs = [], S._runs
+    monkeypatch.setattr(S, "_runs", lambda found, *a: sorted_anchors.append(found.selectExpr("sum(size(at)) AS n").first()["n"] or 0) or runs(found, *a))
+    for hot in (1_000, 5, 1):
+        figures, _ = S.without_repeats(wide(docs), hot=hot)
+        assert {r.doc_id: tuple(r) for r in figures.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()} == {i: (i, *x) for i, x in want.items()}
+    assert sorted_anchors[0] > sorted_anchors[1] > sorted_anchors[2] == 0

@@ -36,8 +36,10 @@ END = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Rounds of multiplicative weights, and how strongly coverage lowers a weight.
 ROUNDS, RATE = 40, 0.5
-#: Parts of the fractional solution that are tried when it is rounded down.
-SHARES = (1.0, 0.9, 0.8, 0.6, 0.5, 0.4, 0.25, 0.1)
+#: Times in a round that configurations are priced anew.
+PRICED = 12
+#: Programs solved at most, one on what its predecessor's rounding left.
+PROGRAMS = 12
 #: Pieces per counting block, on average.
 BLOCK_ROWS = 50_000
 #: Distinct words whose ids a Python worker remembers; beyond it the memory starts anew.
@@ -162,7 +164,7 @@ def fractional(need: np.ndarray, capacity: int, rounds: int) -> dict[tuple[int,
 
     After round t every length is covered to the t-th part of its need at least. Lengths are visited from
     the longest on; one that lags behind takes the best priced configuration that holds it, which also covers
-    others. Lengths that are covered beyond their part lose weight for the next round.
+    others. Lengths that are covered beyond their part lose weight; prices follow `PRICED` times a round.
     """
     lengths = np.flatnonzero(need)
     size = np.arange(capacity + 1, dtype=float)
@@ -170,12 +172,14 @@ def fractional(need: np.ndarray, capacity: int, rounds: int) -> dict[tuple[int,
     worth = size + 1e-3 * size**2 / capacity
     covered, x = np.zeros(capacity + 1), Counter()
     for t in range(1, rounds + 1):
-        ratio = np.divide(covered, need, out=np.zeros_like(covered), where=need > 0) * rounds - (t - 1)
-        weight = np.where(need > 0, worth * np.exp(-RATE * np.clip(ratio, -4, 4)), 0.0)
-        _, take = priced(weight, capacity)
+        used = 0
         for length in lengths[::-1].tolist():
             lag = need[length] * t / rounds - covered[length]
             if lag > 1e-9:
+                if used % max(1, len(lengths) // PRICED) == 0:
+                    ratio = np.divide(covered, need, out=np.zeros_like(covered), where=need > 0) * rounds - (t - 1)
+                    _, take = priced(np.where(need > 0, worth * np.exp(-RATE * np.clip(ratio, -4, 4)), 0.0), capacity)
+                used += 1
                 pattern = tuple(sorted([length, *_filled(capacity - length, take)], reverse=True))
                 counts = Counter(pattern)
                 amount = lag / counts[length]
@@ -209,32 +213,44 @@ def best_fit(left: np.ndarray, capacity: int) -> Counter[tuple[int, ...]]:
     return sum(rooms.values(), Counter())
 
 
-def configurations(histogram: Mapping[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a configuration, times used), which together hold exactly the histogram.
+def rounded(x: Mapping[tuple[int, ...], float], left: np.ndarray) -> Counter[tuple[int, ...]]:
+    """Whole numbers of configurations near the fractions x; what they hold is taken from `left`.
 
-    The fractional solution is rounded down, whole or scaled by one of `SHARES`, and the rest is best-fit; the
-    rounding that needs the fewest sequences counts.
+    Fractions are carried on from configuration to configuration, fullest first, so that their sum is kept; a
+    configuration is used only as often as all of its pieces are left.
     """
-    need = np.zeros(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        need[length] = n
-    if not need.any():
-        return []
-    best: Counter[tuple[int, ...]] = Counter()
-    x = sorted(fractional(need, capacity, int(max(1, min(rounds, np.median(need[need > 0]) // 8)))).items(), key=lambda p: (-sum(p[0]), -p[0][0], -p[1], p[0]))
-    for share in SHARES:
-        left, out = need.copy(), Counter()
-        for pattern, amount in x:
+    out: Counter[tuple[int, ...]] = Counter()
+    carried = 0.5
+    for pattern, amount in sorted(x.items(), key=lambda p: (-sum(p[0]), -p[0][0], -p[1], p[0])):
+        carried += amount
+        if carried >= 1:
             counts = Counter(pattern)
-            times = min(int(amount * share), *(int(left[y]) // c for y, c in counts.items()))
+            times = min(int(carried), *(int(left[y]) // c for y, c in counts.items()))
+            carried -= int(carried)
             if times > 0:
                 out[pattern] += times
                 for y, c in counts.items():
                     left[y] -= times * c
-        out += best_fit(left, capacity)
-        if not best or out.total() < best.total():
-            best = out
-    return sorted(best.items())
+    return out
+
+
+def solved(need: np.ndarray, capacity: int, rounds: int = ROUNDS, programs: int = PROGRAMS) -> tuple[Counter[tuple[int, ...]], Counter[tuple[int, ...]]]:
+    """Configurations that hold exactly the histogram `need`: those of the programs, and those of best fit."""
+    left, out = need.copy(), Counter()
+    for _ in range(programs):
+        some = rounded(fractional(left, capacity, rounds), left)
+        out += some
+        if not some or not left.any():
+            break
+    return out, best_fit(left, capacity)
+
+
+def configurations(histogram: Mapping[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of a configuration, times used), which together hold exactly the histogram."""
+    need = np.zeros(capacity + 1, np.int64)
+    for length, n in histogram.items():
+        need[length] = n
+    return sorted(sum(solved(need, capacity, rounds), Counter()).items())
 
 
 class Places:

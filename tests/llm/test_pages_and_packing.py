@@ -66,6 +66,22 @@ def test_pieces_and_configurations():
     assert P.configurations({}, 64) == [] and P.configurations({40: 3}, 64) == [((40,), 3)]
 
 
+def test_every_round_runs_and_programs_place_nearly_all(monkeypatch):
+    """Needs of one or a few pieces: weights are lowered in every round, and best fit gets only a remnant."""
+    rng = np.random.default_rng(1)
+    for rows in (400, 4000):
+        need = np.bincount(rng.integers(1, 256, rows), minlength=257)
+        prices, priced = [], P.priced
+        monkeypatch.setattr(P, "priced", lambda weight, capacity: prices.append(1) or priced(weight, capacity))  # noqa: B023
+        P.configurations({y: int(n) for y, n in enumerate(need) if n}, 256)
+        assert len(prices) >= P.ROUNDS
+        monkeypatch.undo()
+        placed, rest = P.solved(need, 256)
+        assert sum((Counter({k: c * n for k, c in Counter(p).items()}) for p, n in (placed + rest).items()), Counter()) == Counter({y: int(n) for y, n in enumerate(need) if n})
+        assert rest.total() <= 0.05 * placed.total()
+        assert (placed + rest).total() <= best_fit_decreasing(Counter({y: int(n) for y, n in enumerate(need) if n}), 256) * 1.01 + 1
+
+
 def test_packing_awkward_rows(awkward, empty, spark):
     pieces = P.best_fit_packing(awkward).toPandas()
     check_packing(pieces, 1024)

@@ -49,11 +49,14 @@ HOMOGLYPHS = dict(
     )
 )
 # Digits and symbols written for letters (fixed values).
-SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "i", "€": "e"}
+SUBSTITUTES = {"0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g"}
+SUBSTITUTES |= {"@": "a", "$": "s", "!": "i", "|": "i", "€": "e", "+": "t"}
 _INVISIBLE = "­​‌‍⁠﻿"
 _TABLE = str.maketrans(HOMOGLYPHS | {c: None for c in _INVISIBLE})
 #: A substitute counts as a letter only beside a letter on its right, so closing marks stay marks.
-_WRITTEN_FOR = re.compile(r"[013457@$!|€]+(?=[^\W\d_])|(?<=[^\W\d_])[013457@$|€]+(?=[\s.,;:?!]|$)")
+_WRITTEN_FOR = re.compile(r"[0-9@$!|€+]+(?=[^\W\d_])|(?<=[^\W\d_])[0-9@$|€+]+(?=[\s.,;:?!]|$)")
+#: No word has a letter three times in succession, so a symbol written so is a mark.
+_MARKS = re.compile(r"([@$!|€+])\1\1")
 _APART = re.compile(r"[\W_]+")
 _TO_LETTERS = str.maketrans(SUBSTITUTES)
 
@@ -61,7 +64,7 @@ _TO_LETTERS = str.maketrans(SUBSTITUTES)
 def folded(text: str) -> str:
     """The text as blank-separated folded words, with a blank before the first and after the last."""
     text = text.lower().translate(_TABLE)
-    text = _WRITTEN_FOR.sub(lambda m: m[0].translate(_TO_LETTERS) if len(set(m[0])) == len(m[0]) else " ", text)
+    text = _WRITTEN_FOR.sub(lambda m: " " if _MARKS.search(m[0]) else m[0].translate(_TO_LETTERS), text)
     return f" {_APART.sub(' ', text).strip()} "
 
 

@@ -171,6 +171,11 @@ def test_folding_and_exceptions():
     assert lexicon.measured(found, None) == lexicon.measured(found, "") == lexicon.measured(found, " .") == (0.0, 0)
 
 
+def test_doubled_substitutes_are_letters():
+    assert T.folded("l00ser, a55hole n00b a55. a$$ @$$hole 8itch shi+") == " looser asshole noob ass ass asshole bitch shit "
+    assert T.folded("sale$$$ $$$idiot wow!!!you in 2024") == " sale idiot wow you in 2024 "
+
+
 def test_toxicity_awkward_rows(awkward, empty, spark):
     none = T.fitted(empty.selectExpr("doc_id", "text", "1 AS y"))
     rows = T.toxicity(awkward, none, spans=True).collect()

@@ -6,10 +6,12 @@ from llm import (
     config_packing,
     edit_decontamination,
     folded_lexicon,
+    hard_negatives,
     host_reputation,
     language_id,
     mincut_extraction,
     quality_trees,
+    spelling_variants,
     suffix_merge,
 )
 
@@ -24,5 +26,7 @@ QUERIES = {
     "op8_config_packing": config_packing.op8_config_packing,
     "op9_folded_lexicon": folded_lexicon.op9_folded_lexicon,
     "op10_suffix_merge": suffix_merge.op10_suffix_merge,
+    "op12_spelling_variants": spelling_variants.op12_spelling_variants,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
-ORACLES = {"op7_host_reputation": host_reputation.ORACLE}
+ORACLES = {"op7_host_reputation": host_reputation.ORACLE, "op13_hard_negatives": hard_negatives.ORACLE}

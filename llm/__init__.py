@@ -10,6 +10,7 @@ from llm import (
     host_reputation,
     language_id,
     mincut_extraction,
+    ngram_jaccard,
     quality_trees,
     spelling_variants,
     suffix_merge,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_config_packing": config_packing.op8_config_packing,
     "op9_folded_lexicon": folded_lexicon.op9_folded_lexicon,
     "op10_suffix_merge": suffix_merge.op10_suffix_merge,
+    "op11_ngram_jaccard": ngram_jaccard.op11_ngram_jaccard,
     "op12_spelling_variants": spelling_variants.op12_spelling_variants,
     "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }

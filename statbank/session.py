@@ -44,3 +44,14 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = workspace(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialized` wrote, once everything that reads them is written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        for folder in folders:
+            if "/statbank-" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -35,9 +35,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.components import components
+from llm.components import components, families
 from llm.words import CHUNK_BYTES, Words, chunks, mixed
-from statbank.session import materialized
+from statbank.session import discard, materialized
 
 SHINGLE, PERCENT = 5, 85
 BANDS, ROWS, SLOT_BITS = 50, 8, 16
@@ -258,17 +258,17 @@ def linked_components(classes: DataFrame, docs: DataFrame, k: int, percent: int,
     shared = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("rep").alias("least")).where("size > 1").select("key", "least")
     shared = materialized(shared, "shared")
     live = materialized(bands.join(shared, "key"), "buckets")
-    families = components(live.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct())
-    families = families.select(F.col("node").alias("id"), F.col("component").alias("family"))
-    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
-    families = materialized(families.join(sizes, "family"), "families")
-    needed = families.select(F.col("id").alias("doc_id"), "family", "size")
+    discard(bands, shared)
+    grouped = families(live.select("key", F.col("rep").alias("node"), "least")).select(F.col("node").alias("id"), "family")
+    sizes = grouped.groupBy("family").agg(F.count("*").alias("size"))
+    grouped = materialized(grouped.join(sizes, "family"), "families")
+    needed = grouped.select(F.col("id").alias("doc_id"), "family", "size")
     found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(needed, "doc_id")
     texts = materialized(packed_texts(found.select(F.col("doc_id").alias("id"), "family", "size", "text")), "texts")
-    parts = max(4, int(families.count()) // 2_000)
+    parts = max(4, int(grouped.count()) // 2_000)
     members = texts.where(F.col("size") <= family).repartition(parts, "family").sortWithinPartitions("family")
     out = _families_settled(members.select("family", "id", "text"), k, percent)
-    large = families.where(F.col("size") > family).select(F.col("id").alias("rep"))
+    large = grouped.where(F.col("size") > family).select(F.col("id").alias("rep"))
     if large.isEmpty():
         return materialized(out, "settled")
     slow = _by_rounds(live.select("key", "rep", "n").join(large, "rep"), texts.select("id", "text"), k, percent)

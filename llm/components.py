@@ -1,11 +1,11 @@
-"""Connected components by joins: least labels with pointer jumping, written between rounds."""
+"""Connected components by joins: least labels with pointer jumping, written between rounds; families of keys' members."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statbank.session import materialized
+from statbank.session import discard, materialized
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -29,3 +29,23 @@ def components(links: DataFrame) -> DataFrame:
         if step.where("old <> component").isEmpty():
             return step.select("node", "component")
         labels = step.select("node", "component")
+
+
+def stars(members: DataFrame, of_use: str = "true") -> DataFrame:
+    """members (key, node) -> distinct (a, b): each member of a key that is of use with the key's least one."""
+    shared = members.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("b"), F.expr(of_use).alias("use"))
+    shared = shared.where("size > 1 AND use").select("key", "b")
+    return members.join(shared, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
+def families(live: DataFrame) -> DataFrame:
+    """live (key, node, least: the key's least node), written -> node, family: which nodes keys bring together.
+
+    A node takes the least node of all its keys as label; then only the keys' different labels are linked, so
+    the links of a large group are contracted before components are sought.
+    """
+    labels = materialized(live.groupBy("node").agg(F.min("least").alias("label")), "labels")
+    contracted = materialized(live.select("key", "node").join(labels, "node").select("key", F.col("label").alias("node")).distinct(), "contracted")
+    found = components(stars(contracted)).select(F.col("node").alias("label"), "component")
+    discard(contracted)
+    return labels.join(found, "label", "left").select("node", F.coalesce("component", "label").alias("family"))

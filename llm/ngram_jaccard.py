@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.circulant_minhash import shingle_sets
-from llm.components import components
+from llm.components import components, families, stars
 from llm.words import chunks
-from statbank.session import materialized
+from statbank.session import discard, materialized
 
 SHINGLE, PERCENT = 4, 85
 #: No set above this size is small: from here on subsets cost more at any histogram.
@@ -203,13 +203,6 @@ def prefixes(blocks: DataFrame, answers: DataFrame, k: int, bits: int, least: in
     return left.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(take, "doc_id bigint, digest binary, n bigint, tokens array<bigint>, shingles binary")
 
 
-def stars(members: DataFrame, of_use: str = "true") -> DataFrame:
-    """members (key, node) -> distinct (a, b): each member of a key that is of use with the key's least one."""
-    shared = members.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("b"), F.expr(of_use).alias("use"))
-    shared = shared.where("size > 1 AND use").select("key", "b")
-    return members.join(shared, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-
-
 def subset_links(classes: DataFrame, largest: int, percent: int) -> DataFrame:
     """classes (rep, small) of at most `largest` shingles -> links (a, b) by equal subsets."""
 
@@ -230,17 +223,6 @@ def subset_links(classes: DataFrame, largest: int, percent: int) -> DataFrame:
     return stars(members, "min(n) = min(other) AND max(n) = max(other)")
 
 
-def families(postings: DataFrame) -> DataFrame:
-    """postings (key, node) -> node, family: which nodes lists bring together. Nodes are contracted to the least
-    member of their lists first, so that only links between these are left for components."""
-    shared = postings.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1").select("key", "least")
-    live = materialized(postings.join(materialized(shared, "shared"), "key"), "lists")
-    labels = materialized(live.groupBy("node").agg(F.min("least").alias("label")), "labels")
-    contracted = live.select("key", "node").join(labels, "node").select("key", F.col("label").alias("node")).distinct()
-    found = components(stars(contracted)).select(F.col("node").alias("label"), "component")
-    return labels.join(found, "label", "left").select("node", F.coalesce("component", "label").alias("family"))
-
-
 def reached_first(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """For each set the first set that its links lead to, itself included, by scans of inverted lists."""
     sizes = np.array([len(x) for x in sets])
@@ -329,7 +311,13 @@ def jaccard_components(
     found = prefixes(blocks, frequencies(blocks), k, bits, least, percent)
     # The least id's row stands for its class.
     found = materialized(found.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi"), "prefixes")
-    grouped = families(found.select(F.explode("tokens").alias("key"), F.col("doc_id").alias("node")).distinct())
+    listed = materialized(found.select(F.explode("tokens").alias("key"), F.col("doc_id").alias("node")).distinct(), "listed")
+    # Written, so that the join meets two plain exchanges and a hot list's partition can be split.
+    shared = listed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1").select("key", "least")
+    shared = materialized(shared, "shared")
+    lists = materialized(listed.join(shared, "key"), "lists")
+    discard(listed, shared)
+    grouped = families(lists)
     members = found.select(F.col("doc_id").alias("node"), "n", "shingles").join(materialized(grouped, "grouped"), "node")
     heavy = settled_links(members, percent, tile)
     # A doc_id with several texts joins their classes.

@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.words import EXACT, chunks, mixed, powers
-from statbank.session import materialized
+from statbank.session import discard, materialized
 
 LENGTH, GRAM = 400, 100
 #: Suffixes that a run holds and, about, that a range of the exchange holds.
 RUN_SUFFIXES, RANGE_SUFFIXES = 20_000, 20_000
 #: Anchors of a gram that are sorted; strings around those of commoner grams are counted by name.
-HOT = 1_000
+HOT = 20_000
 #: Names that a task holds before it hands them on.
 NAMES = 50_000
 #: Bytes of text for which anchors are looked for at once; a longer text is one step.
@@ -407,9 +407,10 @@ def _counted(found: DataFrame, length: int, gram: int) -> DataFrame:
     return named.join(twice, "name").select("d", "h", "start", (F.col("start") + length).alias("end"))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """docs (doc_id, text) -> (a row for each document: d, h, doc_id, sha256 and n_bytes of the input, copies;
-    a row for each different text with repeats: d, h, text and its spans to remove). d and h name a text.
+    a row for each different text with repeats: d, h, text and its spans to remove; a written table that the second
+    one reads). d and h name a text.
 
     Equal texts are combined before anything is exchanged: one of them stands for all in the sort.
     """
@@ -424,6 +425,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     wanted = wanted.agg(F.collect_set(F.when(~common, F.col("at"))).alias("at"), F.collect_set(F.when(common, F.col("at"))).alias("hot"))
     once = keyed.where(F.octet_length("text") >= length).groupBy("d", "h").agg(F.first("text").alias("text"))
     found = materialized(once.join(wanted, ["d", "h"]), "repeating")
+    discard(anchors, shared)
     n = found.agg(F.sum(F.size("at")).alias("n")).first()["n"] or 0
     ranges = max(4, int(n) // RANGE_SUFFIXES)
     runs = _runs(found.where(F.size("at") > 0), ranges, length, gram, RUN_SUFFIXES)
@@ -432,7 +434,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         spans = spans.unionByName(_counted(often, length, gram))
     spans = spans.groupBy("d", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     copies = every.groupBy("d", "h").agg(F.count("*").alias("copies"))
-    return every.drop("grams", "at").join(copies, ["d", "h"]), found.select("d", "h", "text").join(spans, ["d", "h"])
+    return every.drop("grams", "at").join(copies, ["d", "h"]), found.select("d", "h", "text").join(spans, ["d", "h"]), found
 
 
 def _kept(text: bytes, spans) -> tuple[bytes, list[tuple[int, int]]]:
@@ -447,7 +449,7 @@ def _kept(text: bytes, spans) -> tuple[bytes, list[tuple[int, int]]]:
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id, text) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each document; d, h and the
     remaining bytes `kept` of each different text that lost some, unless it is a copy of another text)."""
-    every, cut = repeated_spans(docs, length, gram, hot)
+    every, cut, found = repeated_spans(docs, length, gram, hot)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -458,6 +460,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot
             yield pd.DataFrame(rows, columns=["d", "h", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     done = materialized(cut.mapInPandas(run, "d bigint, h bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"), "kept")
+    discard(found)
     # A text of enough bytes that stands in two documents repeats as a whole.
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     figures = every.join(done.drop("kept"), ["d", "h"], "left").select(
@@ -478,16 +481,20 @@ def rewritten(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
     figures, kept = without_repeats(docs, length, gram)
     gone = figures.where("n_removed > 0").select(F.col("d").alias("_d"), F.col("h").alias("_h"), (F.col("n_removed") == F.col("n_bytes")).alias("_all")).distinct()
     left = kept.select(F.col("d").alias("_d"), F.col("h").alias("_h"), F.col("kept").alias("_kept"))
-    sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    # The row is one column here, so that no name of it can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    sha = F.sha2(F.coalesce("_row.text", F.lit("")).cast("binary"), 256)
     part = [F.conv(F.substring(sha, i, 15), 16, 10).cast("bigint") for i in (1, 16)]
-    found = docs.select("*", part[0].alias("_d"), part[1].alias("_h")).join(gone, ["_d", "_h"], "left").join(left, ["_d", "_h"], "left")
+    found = rows.select("_row", part[0].alias("_d"), part[1].alias("_h")).join(gone, ["_d", "_h"], "left").join(left, ["_d", "_h"], "left")
 
     def decode(column: pd.Series) -> pd.Series:
         return column.map(lambda x: None if x is None else x.decode("utf-8", "ignore"))
 
-    text = F.when(F.col("_all"), F.lit("")).otherwise(F.coalesce(F.pandas_udf(decode, "string")("_kept"), F.col("text")))
-    out = {"text": text} | ({"n_chars": F.when(F.col("_all").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast("bigint"))} if "n_chars" in docs.columns else {})
-    return found.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+    text = F.when(F.col("_all"), F.lit("")).otherwise(F.coalesce(F.pandas_udf(decode, "string")("_kept"), F.col("_row.text")))
+    out = {"text": text}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(F.col("_all").isNull(), F.col("_row.n_chars")).otherwise(F.char_length(text).cast("bigint"))
+    return found.select(*[out.get(c, F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def op10_suffix_merge(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,12 +2,12 @@ import zlib
 
 import pytest
 
-WIDE = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, d bigint, h string, kept string, block int, b int"
+WIDE = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, d bigint, h string, kept string, block int, b int, _row bigint, _d bigint, _h string, _group string, _kept string, row int, doc string, text2 string"
 
 
 def rows_of(pairs):
     """Documents with columns whose names operators use inside."""
-    return [(i, t, "en", None, None if t is None else len(t), 0.5, 7, "x", "y", 1, None) for i, t in pairs]
+    return [(i, t, "en", None, None if t is None else len(t), 0.5, 7, "x", "y", 1, None, 77, 78, "h", "g", "k", 79, "d", None) for i, t in pairs]
 
 
 @pytest.fixture(scope="session")

@@ -201,7 +201,8 @@ def test_pipeline_stages(spark):
     assert near.columns == docs.columns
     from llm.circulant_minhash import near_duplicates
 
-    assert sorted(r.doc_id for r in near.collect()) == sorted(r.doc_id for r in near_duplicates(docs).where("kept").collect())
+    same = near_duplicates(docs, percent=corpus_pipeline.PERCENT, bands=corpus_pipeline.BANDS, rows=corpus_pipeline.BAND_ROWS)
+    assert sorted(r.doc_id for r in near.collect()) == sorted(r.doc_id for r in same.where("kept").collect())
     clean = corpus_pipeline.decontaminated(spark, docs, FOLDER)
     dirty = {r.doc_id for r in D.op6_edit_decontamination(spark, FOLDER).collect()}
     assert clean.columns == docs.columns and {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - dirty
@@ -217,6 +218,34 @@ def test_pipeline_awkward_rows(spark, awkward, empty):
         assert out.count() <= awkward.count() and stage(spark, empty, FOLDER).count() == 0
 
 
+def test_pipeline_passages_of_fifty_words(spark, wide):
+    """Passages of 50 to 70 words that repeat go, byte by byte as in brute force; other columns stay as they are."""
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 9))) for _ in range(4000)]
+
+    def some(n):
+        return " ".join(rng.choice(words, n))
+
+    passages = [some(n) for n in range(50, 71)]
+    assert min(map(len, passages)) >= corpus_pipeline.PASSAGE
+    docs = [(10 * k + m, f"{some(90)} {p} {some(90)}") for k, p in enumerate(passages) for m in range(1 + k % 3 + (k % 3 == 0))]
+    docs += [(1000 + k, some(200)) for k in range(20)] + [(2000, None), (2001, ""), (2002, passages[0][:200])]
+    raw, n, starts = [(t or "").encode() for _, t in docs], corpus_pipeline.PASSAGE, {}
+    for i, x in enumerate(raw):
+        for at in range(len(x) - n + 1):
+            starts.setdefault(x[at : at + n], []).append((i, at))
+    gone = [np.zeros(len(x), bool) for x in raw]
+    for places in starts.values():
+        for i, at in places if len(places) > 1 else ():
+            gone[i][at : at + n] = True
+    want = {i: None if t is None else bytes(np.frombuffer(x, np.uint8)[~g]).decode() for (i, t), x, g in zip(docs, raw, gone, strict=True)}
+    got = corpus_pipeline.repeated_passages(spark, wide(docs), FOLDER).collect()
+    assert {r.doc_id: r.text for r in got} == want
+    assert {(r["_row"], r["_d"], r["_h"], r["_kept"], r["row"], r["doc"]) for r in got} == {(77, 78, "h", "k", 79, "d")}
+    assert not [p for p in passages for t in want.values() if t and p in t] and all(want[1000 + k] for k in range(20))
+    assert {r["_row"] for r in corpus_pipeline.near_duplicates(spark, wide(docs), FOLDER).collect()} == {77}
+
+
 def test_pipeline_near_duplicates_at_four_fifths(spark, wide):
     """Near copies at 0.80 to 0.85 go, those below stay; texts that share only an id stay."""
     rng = np.random.default_rng(11)

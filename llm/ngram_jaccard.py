@@ -186,20 +186,23 @@ def prefixes(blocks: DataFrame, answers: DataFrame, k: int, bits: int, least: in
         out = []
         for row in block.itertuples(index=False):
             common = np.concatenate([_unpacked(x, np.uint8) for x in answer["counts"]])
-            hashes = np.concatenate([_from_gaps(x) for x in row.hashes])
             body, ends = zlib.decompress(row.text), np.cumsum(row.lengths)
-            use = [i for i, n in enumerate(row.lengths) if n and row.sizes[i] >= least]
+            use = [i for i, n in enumerate(row.lengths) if n]
             texts = [body[ends[i] - row.lengths[i] : ends[i]].decode("utf-8", "surrogatepass") for i in use]
-            for first, raw in chunks(texts):
-                for i, shingles in zip(use[first:], shingle_sets(raw, k), strict=False):
-                    often = common[np.searchsorted(hashes, shingles >> shift)].astype(np.uint64)
-                    prefix = np.sort(often << np.uint64(56) | shingles >> np.uint64(8))[: prefix_length(len(shingles), percent)]
-                    tokens = prefix[prefix >= np.uint64(2 << 56)]
-                    if len(tokens):
-                        out.append((row.docs[i], row.digests[i], len(shingles), tokens.view(np.int64).tolist(), shingles.tobytes()))
+            sets = [x for _, raw in chunks(texts) for x in shingle_sets(raw, k)]
+            # The block's message again: counts are in its order.
+            hashes = np.unique(np.concatenate(sets) >> shift) if sets else np.zeros(0, np.uint64)
+            for i, shingles in zip(use, sets, strict=True):
+                if len(shingles) < least:
+                    continue
+                often = common[np.searchsorted(hashes, shingles >> shift)].astype(np.uint64)
+                prefix = np.sort(often << np.uint64(56) | shingles >> np.uint64(8))[: prefix_length(len(shingles), percent)]
+                tokens = prefix[prefix >= np.uint64(2 << 56)]
+                if len(tokens):
+                    out.append((row.docs[i], row.digests[i], len(shingles), tokens.view(np.int64).tolist(), shingles.tobytes()))
         return pd.DataFrame(out, columns=["doc_id", "digest", "n", "tokens", "shingles"])
 
-    left = blocks.select("block", "docs", "sizes", "digests", "lengths", "text", "hashes")
+    left = blocks.select("block", "docs", "digests", "lengths", "text")
     return left.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(take, "doc_id bigint, digest binary, n bigint, tokens array<bigint>, shingles binary")
 
 
@@ -301,6 +304,7 @@ def jaccard_components(
     bits = min(64, max(40, (size // 2).bit_length() + 8))
     blocks = materialized(blocks_of(docs, k, bits, size // 6 // shingles + 1, block), "blocks")
     rows = blocks.select(F.inline(F.arrays_zip("docs", "sizes", "digests", "small"))).toDF("doc_id", "n", "digest", "small")
+    rows = materialized(rows, "sets")
     sets = rows.where(F.col("digest").isNotNull())
     classes = sets.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.first("small").alias("small"))
     classes = materialized(classes, "classes")
@@ -311,6 +315,7 @@ def jaccard_components(
     found = prefixes(blocks, frequencies(blocks), k, bits, least, percent)
     # The least id's row stands for its class.
     found = materialized(found.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi"), "prefixes")
+    discard(blocks)
     listed = materialized(found.select(F.explode("tokens").alias("key"), F.col("doc_id").alias("node")).distinct(), "listed")
     # Written, so that the join meets two plain exchanges and a hot list's partition can be split.
     shared = listed.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1").select("key", "least")

@@ -47,7 +47,7 @@ SHINGLE, PERCENT = 4, 85
 #: No set above this size is small: from here on subsets cost more at any histogram.
 SMALL_LIMIT = 32
 #: Bytes of text in a block, shingles that a range counts, and shingles of a tile, about.
-BLOCK_BYTES, RANGE_SHINGLES, TILE_SHINGLES = 16 << 20, 4_000_000, 1_000_000
+BLOCK_BYTES, RANGE_SHINGLES, TILE_SHINGLES = 4 << 20, 2_000_000, 500_000
 #: Tasks that pairs of tiles are dealt to; each settles one pair after the other.
 MOST_PARTS = 20_000
 _COMMON = 255
@@ -233,6 +233,7 @@ def reached_first(sets: list[np.ndarray], percent: int) -> np.ndarray:
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     order = np.argsort(ids, kind="stable")
     listed, owners = ids[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    owners = owners.astype(np.int32)
     reached, width = np.full(len(sets), -1), int(ids.max()) + 1
     count = np.bincount(listed, minlength=width)
     start, held = np.cumsum(count) - count, len(sets)

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from catalog.fixtures import Tables  # noqa: E402
 from catalog.filters import queries_table  # noqa: E402
 from statbank import Selection, Store, export_store, get  # noqa: E402
-from statbank.operators import dataset, facets, match, metadata, quality, search, series  # noqa: E402
+from statbank.operators import dataset, facets, lookup, metadata, quality, search, series  # noqa: E402
 from statbank.plans import explore  # noqa: E402
 from statbank.session import workspace  # noqa: E402
 from statbank.sinks import layout  # noqa: E402
+from statbank.sinks.text_index import build_text_index  # noqa: E402
 from statbank.sources import scan  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -64,13 +65,13 @@ def main() -> None:
     chosen = Selection(levels=(1, 2, 4, 5, 6)).add(title.where(F.col("n4").isNull()).orderBy("variable_id").limit(40))
     zl = store.codebook.where((F.col("subject_parent_id") == "K2") & (F.col("measureUnitName") == "zł"))
     some_queries = queries_table(t)
-    documents = t.source("documents")
+    document_words = timed("index_documents", lambda: build_text_index(t.source("documents"), "doc_id", ["text"], workspace(spark, "words"), folded=False))
     work = {
         "get_subject": lambda: get(store, subjects=["P0012"], level="gmina", years=[1997, 1998], dims={"n1": "small"}),
         "get_aggregate": lambda: get(store, subjects=["P0012", "P0013"], level="powiat", aggregate=True),
         "get_category": lambda: get(store, subjects=["K3"], level="wojewodztwo"),
         "get_variables": lambda: get(store, variables=chosen.variables[:5], level="gmina"),
-        "pruned_scan": lambda: scan.pruned_scan(facts, store.manifest, zl),
+        "pruned_scan": lambda: scan.indexed_scan(facts, store.root, store.index, store.manifest, scan.settled_ids(zl)),
         "build_preview": lambda: explore.build(store, chosen)[1],
         "export_long": lambda: dataset.long(facts, store.codebook),
         "export_wide": lambda: dataset.wide(
@@ -86,12 +87,10 @@ def main() -> None:
         "equidepth": lambda: layout.equidepth_ranges(facts),
         "top_preview": lambda: dataset.preview(facts.select("variable_id", "unitId", "unitName", "unitLevel", "year", "value")),
         "ranked_search": lambda: search.ranked_search(bilingual, "ludność small", [6, 4]),
-        "ranked_search_batch": lambda: search.ranked_search_batch(bilingual, some_queries, [6, 4]),
+        "ranked_search_batch": lambda: search.ranked_search_batch(bilingual, some_queries, [6, 4], index=store.codebook_words),
         "facet_panel": lambda: facets.panel(bilingual),
         "unit_search": lambda: search.unit_search(store.searchable_units, "nation_1", [6, 5]),
-        "document_terms": lambda: match.match_terms(
-            documents, some_queries.where(F.col("qid").startswith("name:")), "doc_id", ["text"], staged=True, folded=False
-        ),
+        "document_terms": lambda: lookup.match_indexed(document_words, some_queries.where(F.col("qid").startswith("name:"))),
     }
     for name, build in work.items():
         timed(name, build)

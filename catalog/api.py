@@ -15,6 +15,7 @@ from statbank.plans.get import get
 from statbank.plans.store import lay_out
 from statbank.session import workspace
 from statbank.sinks import datasets
+from statbank.sinks.text_index import build_text_index
 
 P_CODES = "c.variable_id IN (SELECT variable_id FROM codebook WHERE subjectId IN ('P0012', 'P0013', 'P0021'))"
 FROM_LEVEL = LABELLED.replace("FROM facts f", "FROM facts_{level} f")
@@ -177,6 +178,12 @@ def _(t):
     return search.ranked_search_batch(t.bilingual, queries_table(t), [4, 5])
 
 
+@query("api_ranked_search_indexed", RANKED_BATCH)
+def _(t):
+    index = build_text_index(t.bilingual, "variable_id", search.SEARCH_KEYS, workspace(t.spark, "codebook-words"))
+    return search.ranked_search_batch(t.bilingual, queries_table(t), [4, 5], index=index)
+
+
 @query(
     "api_search_hint",
     f"""SELECT 'Ring' AS query, count(*) AS n_subjects, coalesce(min(name_match) = 1, false) AS only_breakdowns
@@ -226,19 +233,27 @@ def _(t):
     return search.unit_search(t.searchable_units, "Nation_1", [5, 2])
 
 
-@query(
-    "api_unit_search_batch",
-    """SELECT qid, unitId, unitName, unitLevel, rank FROM (
+UNITS_BATCH = """SELECT qid, unitId, unitName, unitLevel, rank FROM (
   SELECT q.qid, u.unitId, u.unitName, u.unitLevel,
          row_number() OVER (PARTITION BY q.qid ORDER BY u.unitLevel DESC, u.unitName, u.unitId) AS rank
   FROM units u JOIN (SELECT DISTINCT n_name AS qid FROM nation) q ON contains(lower(u.unitName), lower(q.qid))
-  WHERE u.unitLevel IN (5, 4, 2)) r WHERE rank <= 100""",
-)
+  WHERE u.unitLevel IN (5, 4, 2)) r WHERE rank <= 100"""
+
+
+@query("api_unit_search_batch", UNITS_BATCH)
 def _(t):
     asked = t.source("nation").select(F.col("n_name").alias("qid"), F.col("n_name").alias("query")).distinct()
     return search.unit_search_batch(t.searchable_units, asked, [5, 4, 2])
 
 
+@query("api_unit_search_indexed", UNITS_BATCH)
+def _(t):
+    asked = t.source("nation").select(F.col("n_name").alias("qid"), F.col("n_name").alias("query")).distinct()
+    units = t.searchable_units.withColumn(search.UNIT_KEY, search.unit_key())
+    index = build_text_index(units, search.UNIT_KEY, ["search_key"], workspace(t.spark, "unit-words"))
+    return search.unit_search_batch(t.searchable_units, asked, [5, 4, 2], index=index)
+
+
 CHOSEN = "SELECT variable_id FROM codebook WHERE subjectId = 'P0012' AND n1 = 'ogółem'"
 SLICE = f"SELECT * FROM facts WHERE variable_id IN ({CHOSEN}) AND unitLevel IN (1, 2, 4) AND year BETWEEN 1996 AND 2000"
 

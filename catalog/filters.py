@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from statbank import schema as S
 from statbank.functions import text
-from statbank.operators import facets, filters, match, search
+from statbank.operators import facets, filters, lookup, match, search
 from statbank.plans.explore import selection_add, selection_remove
+from statbank.session import workspace
+from statbank.sinks.text_index import build_text_index
 
 TITLE_WORDS = ["ludność typu", "mieszkania", "registered unemployed", "źródła red", "dwellings large"]
 
@@ -155,24 +157,41 @@ def _(t):
     return t.bilingual.select(F.explode(F.array_compact(F.array(*tags))).alias("qid"), "variable_id")
 
 
-@query("flt_terms_all_batch", _brute("bilingual", "variable_id", ["search_key", "search_key_en"], QUERIES_SQL))
+ORACLES_OF = {
+    "batch": _brute("bilingual", "variable_id", ["search_key", "search_key_en"], QUERIES_SQL),
+    "documents": _brute(
+        "(SELECT doc_id, replace(strip_accents(lower(text)), 'ł', 'l') AS key FROM documents)",
+        "doc_id", ["key"], "SELECT DISTINCT p_name AS qid, p_name AS query FROM part",
+    ),
+}
+
+
+@query("flt_terms_all_batch", ORACLES_OF["batch"])
 def _(t):
     return match.match_terms(t.bilingual, queries_table(t), "variable_id", ["search_key", "search_key_en"])
 
 
-@query(
-    "flt_terms_all_documents",
-    _brute(
-        "(SELECT doc_id, replace(strip_accents(lower(text)), 'ł', 'l') AS key FROM documents)",
-        "doc_id", ["key"], "SELECT DISTINCT p_name AS qid, p_name AS query FROM part",
-    ),
-)
+@query("flt_terms_all_documents", ORACLES_OF["documents"])
 def _(t):
     documents = t.source("documents")
     names = t.source("part").select(F.col("p_name").alias("qid"), F.col("p_name").alias("query")).distinct()
     return match.match_terms(documents, names, "doc_id", ["text"], staged=True, folded=False)
 
 
+@query("flt_terms_all_indexed", ORACLES_OF["batch"])
+def _(t):
+    index = build_text_index(t.bilingual, "variable_id", ["search_key", "search_key_en"], workspace(t.spark, "codebook-words"))
+    return lookup.match_indexed(index, queries_table(t))
+
+
+@query("flt_terms_all_documents_indexed", ORACLES_OF["documents"])
+def _(t):
+    """Documents indexed once, and every product name looked up."""
+    names = t.source("part").select(F.col("p_name").alias("qid"), F.col("p_name").alias("query")).distinct()
+    index = build_text_index(t.source("documents"), "doc_id", ["text"], workspace(t.spark, "document-words"), folded=False)
+    return lookup.match_indexed(index, names)
+
+
 PICK = """
 SELECT b.subjectId, b.variable_id FROM bilingual b
 LEFT JOIN (SELECT subjectId, count(*) AS n FROM active_dims GROUP BY subjectId) a ON a.subjectId = b.subjectId

@@ -141,7 +141,7 @@ def _(t):
     store = lay_out(t.stored, workspace(t.spark, "store"))
     wanted = (F.col("subject_parent_id") == "K2") & (F.col("measureUnitName") == "zł")
     ids = store.codebook.where(wanted).select("variable_id")
-    return scan.pruned_scan(store.facts, store.manifest, ids)
+    return scan.indexed_scan(store.facts, store.root, store.index, store.manifest, scan.settled_ids(ids))
 
 
 @query(

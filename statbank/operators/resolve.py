@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from statbank import schema as S
 from statbank.operators.filters import aggregate_predicate, dims_predicate
 from statbank.operators.match import substring_pairs
-from statbank.session import literal_table
+from statbank.session import literal_table, small_side
 
 KEYWORD_MIN = 4
 
@@ -53,6 +53,11 @@ def category_subjects(subjects: DataFrame, codebook: DataFrame, codes: DataFrame
     return substring_pairs(categories, names).select("code", "subjectId").distinct()
 
 
+def named_like_categories(subjects: DataFrame, codes: DataFrame) -> DataFrame:
+    """(code, subjectId) as above, by the subjects' own names: subjects without variables are among them."""
+    return category_subjects(subjects, subjects.select(F.col("id").alias("subjectId"), F.col("name").alias("subject_name")), codes)
+
+
 def by_category(
     variables: DataFrame, subjects: DataFrame, codebook: DataFrame, codes: DataFrame
 ) -> DataFrame:
@@ -75,7 +80,6 @@ def narrow_ids(ids: DataFrame, codebook: DataFrame, predicate: Column) -> DataFr
 
 def resolve_ids(
     codebook: DataFrame,
-    variables: DataFrame,
     subjects: DataFrame,
     variable_ids: Sequence[int] | None = None,
     codes: Sequence[str] | None = None,
@@ -83,21 +87,24 @@ def resolve_ids(
     aggregate: bool = False,
 ) -> DataFrame:
     """Distinct variable ids of a request; a request that names nothing known is empty."""
-    spark = codebook.sparkSession
-    sources = []
-    if variable_ids is not None:
-        sources.append(literal_table(spark, [int(i) for i in variable_ids], "variable_id", "int"))
-    if codes is not None:
-        plain = [c for c in codes if not c.startswith("K")]
-        if plain:
-            chosen = variables.where(F.col("subjectId").isin(*plain))
-            sources.append(chosen.select(F.col("id").alias("variable_id")))
-        if len(plain) < len(codes):
-            table = literal_table(spark, codes, "code", "string")
-            sources.append(by_category(variables, subjects, codebook, table))
-    if not sources:
+    if variable_ids is None and codes is None:
         raise ValueError("give variables, subjects or both")
-    ids = union_ids(*sources)
-    if aggregate:
-        return narrow_ids(ids, codebook, aggregate_predicate())
-    return ids if dims is None else narrow_ids(ids, codebook, dims_predicate(dims))
+    predicate = aggregate_predicate() if aggregate else None if dims is None else dims_predicate(dims)
+    literal = None if variable_ids is None else [int(i) for i in variable_ids]
+    plain = [c for c in codes or () if not c.startswith("K")]
+    # One pass over the codebook: every request is a condition on its rows.
+    asked = F.col("subjectId").isin(*plain) if plain else F.lit(False)
+    if literal is not None and predicate is not None:
+        asked = asked | F.col("variable_id").isin(*literal)
+    rows = codebook
+    if codes is not None and len(plain) < len(codes):
+        table = literal_table(codebook.sparkSession, codes, "code", "string")
+        matched = named_like_categories(subjects, table).select("subjectId").distinct().withColumn("_named", F.lit(True))
+        rows = codebook.join(small_side(matched), "subjectId", "left")
+        asked = asked | F.col("_named").isNotNull()
+    if predicate is not None:
+        return rows.where(asked & predicate).select("variable_id").distinct()
+    found = [rows.where(asked).select("variable_id")] if codes is not None else []
+    if literal is not None:
+        found.append(literal_table(codebook.sparkSession, literal, "variable_id", "int"))
+    return union_ids(*found)

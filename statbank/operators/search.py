@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from statbank import schema as S
 from statbank.functions import text
 from statbank.operators import filters
+from statbank.operators.lookup import match_indexed
 from statbank.operators.match import match_terms
+from statbank.sinks.text_index import TextIndex
 
 SEARCH_KEYS = ["search_key", "search_key_en"]
 NAME_KEYS = ["subj_norm", "subj_en_norm"]
@@ -132,11 +134,11 @@ def ranked_search(
 
 
 def ranked_search_batch(
-    codebook: DataFrame, queries: DataFrame, levels: Sequence[int] = (), k: int = S.MAX_SUBJECTS
+    codebook: DataFrame, queries: DataFrame, levels: Sequence[int] = (), k: int = S.MAX_SUBJECTS, index: TextIndex | None = None
 ) -> DataFrame:
-    """Ranked subjects of every query of a (qid, query) table."""
+    """Ranked subjects of every query of a (qid, query) table; with an index of the codebook's search keys, by that."""
     pool = codebook.where(filters.level_available(levels))
-    matched = match_terms(pool, queries, "variable_id", SEARCH_KEYS)
+    matched = match_terms(pool, queries, "variable_id", SEARCH_KEYS) if index is None else match_indexed(index, queries)
     found = matched.join(
         pool.select(
             "variable_id", "subjectId", "subject_name", "subject_name_en", *NAME_KEYS, "measureUnitName"
@@ -169,6 +171,13 @@ def search_hint(ranked: DataFrame) -> DataFrame:
     )
 
 
+UNIT_KEY = "unit"
+
+
+def unit_key() -> Column:
+    return F.struct("unitId", "unitLevel")
+
+
 def unit_search(
     units: DataFrame, query: str, levels: Sequence[int], k: int = S.MAX_UNITS
 ) -> DataFrame:
@@ -184,11 +193,14 @@ def unit_search(
 
 
 def unit_search_batch(
-    units: DataFrame, queries: DataFrame, levels: Sequence[int], k: int = S.MAX_UNITS
+    units: DataFrame, queries: DataFrame, levels: Sequence[int], k: int = S.MAX_UNITS, index: TextIndex | None = None
 ) -> DataFrame:
+    """Units of every query of a (qid, query) table; with an index of the units' search keys by UNIT_KEY, by that."""
     pool = units.where(F.col("unitLevel").isin(*levels))
-    keyed = pool.withColumn("unit", F.struct("unitId", "unitLevel"))
-    found = match_terms(keyed, queries, "unit", ["search_key"], stems=False)
+    if index is None:
+        found = match_terms(pool.withColumn(UNIT_KEY, unit_key()), queries, UNIT_KEY, ["search_key"], stems=False)
+    else:
+        found = match_indexed(index, queries, stems=False)
     rows = found.select("qid", "unit.unitId", "unit.unitLevel").join(
         pool.select("unitId", "unitLevel", "unitName"), ["unitId", "unitLevel"]
     )

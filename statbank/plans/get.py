@@ -10,8 +10,7 @@ from statbank.operators import filters
 from statbank.operators.dataset import with_labels
 from statbank.operators.resolve import level_of, resolve_ids
 from statbank.plans.store import Store
-from statbank.session import small_side
-from statbank.sources.scan import literal_scan, pruned_scan
+from statbank.sources.scan import indexed_scan, of_ids, settled_ids
 
 
 def get(
@@ -25,7 +24,10 @@ def get(
     aggregate: bool = False,
     add_labels: bool = True,
 ) -> DataFrame:
-    """One lazy plan: resolve ids on the codebook, scan the level, attach labels.
+    """Resolve ids on the codebook, scan the level, attach labels.
+
+    The ids are computed here, once, by one pass over the codebook; a laid-out store then reads only the files that
+    hold one of them. The rest is lazy.
 
     `subjects` takes subject codes and category codes, `units` ids or exact names, `dims`
     values per dimension with None for a missing one. A request that resolves to no variable
@@ -36,21 +38,18 @@ def get(
     if aggregate and dims is not None:
         raise ValueError("give aggregate or dims, not both")
     of_level = F.col("unitLevel") == level_of(level)
+    if subjects is None and dims is None and not aggregate:
+        ids = tuple(int(i) for i in variables)
+    else:
+        ids = settled_ids(resolve_ids(store.codebook, store.subjects, variables, subjects, dims, aggregate))
     facts = store.facts.where(of_level)
+    if store.index is None:
+        facts = of_ids(facts, ids)
+    else:
+        facts = indexed_scan(facts, store.root, store.index.where(of_level), store.manifest.where(of_level), ids)
     if years is not None:
         facts = facts.where(filters.years_in(years))
     if units is not None:
         facts = facts.where(filters.units_any(units))
-    if subjects is None and dims is None and not aggregate:
-        manifest = None if store.manifest is None else store.manifest.where(of_level)
-        facts = literal_scan(facts, manifest, variables)
-    else:
-        ids = resolve_ids(
-            store.codebook, store.variables, store.subjects, variables, subjects, dims, aggregate
-        )
-        if store.manifest is None:
-            facts = facts.join(small_side(ids), "variable_id", "left_semi")
-        else:
-            facts = pruned_scan(facts, store.manifest.where(of_level), ids)
     observations = facts.select(*S.OBSERVATION)
     return with_labels(observations, store.codebook) if add_labels else observations

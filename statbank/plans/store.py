@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from statbank import schema as S
 from statbank.operators import metadata
+from statbank.operators.search import SEARCH_KEYS, UNIT_KEY, unit_key
 from statbank.session import materialized
+from statbank.sinks.index import read_key_index, write_key_index
 from statbank.sinks.layout import ROWS_PER_FILE, manifest, write_parquet, write_parts
+from statbank.sinks.text_index import TextIndex, build_text_index
 from statbank.sources import scan
 from statbank.sources.files import load_raw_extracts
 
@@ -18,7 +21,8 @@ from statbank.sources.files import load_raw_extracts
 class Store:
     """The tables queries run on.
 
-    A laid-out store also has a manifest and the stored forms of its two search tables.
+    A laid-out store also has a root, a manifest, a key index, the stored forms of its two search tables and
+    their text indexes.
     """
 
     facts: DataFrame
@@ -31,6 +35,10 @@ class Store:
     manifest: DataFrame | None = None
     search_codebook: DataFrame | None = None
     search_units: DataFrame | None = None
+    root: str | None = None
+    index: DataFrame | None = None
+    codebook_words: TextIndex | None = None
+    unit_words: TextIndex | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -78,6 +86,10 @@ class Store:
             manifest=scan.read_manifest(spark, f"{root}/manifest"),
             search_codebook=table("search_codebook"),
             search_units=table("search_units"),
+            root=root,
+            index=read_key_index(spark, root),
+            codebook_words=TextIndex.open(spark, f"{root}/codebook_words", "variable_id"),
+            unit_words=TextIndex.open(spark, f"{root}/unit_words", UNIT_KEY),
         )
 
     def register_views(self) -> None:
@@ -115,12 +127,13 @@ def lay_out(
     parts: Mapping[int, int] | int = S.LEVEL_PARTS,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> Store:
-    """Write the facts in equi-depth parts with their manifest; the metadata stays as it is."""
+    """Write the facts in equi-depth parts with their manifest and key index; the metadata stays as it is."""
     placed = write_parts(store.facts, f"{root}/facts", parts, rows_per_file)
     # One row per part.
     manifest(placed).coalesce(1).write.json(f"{root}/manifest")
+    write_key_index(store.spark, root)
     facts = scan.read_parts(store.spark, f"{root}/facts")
-    return replace(store, facts=facts, manifest=scan.read_manifest(store.spark, f"{root}/manifest"))
+    return replace(store, facts=facts, manifest=scan.read_manifest(store.spark, f"{root}/manifest"), root=root, index=read_key_index(store.spark, root))
 
 
 def export_store(
@@ -129,7 +142,7 @@ def export_store(
     parts: Mapping[int, int] | int = S.LEVEL_PARTS,
     rows_per_file: int = ROWS_PER_FILE,
 ) -> Store:
-    """Write facts in equi-depth parts, the manifest, the metadata and the search tables."""
+    """Write facts in equi-depth parts, the manifest and key index, the metadata, and the search tables with their indexes."""
     lay_out(store, root, parts, rows_per_file)
     english = store.subjects_en is not None and store.variables_en is not None
     names = ["codebook", "units", "variables", "subjects"]
@@ -138,4 +151,8 @@ def export_store(
     stored = replace(store, **{name: store.spark.read.parquet(f"{root}/{name}") for name in ("codebook", "units")})
     write_parquet(stored.bilingual, f"{root}/search_codebook")
     write_parquet(stored.searchable_units, f"{root}/search_units")
+    searched = {name: store.spark.read.parquet(f"{root}/{name}") for name in ("search_codebook", "search_units")}
+    build_text_index(searched["search_codebook"], "variable_id", SEARCH_KEYS, f"{root}/codebook_words")
+    units = searched["search_units"].withColumn(UNIT_KEY, unit_key())
+    build_text_index(units, UNIT_KEY, ["search_key"], f"{root}/unit_words")
     return Store.open(store.spark, root, english)

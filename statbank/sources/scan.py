@@ -1,4 +1,4 @@
-"""Fact scans: plain, by file list, and pruned by the manifest."""
+"""Fact scans: plain, by file list, pruned by the manifest, and by the key index."""
 
 from collections.abc import Sequence
 
@@ -8,8 +8,14 @@ from pyspark.sql import types as T
 
 from statbank import schema as S
 from statbank.operators.filters import variables_in
+from statbank.session import materialized, small_side
 from statbank.sinks.layout import BLOCK, block_of
 
+#: Ids that a request may hold as values; more of them stay a table.
+MOST_VALUES = 2_000
+#: Files that a scan names one by one; beyond, it prunes by parts.
+MOST_FILES = 5_000
+
 LAID_OUT = T.StructType([*S.FACT.fields, T.StructField("part", T.IntegerType())])
 
 
@@ -45,12 +51,48 @@ def locate(ids: DataFrame, manifest: DataFrame, block: int = BLOCK) -> DataFrame
     )
 
 
-def pruned_scan(facts: DataFrame, manifest: DataFrame, ids: DataFrame) -> DataFrame:
-    """Facts of the ids; the located parts prune partitions at run time.
+Ids = tuple[int, ...] | DataFrame
+
+
+def settled_ids(ids: DataFrame, most: int = MOST_VALUES) -> Ids:
+    """The ids of a plan, computed once: up to `most` as values, more of them as a stored table."""
+    few = ids.select("variable_id").limit(most + 1).collect()
+    if len(few) <= most:
+        return tuple(sorted({r.variable_id for r in few if r.variable_id is not None}))
+    return materialized(ids.select("variable_id").distinct(), "ids")
+
 
-    The (level, part) pairs are at most one for each manifest entry, so their broadcast needs no
-    estimate; the ids themselves join without a hint.
+def of_ids(frame: DataFrame, ids: Ids) -> DataFrame:
+    """Rows of the ids."""
+    if isinstance(ids, tuple):
+        return frame.where(variables_in(ids))
+    return frame.join(small_side(ids), "variable_id", "left_semi")
+
+
+def indexed_scan(facts: DataFrame, root: str, index: DataFrame, manifest: DataFrame, ids: Ids, most: int = MOST_FILES) -> DataFrame:
+    """Facts of the ids, read from the files that hold at least one of them; index and manifest may be cut to levels.
+
+    The driver gets the names of these files, `most` of them at the most; beyond that the parts are pruned.
+    """
+    held = of_ids(index, ids).select("file").distinct().limit(most + 1).collect()
+    if len(held) > most:
+        return pruned_scan(facts, manifest, ids)
+    if not held:
+        return facts.where(F.lit(False)).select(*S.FACT.names)
+    base = f"{root}/facts"
+    found = facts.sparkSession.read.schema(LAID_OUT).option("basePath", base).parquet(*sorted(f"{base}/{r.file}" for r in held))
+    return of_ids(found, ids).select(*S.FACT.names)
+
+
+def pruned_scan(facts: DataFrame, manifest: DataFrame, ids: Ids) -> DataFrame:
+    """Facts of the ids; the located parts prune partitions.
+
+    Ids as values become literal filters. A table of ids is read twice, so it should be a stored one (`settled_ids`);
+    the (level, part) pairs, at most one for each manifest entry, are broadcast and prune at run time, and the
+    ids themselves join without a hint.
     """
+    if isinstance(ids, tuple):
+        return literal_scan(facts, manifest, ids).select(*S.FACT.names)
     located = locate(ids, manifest).groupBy("unitLevel", "part").agg(F.count("*").alias("n"))
     # The filter holds for every row; it tells the optimizer that the pairs are worth pruning by.
     parts = F.broadcast(located.where("n > 0").select("unitLevel", "part"))
@@ -64,11 +106,9 @@ def literal_scan(facts: DataFrame, manifest: DataFrame | None, ids: Sequence[int
     wanted = facts.where(variables_in(ids))
     if manifest is None or not ids:
         return wanted
-    holds = F.lit(False)
-    for i in ids:
-        holds = holds | F.lit(int(i)).between(F.col("var_min"), F.col("var_max"))
+    within = F.exists(F.array(*[F.lit(int(i)) for i in ids]), lambda i: i.between(F.col("var_min"), F.col("var_max")))
     parts: dict[int, list[int]] = {}
-    for r in manifest.where(holds & F.col("unitLevel").isNotNull()).select("unitLevel", "part").distinct().collect():
+    for r in manifest.where(within & F.col("unitLevel").isNotNull()).select("unitLevel", "part").distinct().collect():
         parts.setdefault(r.unitLevel, []).append(r.part)
     pairs = F.lit(False)
     for level, held in sorted(parts.items()):

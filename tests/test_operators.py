@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from catalog.filters import queries_table
 from statbank import schema as S
 from statbank.functions import text
-from statbank.operators import dataset, facets, filters, match, metadata, quality, resolve, search, series
+from statbank.operators import dataset, facets, filters, lookup, match, metadata, quality, resolve, search, series
+from statbank.session import workspace
+from statbank.sinks.text_index import TextIndex, build_text_index
 
 
 def ids(frame):
@@ -87,14 +89,14 @@ def test_dims(codebook):
 
 def test_categories(spark, codebook):
     variables, subjects, plain, _ = codebook
-    found = lambda *codes: ids(resolve.resolve_ids(plain, variables, subjects, codes=codes))
+    found = lambda *codes: ids(resolve.resolve_ids(plain, subjects, codes=codes))
     assert found("K1") == [1, 2, 3, 4, 7]  # Ludność
     assert found("K2") == []  # no long word: the whole name
     assert found("K3") == [5]  # first long word is "ceny"
     assert found("P9", "K3", "K404") == [5, 6]
     assert found("P404") == []
-    assert ids(resolve.resolve_ids(plain, variables, subjects, [6, 99], ["P2"])) == [5, 6, 99]
-    assert ids(resolve.resolve_ids(plain, variables, subjects, [6, 99], dims={"n1": "a"})) == [6]
+    assert ids(resolve.resolve_ids(plain, subjects, [6, 99], ["P2"])) == [5, 6, 99]
+    assert ids(resolve.resolve_ids(plain, subjects, [6, 99], dims={"n1": "a"})) == [6]
 
 
 def test_ranked_search(codebook):
@@ -156,6 +158,59 @@ def test_match_terms_against_brute_force(spark, staged, stems):
     assert found.count() == len(brute(TEXTS, ASKED, stems))
 
 
+@pytest.mark.parametrize("stems", [True, False])
+def test_index_against_brute_force(spark, tmp_path, stems):
+    texts = spark.createDataFrame(TEXTS, "id int, body string")
+    asked = spark.createDataFrame([(q, q) for q in ASKED], "qid string, query string")
+    index = build_text_index(texts, "id", ["body"], str(tmp_path / "x"), folded=False, buckets=3)
+    found = lookup.match_indexed(index, asked, stems)
+    assert {(r.qid, r.id) for r in found.collect()} == brute(TEXTS, ASKED, stems)
+    assert found.count() == len(brute(TEXTS, ASKED, stems))
+    assert rows(TextIndex.open(spark, str(tmp_path / "x"), "id").words) == rows(index.words)
+
+
+def rows(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+def test_index_with_repeated_and_null_ids(spark, tmp_path):
+    """Words of two rows with one id do not add up; a row without id is in no result; ids are not repeated."""
+    texts = [(1, "alpha beta", "x"), (1, "gamma", "y"), (2, "alpha gamma", None), (2, "alpha beta gamma", ""), (None, "alpha gamma", "z"), (3, None, None)]
+    index = build_text_index(spark.createDataFrame(texts, "id int, body string, row string"), "id", ["body", "row"], str(tmp_path / "x"))
+    asked = [("q", "alpha gamma"), ("q", "beta"), (None, "gamma y"), ("r", None), ("s", "a"), ("t", "beta zz"), ("u", "ma x"), ("v", "alp eta")]
+    found = lookup.match_indexed(index, spark.createDataFrame(asked, "qid string, query string"))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([("q", 2), ("q", 1), (None, 1), ("v", 1), ("v", 2)], key=str)
+    nothing = build_text_index(index.keys.limit(0).select("key", F.lit("").alias("body")), "key", ["body"], str(tmp_path / "y"))
+    assert lookup.match_indexed(nothing, spark.createDataFrame(asked, "qid string, query string")).collect() == []
+
+
+def test_index_reads_no_text_and_compares_few_words(tables, tmp_path):
+    """Rows that enter verification are a small multiple of the hits, by a needle's rarest gram; by its first they are more."""
+    index = build_text_index(tables.bilingual, "variable_id", search.SEARCH_KEYS, str(tmp_path / "x"))
+    asked = match.asked_words(queries_table(tables))
+    needles = asked.select(F.explode(F.flatten("forms")).alias("needle")).distinct()
+    hits = lookup.needle_words(needles, index)
+    entering = index.gram_words.join(lookup.needle_grams(needles, index.grams), "gram").count()
+    long = needles.where("length(needle) >= 3")
+    rarest = index.gram_words.join(lookup.needle_grams(long, index.grams), "gram").count()
+    first = index.gram_words.join(long.withColumn("gram", F.substring("needle", 1, 3)), "gram").count()
+    assert hits.count() <= entering <= 2 * hits.count() and rarest <= first
+    plan = lookup.match_indexed(index, queries_table(tables))._jdf.queryExecution().executedPlan().toString()
+    assert "search_key" not in plan and "words:array" not in plan
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.text("abcł x", max_size=14), min_size=1, max_size=8),
+    st.lists(st.text("abcł", min_size=1, max_size=5), min_size=1, max_size=5, unique=True),
+)
+def test_needle_words(spark, bodies, needles):
+    index = build_text_index(spark.createDataFrame(list(enumerate(bodies)), "id int, body string"), "id", ["body"], workspace(spark, "words"))
+    found = lookup.needle_words(spark.createDataFrame([(n,) for n in needles], "needle string"), index)
+    words = [w for b in bodies for w in set(b.split(" ")) if w]
+    assert sorted(map(tuple, found.collect())) == sorted({(n, w, words.count(w)) for n in needles for w in words if n in w})
+
+
 def test_match_terms_with_repeated_and_null_qids(spark):
     texts = spark.createDataFrame(TEXTS, "id int, body string")
     asked = [("a", "unit the"), ("a", "cities"), ("a", "the cities"), (None, "bb ccc"), (None, "dwellings"), ("b", None), ("c", "^^"), ("d", "a\t"), ("e", " \u3000x\n")]
@@ -164,14 +219,17 @@ def test_match_terms_with_repeated_and_null_qids(spark):
 
 
 @pytest.mark.parametrize("query", ["a\t", "^^", " \n", "\u3000bb ccc", "Ludność\t", "´ludność"])
-def test_single_and_batch_search_agree(spark, tables, query):
+def test_single_and_batch_search_agree(spark, tables, store, query):
     asked = spark.createDataFrame([("q", query)], "qid string, query string")
     pool = tables.bilingual.where(F.col("unit_level").isin(1, 2, 4, 5, 6))
     single = search.ranked_search(pool, query).select("subjectId").collect()
     batch = search.ranked_search_batch(pool, asked).orderBy("rank").select("subjectId").collect()
     assert single == batch
+    assert single == search.ranked_search_batch(pool, asked, index=store.codebook_words).orderBy("rank").select("subjectId").collect()
     units = search.unit_search(tables.searchable_units, query, [5, 4]).collect()
-    assert units == search.unit_search_batch(tables.searchable_units, asked, [5, 4]).orderBy("rank").select("unitId", "unitName", "unitLevel").collect()
+    for index in (None, store.unit_words):
+        batch = search.unit_search_batch(tables.searchable_units, asked, [5, 4], index=index)
+        assert units == batch.orderBy("rank").select("unitId", "unitName", "unitLevel").collect()
 
 
 def test_candidates_stay_close_to_results(tables):

@@ -1,5 +1,6 @@
 """Layout, store, scans, selection and export."""
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -7,9 +8,12 @@ from pyspark.sql import functions as F
 from statbank import Selection, Store, build_store, export, export_store, get
 from statbank import schema as S
 from statbank.operators import dataset, facets
+from statbank.operators.resolve import resolve_ids
 from statbank.plans import explore
+from statbank.plans.store import lay_out
 from statbank.session import literal_table, small_side, workspace
 from statbank.sinks import datasets, layout
+from statbank.sinks.index import read_key_index
 from statbank.sources import files, scan
 
 
@@ -87,8 +91,8 @@ def test_located_parts_equal_range_join(spark, store):
     assert rows(found) == rows(brute.select("unitLevel", "part", "variable_id"))
 
 
-def parts_read(frame):
-    """Partitions that the scans of an executed plan have read."""
+def parts_read(frame, metric="numPartitions"):
+    """Partitions (or files) that the scans of an executed plan have read."""
     frame.collect()
     total, todo = 0, [frame._jdf.queryExecution().executedPlan()]
     while todo:
@@ -99,8 +103,8 @@ def parts_read(frame):
         elif kind.endswith("QueryStageExec"):
             todo.append(node.plan())
         else:
-            if kind == "FileSourceScanExec" and node.metrics().contains("numPartitions"):
-                total += node.metrics().apply("numPartitions").value()
+            if kind == "FileSourceScanExec" and node.metrics().contains(metric):
+                total += node.metrics().apply(metric).value()
             todo += [node.children().apply(i) for i in range(node.children().size())]
     return total
 
@@ -200,12 +204,51 @@ def test_series_are_dealt_out_once(store):
 
 
 def test_pruned_scan_prunes_partitions(store):
-    ids = store.codebook.where((F.col("subjectId") == "P0012") & (F.col("n1") == "small"))
-    found = scan.pruned_scan(store.facts, store.manifest, ids)
-    assert "dynamicpruning" in plan(found)
-    assert rows(found) == rows(
-        store.facts.join(ids, "variable_id", "left_semi").select(*FACT_COLUMNS)
+    ids = store.codebook.where(F.col("n1") == "small")
+    want = rows(store.facts.join(ids, "variable_id", "left_semi").select(*FACT_COLUMNS))
+    many = scan.pruned_scan(store.facts, store.manifest, scan.settled_ids(ids, most=0))
+    assert "dynamicpruning" in plan(many) and rows(many) == want
+    few = scan.pruned_scan(store.facts, store.manifest, scan.settled_ids(ids))
+    assert "dynamicpruning" not in plan(few) and "PushedFilters: [In(variable_id" in plan(few) and rows(few) == want
+
+
+def test_key_index_has_every_stretch(spark, store):
+    """One row for each file and key; its first row and length are those of the file itself."""
+    assert store.index.agg(F.sum("rows")).first()[0] == store.facts.count()
+    assert rows(store.index.groupBy("unitLevel", "part", "variable_id").agg(F.sum("rows").alias("n"))) == rows(
+        store.facts.groupBy("unitLevel", "part", "variable_id").agg(F.count("*").alias("n"))
     )
+    one = store.index.where("unitLevel = 5").orderBy("file").first().file
+    entries = store.index.where(F.col("file") == one).orderBy("variable_id").collect()
+    ids = pq.ParquetFile(f"{store.root}/facts/{one}".removeprefix("file:")).read(["variable_id"])["variable_id"].to_pylist()
+    assert ids == [e.variable_id for e in entries for _ in range(e.rows)]
+    assert [e.first_row for e in entries] == [sum(x.rows for x in entries[:k]) for k in range(len(entries))]
+
+
+def test_get_computes_ids_once_and_opens_only_their_files(spark, tables):
+    store = export_store(tables.stored, workspace(spark, "small-files"), parts=12, rows_per_file=300)
+    asked = dict(subjects=["P0012", "K2"], dims={"n1": "small"})
+    ids = resolve_ids(store.codebook, store.subjects, None, asked["subjects"], asked["dims"])
+    assert plan(ids).count("ReadSchema: struct<variable_id") == 1  # the codebook; the other scans are of subjects' names
+    level = store.index.where("unitLevel = 6")
+    holding = {r.file for r in level.join(ids, "variable_id", "left_semi").select("file").distinct().collect()}
+    found = get(store, level="gmina", add_labels=False, **asked)
+    assert len(found.inputFiles()) == len(holding) < level.select("file").distinct().count()
+    assert parts_read(found, "numFiles") == len(holding) and plan(found).count("FileScan") == 1
+    want = store.facts.where("unitLevel = 6").join(ids, "variable_id", "left_semi").select(*S.OBSERVATION)
+    assert rows(found) == rows(want) and found.count()
+    for most in (1, 10**6):  # by parts beyond so many files; ids as a table
+        by = scan.indexed_scan(store.facts.where("unitLevel = 6"), store.root, level, store.manifest.where("unitLevel = 6"), scan.settled_ids(ids, 0), most)
+        assert rows(by.select(*S.OBSERVATION)) == rows(want)
+    none = get(store, subjects=["P404"], level="gmina", add_labels=False)
+    assert none.count() == 0 and none.columns == found.columns
+
+
+def test_key_index_keeps_rows_without_key(spark, tmp_path):
+    facts = spark.createDataFrame([(i % 3 or None, "u", "n", 6 if i % 2 else None, 2000, 1.0, 0) for i in range(30)], S.FACT)
+    lay_out(Store.of(facts, *[spark.createDataFrame([], t) for t in (S.VARIABLES, S.SUBJECTS)]), str(tmp_path / "x"))
+    entries = read_key_index(spark, str(tmp_path / "x"))
+    assert rows(entries.groupBy("unitLevel", "variable_id").agg(F.sum("rows").alias("n"))) == rows(facts.groupBy("unitLevel", "variable_id").agg(F.count("*").alias("n")))
 
 
 def test_literal_scan_prunes_parts_and_row_groups(store):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from catalog.sources import LONG
 from statbank.operators import dataset, metadata, search, series
+from statbank.operators.order import placed
 
 PREVIEW = """
 SELECT variable_id, unitId, unitName, unitLevel, year, value FROM facts
@@ -71,9 +72,9 @@ def _(t):
     return series.top_series(t.facts)
 
 
-@query("sort_export", LONG)
+@query("sort_export", f"SELECT *, row_number() OVER (ORDER BY variable_id, unitLevel DESC, unitId, year) AS place FROM ({LONG}) long")
 def _(t):
-    return dataset.long(t.facts, t.codebook).orderBy(*dataset.export_order("variable_id"))
+    return placed(dataset.long(t.facts, t.codebook), dataset.export_order("variable_id"))
 
 
 @query(
@@ -86,8 +87,9 @@ def _(t):
 
 @query(
     "sort_search",
-    """SELECT variable_id, subjectId, subject_name, variable_dimensions, variable_full_name, measureUnitName, unit_level
+    """SELECT variable_id, subjectId, subject_name, variable_dimensions, variable_full_name, measureUnitName, unit_level,
+       row_number() OVER (ORDER BY subjectId, variable_id) AS place
 FROM codebook WHERE contains(lower(variable_full_name), 'blue')""",
 )
 def _(t):
-    return search.search_variables(t.codebook, "BLUE")
+    return placed(search.search_variables(t.codebook, "BLUE"), ["subjectId", "variable_id"])

@@ -94,17 +94,23 @@ def _(t):
     return given.select("id", text.unit_id(F.col("id")).alias("unitId"))
 
 
+# The aliases of the levels, written out so that the engine's own table is checked.
+LEVEL_ALIASES = """(6, 'gmina'), (6, 'gminy'), (5, 'powiat'), (5, 'powiaty'), (4, 'subregion'), (4, 'podregion'),
+(4, 'subregiony'), (4, 'podregiony'), (2, 'voivod'), (2, 'voivodeship'), (2, 'woj'), (2, 'wojewodztwo'),
+(2, 'wojewodztwa'), (1, 'macroregion'), (1, 'makroregion'), (1, 'makroregiony')"""
+
+
 @query(
     "proj_level_alias",
-    f"""SELECT a.code, count(*) AS n FROM codebook c JOIN (VALUES {", ".join(f"({k})" for k, names in S.LEVEL_ALIASES.items() for _ in names)}) a(code)
-ON a.code = c.unit_level GROUP BY a.code""",
+    f"""SELECT a.code, a.alias, count(*) AS n FROM codebook c JOIN (VALUES {LEVEL_ALIASES}) a(code, alias)
+ON a.code = c.unit_level GROUP BY a.code, a.alias""",
 )
 def _(t):
     """Every alias of each variable's level, written in capitals and with blanks around it."""
     known = F.create_map(*[x for k, names in S.LEVEL_ALIASES.items() for x in (F.lit(k), F.array(*map(F.lit, names)))])
     alias = F.explode(F.try_element_at(known, F.col("unit_level").cast("int"))).alias("alias")
     given = t.codebook.select(alias).select(F.concat(F.lit(" "), F.upper("alias"), F.lit("\t")).alias("alias"))
-    return given.groupBy(text.level_code(F.col("alias")).alias("code")).agg(F.count("*").alias("n"))
+    return given.groupBy(text.level_code(F.col("alias")).alias("code"), F.lower(F.trim("alias", F.lit(" \t"))).alias("alias")).agg(F.count("*").alias("n"))
 
 
 @query(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from statbank import schema as S
 from statbank.operators import dataset, facets, filters, metadata, quality, resolve, search, series
+from statbank.operators.order import placed
 from statbank.sinks import layout
 
 LABELLED = """
@@ -114,18 +115,36 @@ def _(t):
     return resolve.narrow_ids(ids, t.codebook, filters.dims_predicate({"n1": S.TOTAL, "n2": [None]}))
 
 
-@query(
-    "agg_profile",
-    """SELECT CASE unitLevel WHEN 6 THEN 'facts_gminy' WHEN 5 THEN 'facts_powiaty' WHEN 4 THEN 'facts_podregiony'
-            WHEN 2 THEN 'facts_wojewodztwa' ELSE 'facts_makroregiony' END AS tbl,
+PROFILE = """
+SELECT CASE unitLevel WHEN 6 THEN 'facts_gminy' WHEN 5 THEN 'facts_powiaty' WHEN 4 THEN 'facts_podregiony'
+            WHEN 2 THEN 'facts_wojewodztwa' WHEN 1 THEN 'facts_makroregiony' END AS tbl,
        count(*) AS nrows, count(DISTINCT variable_id) AS nvars, count(DISTINCT unitId) AS nunits,
        min(length(unitId)) AS min_idlen, max(length(unitId)) AS max_idlen, count(DISTINCT unitLevel) AS nlevels
-FROM facts GROUP BY unitLevel""",
-)
+FROM {facts} GROUP BY 1"""
+
+
+@query("agg_profile", PROFILE.format(facts="facts"))
 def _(t):
     return quality.profile(t.facts)
 
 
+@query(
+    "agg_profile_unknown_levels",
+    PROFILE.format(
+        facts="""(SELECT * REPLACE (CASE variable_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 3 WHEN 2 THEN 0 ELSE unitLevel END AS unitLevel,
+CASE WHEN variable_id % 7 <> 0 THEN variable_id END AS variable_id, CASE WHEN year <> 1995 THEN unitId END AS unitId) FROM facts) odd"""
+    ),
+)
+def _(t):
+    """Facts without a level, of levels that hold none, and without keys; the state of each half is made by itself."""
+    v = F.col("variable_id")
+    level = F.when(v % 5 == 0, None).when(v % 5 == 1, 3).when(v % 5 == 2, 0).otherwise(F.col("unitLevel")).cast("tinyint")
+    keys = {"variable_id": F.when(v % 7 != 0, v), "unitId": F.when(F.col("year") != 1995, F.col("unitId"))}
+    facts = t.facts.withColumns({"unitLevel": level} | keys)
+    early = F.col("year") < 1996
+    return quality.profile_of(quality.merged_states(quality.profile_state(facts.where(early)), quality.profile_state(facts.where(~early))))
+
+
 @query("agg_count", "SELECT unitLevel, count(*) AS n FROM facts GROUP BY unitLevel")
 def _(t):
     return dataset.level_counts(t.facts)
@@ -212,10 +231,10 @@ def _(t):
     return facets.ranked_values(facets.facet_values(t.bilingual))
 
 
-@query("sort_facet", FACET_VALUES)
+@query("sort_facet", f"SELECT *, row_number() OVER (ORDER BY subjectId, dim, value <> 'ogółem', value) AS place FROM ({FACET_VALUES}) fv")
 def _(t):
     values = facets.facet_values(t.bilingual)
-    return values.orderBy("subjectId", "dim", *facets.total_first(F.col("value")))
+    return placed(values, ["subjectId", "dim", *facets.total_first(F.col("value"))])
 
 
 @query("agg_series_mean", "SELECT * FROM series")

@@ -6,10 +6,12 @@ from catalog.registry import query
 from statbank import schema as S
 from statbank.functions import text
 from statbank.operators import dataset, metadata
+from statbank.operators.order import placed
 from statbank.plans.store import build_store, export_store, lay_out
 from statbank.session import workspace
 from statbank.sinks import datasets, layout
 from statbank.sources import files, scan
+from statbank.sources.ingest import ingest_extracts
 
 FACTS = "SELECT * FROM facts"
 LONG = """
@@ -40,6 +42,58 @@ def _(t):
     return files.load_raw_extracts(t.spark, _extracts(t))
 
 
+FAULT = """CASE WHEN variable_id % 29 = 3 THEN 'cells' WHEN variable_id % 29 = 5 THEN 'type of year'
+            WHEN variable_id % 29 = 7 THEN 'no unitId' WHEN variable_id % 29 = 11 THEN 'level' END"""
+LINES = f"""
+SELECT *, {FAULT} AS reason  FROM facts"""
+
+
+def _damaged(t) -> dict[str, str]:
+    """The extracts with some lines damaged, as text."""
+    folder = workspace(t.spark, "damaged")
+    fault = F.col("variable_id") % 29
+    cells = {
+        "variable_id": F.col("variable_id"),
+        "unitId": F.when(fault == 7, F.lit("")).otherwise(F.col("unitId")),
+        "unitName": F.concat(F.lit('"'), "unitName", F.lit(', ""named"""')),
+        "unitLevel": F.when(fault == 11, F.lit(3)).otherwise(F.col("unitLevel")),
+        "year": F.when(fault == 5, F.concat(F.lit("y"), F.col("year").cast("string"))).otherwise(F.col("year").cast("string")),
+        "value": F.coalesce(F.col("value").cast("string"), F.lit("")),
+        "attr_id": F.col("attr_id"),
+    }
+    line = F.concat_ws(",", *[c.cast("string") for c in cells.values()])
+    line = F.when(fault == 3, F.concat(line, F.lit(",one more"))).otherwise(line)
+    endpoint = F.lit(None).cast("string")
+    for name, level in S.RAW_FILE_LEVELS.items():
+        endpoint = F.when(F.col("unitLevel") == level, name).otherwise(endpoint)
+    lines = t.facts.select(line.alias("value"), endpoint.alias("endpoint"))
+    headers = t.spark.range(1).select(F.lit(",".join(cells)).alias("value"), F.explode(F.array(*map(F.lit, S.RAW_FILE_LEVELS))).alias("endpoint"))
+    # A header leads each file: it sorts before the digits of the lines if it is put first.
+    both = headers.withColumn("first", F.lit(0)).unionByName(lines.withColumn("first", F.lit(1)))
+    both.repartition("endpoint").sortWithinPartitions("endpoint", "first").select("value", "endpoint").write.partitionBy("endpoint").text(folder)
+    return {name: f"{folder}/endpoint={name}" for name in S.RAW_FILE_LEVELS}
+
+
+@query("src_fact_csv_good", f"SELECT * EXCLUDE (reason) REPLACE (unitName || ', ' || chr(34) || 'named' || chr(34) AS unitName) FROM ({LINES}) l WHERE reason IS NULL")
+def _(t):
+    return ingest_extracts(t.spark, _damaged(t), workspace(t.spark, "ingested")).facts
+
+
+ENDPOINT_OF = " ".join(f"WHEN {level} THEN '{name}'" for name, level in S.RAW_FILE_LEVELS.items())
+
+
+@query(
+    "src_fact_csv_quarantine",
+    f"""SELECT CASE unitLevel {ENDPOINT_OF} END AS endpoint, reason,
+  variable_id || ',' || CASE WHEN reason = 'no unitId' THEN '' ELSE unitId END || ',"' || unitName || ', ""named""' || '",'
+  || CASE WHEN reason = 'level' THEN 3 ELSE unitLevel END || ',' || CASE WHEN reason = 'type of year' THEN 'y' ELSE '' END || year
+  || ',' || coalesce(value::VARCHAR, '') || ',' || attr_id || CASE WHEN reason = 'cells' THEN ',one more' ELSE '' END AS line
+FROM ({LINES}) l WHERE reason IS NOT NULL""",
+)
+def _(t):
+    return ingest_extracts(t.spark, _damaged(t), workspace(t.spark, "ingested")).quarantine
+
+
 @query("src_labels_csv", "SELECT * FROM variables_en")
 def _(t):
     folder = workspace(t.spark, "labels")
@@ -65,9 +119,9 @@ def _(t):
     return files.load_pages(t.spark, _landed(t))
 
 
-@query("sort_pages", PAGES)
+@query("sort_pages", f"SELECT *, row_number() OVER (ORDER BY page, position) AS place FROM ({PAGES}) p")
 def _(t):
-    return files.in_page_order(files.load_pages(t.spark, _landed(t)))
+    return placed(files.load_pages(t.spark, _landed(t)), files.PAGE_ORDER)
 
 
 @query(

@@ -61,20 +61,21 @@ def estimate(total: DataFrame) -> DataFrame:
 
 
 def summary(observations: DataFrame) -> DataFrame:
-    """Scope of a selection in one row; rows are reduced to their distinct keys first."""
-    by_variable = observations.groupBy("variable_id", "unitLevel").agg(
-        F.count("*").alias("n"), F.min("year").alias("lo"), F.max("year").alias("hi")
+    """Scope of a selection in one row, by one pass: rows are reduced to their distinct keys where they are read."""
+    keys = ["variable_id", "unitLevel", "unitId"]
+    sets = [[F.col("variable_id"), F.col("unitLevel")], [F.col("unitId")]]
+    counted = observations.select(*keys, "year").groupingSets(sets, *keys).agg(
+        F.count("*").alias("n"), F.min("year").alias("lo"), F.max("year").alias("hi"), F.grouping("variable_id").alias("of_units")
     )
-    scope = by_variable.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("observations"),
+    of_variable = F.col("of_units") == 0
+    return counted.agg(
+        F.coalesce(F.sum(F.when(of_variable, F.col("n"))), F.lit(0)).alias("observations"),
         F.countDistinct("variable_id").alias("variables"),
         F.countDistinct("unitLevel").alias("levels"),
+        F.count(F.when(~of_variable, F.col("unitId"))).alias("units"),
         F.min("lo").alias("year_from"),
         F.max("hi").alias("year_to"),
     )
-    units = observations.select("unitId").distinct().agg(F.count("unitId").alias("units"))
-    columns = ["observations", "variables", "levels", "units", "year_from", "year_to"]
-    return scope.unionByName(units, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def long(observations: DataFrame, codebook: DataFrame) -> DataFrame:

@@ -76,8 +76,12 @@ def load_pages(spark: SparkSession, path: str) -> DataFrame:
     return records.select("page", "position", "record.id", *texts)
 
 
+#: The order in which records were fetched.
+PAGE_ORDER = ("page", "position")
+
+
 def in_page_order(records: DataFrame) -> DataFrame:
-    return records.orderBy("page", "position")
+    return records.orderBy(*PAGE_ORDER)
 
 
 def landed_pages(spark: SparkSession, path: str) -> DataFrame:

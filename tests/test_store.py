@@ -261,10 +261,11 @@ def test_literal_scan_prunes_parts_and_row_groups(store):
     assert scan.literal_scan(store.facts, None, [3, 5]).count() == found.count()
 
 
-def test_get_prunes_the_level_and_the_parts(store):
+def test_get_reads_files_of_the_level_and_pushes_ids_and_years(store):
     found = get(store, subjects=["P0012"], level="gmina", years=[1997])
-    text = plan(found)
-    assert "dynamicpruning" in text and "unitLevel" in text.split("PartitionFilters")[1][:200]
+    assert "PushedFilters: [In(variable_id" in plan(found) and "EqualTo(year,1997)" in plan(found)
+    opened = [f for f in found.inputFiles() if "/facts/" in f]
+    assert opened and all("/facts/unitLevel=6/" in f for f in opened)
 
 
 def test_preview_is_a_top_k(store):

@@ -339,6 +339,20 @@ def _(t):
     return dataset.wide(t.facts, t.codebook, WIDE_LABELS)
 
 
+@query(
+    "export_wide_every_variable",
+    """SELECT unitId, unitName, unitLevel, year, variable_id::VARCHAR AS indicator, value FROM facts
+WHERE unitLevel IN (1, 2, 4) AND value IS NOT NULL""",
+)
+def _(t):
+    """One column for each variable there is, for the upper levels; read as rows again."""
+    facts = t.facts.where(F.col("unitLevel").isin(1, 2, 4))
+    data = dataset.wide(facts, t.codebook, key="variable_id", limit=10**6)
+    cells = F.array(*[F.struct(F.lit(c).alias("indicator"), F.col(f"`{c}`").alias("value")) for c in data.columns[5:]])
+    rows = data.select("unitId", "unitName", "unitLevel", "year", F.explode(F.filter(cells, lambda x: x["value"].isNotNull())).alias("x"))
+    return rows.select("unitId", "unitName", "unitLevel", "year", "x.indicator", "x.value")
+
+
 @query("agg_pivot_wide", _wide(f"WHERE variable_id IN (SELECT variable_id FROM codebook WHERE subjectId = 'P0012')"))
 def _(t):
     rows = t.codebook.where(F.col("subjectId") == "P0012").select("variable_id")

@@ -7,7 +7,7 @@ from statbank import schema as S
 from statbank.functions import text
 from statbank.operators import dataset, metadata
 from statbank.operators.order import placed
-from statbank.plans.store import build_store, export_store, lay_out
+from statbank.plans.store import Store, build_store, export_store, grown, lay_out
 from statbank.session import workspace
 from statbank.sinks import datasets, layout
 from statbank.sources import files, scan
@@ -230,6 +230,18 @@ def _(t):
     return scan.read_parts(t.spark, folder)
 
 
+@query(
+    "layout_grown",
+    """SELECT f.*, r.part FROM facts f JOIN ranges r
+ON f.unitLevel = r.unitLevel AND f.variable_id BETWEEN r.lo AND r.hi""",
+)
+def _(t):
+    """The facts before 1996 laid out first, and the others added."""
+    early = F.col("year") < 1996
+    first = lay_out(Store.of(t.stored.facts.where(early), t.variables, t.subjects), workspace(t.spark, "first"))
+    return grown(first, t.stored.facts.where(~early), workspace(t.spark, "grown")).facts
+
+
 @query(
     "layout_manifest",
     """SELECT CASE unitLevel WHEN 6 THEN 'facts_gminy' WHEN 5 THEN 'facts_powiaty' WHEN 4 THEN 'facts_podregiony'
@@ -239,7 +251,7 @@ FROM ranges""",
 )
 def _(t):
     folder = workspace(t.spark, "manifest")
-    layout.manifest(layout.key_parts(t.facts)).write.json(folder)
+    layout.manifest(layout.key_parts(layout.key_counts(t.facts))).write.json(folder)
     return scan.read_manifest(t.spark, folder)
 
 
@@ -319,7 +331,7 @@ def _(t):
 ON c.variable_id BETWEEN r.lo AND r.hi WHERE c.measureUnitName = 'zł'""",
 )
 def _(t):
-    parts = layout.manifest(layout.key_parts(t.facts))
+    parts = layout.manifest(layout.key_parts(layout.key_counts(t.facts)))
     return scan.locate(t.codebook.where(F.col("measureUnitName") == "zł"), parts)
 
 

@@ -9,6 +9,8 @@ from statbank import schema as S
 from statbank.functions import text
 from statbank.session import small_side
 
+#: Columns of a wide dataset that one aggregation makes.
+COLUMNS = 50
 LABELS = ["subject_name", "variable_dimensions", "measureUnitName", "variable_full_name"]
 
 
@@ -111,6 +113,10 @@ def wide(
 ) -> DataFrame:
     """Unit × year rows with one column per indicator.
 
+    Columns are gathered in blocks of COLUMNS: a first aggregation has one row for a unit, year and block, a second one
+    puts the blocks beside each other. So neither has more aggregates than a block or the number of blocks, and
+    its generated code stays small for thousands of indicators.
+
     Indicators that share a name share a column, which takes the smallest variable's value;
     key="variable_id" keeps them apart.
     """
@@ -119,19 +125,25 @@ def wide(
     names = codebook.select("variable_id", F.col(key).cast("string").alias("indicator")) if (
         key != "variable_id"
     ) else codebook.select("variable_id", F.col("variable_id").cast("string").alias("indicator"))
-    # The heading becomes a small number beside the metadata; facts are grouped once, by narrow keys.
-    number = None
-    for i, label in enumerate(labels):
-        hit = F.col("indicator") == label
-        number = F.when(hit, i) if number is None else number.when(hit, i)
-    names = names.select("variable_id", (F.lit(None).cast("int") if number is None else number).alias("column"))
+    # The heading becomes a small number beside the metadata; facts are grouped by narrow keys.
+    place = F.array_position(F.array(*map(F.lit, labels)).cast("array<string>"), F.col("indicator"))
+    names = names.select("variable_id", F.when(place > 0, place - 1).cast("int").alias("column"))
     keyed = observations.join(small_side(names), "variable_id", "left")
     key_columns = ["unitId", "unitName", "unitLevel", "year"]
-    cells = [F.expr(f"min_by(value, variable_id) FILTER (WHERE column = {i})").alias(label) for i, label in enumerate(labels)]
-    grouped = keyed.groupBy(*key_columns)
-    data = grouped.agg(*cells) if cells else keyed.select(*key_columns).distinct()
+    lanes = range(min(COLUMNS, max(1, len(labels))))
+    keyed = keyed.select(*key_columns, "variable_id", "value", F.expr(f"column DIV {COLUMNS}").alias("block"), F.expr(f"column % {COLUMNS}").alias("lane"))
+    lane_values = [F.expr(f"min_by(value, variable_id) FILTER (WHERE lane = {i})").alias(f"v{i}") for i in lanes]
+    if len(labels) <= COLUMNS:
+        data = keyed.groupBy(*key_columns).agg(*lane_values)
+        cells = [F.col(f"v{i}") for i in range(len(labels))]
+    else:
+        blocks = keyed.groupBy(*key_columns, "block").agg(*lane_values)
+        row = F.struct(*[F.col(f"v{i}") for i in lanes])
+        gathered = [F.first(F.when(F.col("block") == b, row), ignorenulls=True).alias(f"b{b}") for b in range(-(-len(labels) // COLUMNS))]
+        data = blocks.groupBy(*key_columns).agg(*gathered)
+        cells = [F.col(f"b{i // COLUMNS}.v{i % COLUMNS}") for i in range(len(labels))]
     level = text.level_name(F.col("unitLevel")).alias("level")
-    return data.select("unitId", "unitName", "unitLevel", level, "year", *[F.col(f"`{x.replace('`', '``')}`") for x in labels])
+    return data.select("unitId", "unitName", "unitLevel", level, "year", *[c.alias(x) for c, x in zip(cells, labels, strict=True)])
 
 
 def codebook_doc(codebook: DataFrame, ids: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from statbank.operators import metadata
 from statbank.operators.search import SEARCH_KEYS, UNIT_KEY, unit_key
 from statbank.session import materialized
 from statbank.sinks.index import read_key_index, write_key_index
-from statbank.sinks.layout import ROWS_PER_FILE, manifest, write_parquet, write_parts
+from statbank.sinks.layout import ROWS_PER_FILE, key_counts, manifest, merged_counts, write_parquet, write_parts
 from statbank.sinks.text_index import TextIndex, build_text_index
 from statbank.sources import scan
 from statbank.sources.files import load_raw_extracts
@@ -126,9 +126,14 @@ def lay_out(
     root: str,
     parts: Mapping[int, int] | int = S.LEVEL_PARTS,
     rows_per_file: int = ROWS_PER_FILE,
+    counts: DataFrame | None = None,
 ) -> Store:
-    """Write the facts in equi-depth parts with their manifest and key index; the metadata stays as it is."""
-    placed = write_parts(store.facts, f"{root}/facts", parts, rows_per_file)
+    """Write the facts in equi-depth parts with their manifest, key counts and key index; the metadata stays as it is.
+
+    `counts` are those of the facts' keys, if they are known.
+    """
+    placed = write_parts(store.facts, f"{root}/facts", parts, rows_per_file, counts)
+    write_parquet(placed.select("unitLevel", "variable_id", "n"), f"{root}/key_counts")
     # One row per part.
     manifest(placed).coalesce(1).write.json(f"{root}/manifest")
     write_key_index(store.spark, root)
@@ -136,6 +141,27 @@ def lay_out(
     return replace(store, facts=facts, manifest=scan.read_manifest(store.spark, f"{root}/manifest"), root=root, index=read_key_index(store.spark, root))
 
 
+def grown(
+    store: Store,
+    more: DataFrame,
+    root: str,
+    parts: Mapping[int, int] | int = S.LEVEL_PARTS,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> Store:
+    """A laid-out store's facts and `more` of them, laid out together below a new root.
+
+    The stored key counts are merged with those of `more`, so the facts that were counted once are not counted
+    again; the parts are those that a layout of all facts would have.
+    """
+    if store.root is None:
+        raise ValueError("only a laid-out store can grow")
+    held = store.spark.read.parquet(f"{store.root}/key_counts")
+    more = more.select(*S.FACT.names)
+    counts = merged_counts(held, key_counts(more))
+    together = replace(store, facts=store.facts.select(*S.FACT.names).unionByName(more))
+    return lay_out(together, root, parts, rows_per_file, counts)
+
+
 def export_store(
     store: Store,
     root: str,

@@ -1,6 +1,7 @@
 """Equi-depth range parts: planning, writing and the manifest."""
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,20 +71,23 @@ def _parts_of(level: Column, parts: Mapping[int, int] | int) -> Column:
     return chain.otherwise(1)
 
 
+def merged_counts(*counts: DataFrame) -> DataFrame:
+    """Rows of each key in all the tables that were counted."""
+    return reduce(DataFrame.unionByName, counts).groupBy("unitLevel", "variable_id").agg(F.sum("n").alias("n"))
+
+
 def key_parts(
-    facts: DataFrame, parts: Mapping[int, int] | int = S.LEVEL_PARTS, rows_per_file: int = ROWS_PER_FILE
+    counts: DataFrame, parts: Mapping[int, int] | int = S.LEVEL_PARTS, rows_per_file: int = ROWS_PER_FILE
 ) -> DataFrame:
-    """Placement of each key: its part, the file-sized slice inside it, and the number of
-    files a single oversized key is spread over."""
+    """Placement of each key by the counts of all keys: its part, and the number of files a single oversized key
+    is spread over."""
     # The given number of parts is a minimum: beyond a file's rows in each, parts grow with the table.
     n_parts = F.greatest(_parts_of(F.col("unitLevel"), parts), F.ceil(F.col("total") / rows_per_file))
-    n_slices = n_parts
-    return prefix_sum(key_counts(facts)).select(
+    return prefix_sum(counts).select(
         "unitLevel",
         "variable_id",
         "n",
         bucket(n_parts, F.col("before"), F.col("total")).alias("part"),
-        bucket(n_slices, F.col("before"), F.col("total")).alias("slice"),
         F.ceil(F.col("n") / rows_per_file).cast("int").alias("spread"),
     )
 
@@ -96,7 +100,7 @@ def ranges_of(placed: DataFrame) -> DataFrame:
 
 def equidepth_ranges(facts: DataFrame, parts: Mapping[int, int] | int = S.LEVEL_PARTS) -> DataFrame:
     """Contiguous key ranges with about equally many rows, per level."""
-    return ranges_of(key_parts(facts, parts))
+    return ranges_of(key_parts(key_counts(facts), parts))
 
 
 def manifest(placed: DataFrame) -> DataFrame:
@@ -123,28 +127,34 @@ def write_parts(
     path: str,
     parts: Mapping[int, int] | int = S.LEVEL_PARTS,
     rows_per_file: int = ROWS_PER_FILE,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Write facts as unitLevel/part folders of sorted zstd files; returns the key placement.
+    """Write facts as unitLevel/part folders of sorted zstd files; returns the key placement with its counts.
 
-    Slices are numbered, and a number is a task, so no two slices share one by accident. The
-    rows of a key that alone exceeds a file are spread by unit and year over several numbers,
-    so a hot key never ends up in one task. Files are sorted by key, which lets the reader
-    skip row groups. `facts` should be a stored table: it is counted first and written next.
+    Parts are numbered, and a number is a task, so no two parts share one by accident. The rows of a key that
+    alone exceeds a file are spread by unit and year over several numbers, so a hot key never ends up in one
+    task. Files are sorted by key, which lets the reader skip row groups. `facts` should be a stored table: it is
+    counted first, unless the `counts` of its keys are given, and written next.
     """
     spark = facts.sparkSession
+    facts = facts.select(*S.FACT.names)  # those of a laid-out table have a part already
     index = workspace(spark, "keys")
-    write_parquet(key_parts(facts, parts, rows_per_file), index)
+    write_parquet(key_parts(key_counts(facts) if counts is None else counts, parts, rows_per_file), index)
     placed = spark.read.parquet(index)
-    slice_key = ["unitLevel", "part", "slice"]
-    slices = placed.groupBy(*slice_key).agg(F.max("spread").alias("files"))
-    n_tasks = slices.agg(F.sum("files")).first()[0] or 1
-    earlier = Window.orderBy(*slice_key).rowsBetween(Window.unboundedPreceding, -1)
-    numbered = slices.select(
-        *[F.col(c).alias(f"_{c}") for c in slice_key], F.coalesce(F.sum("files").over(earlier), F.lit(0)).alias("first_task")
-    )
+    files = placed.groupBy("unitLevel", "part").agg(F.max("spread").alias("files"))
+    # Numbers go on from part to part inside a level, and from level to level: the levels are few.
+    levels = files.groupBy("unitLevel").agg(F.sum("files").alias("files"))
+    n_tasks = levels.agg(F.sum("files")).first()[0] or 1
+    of_levels = Window.orderBy("unitLevel").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("unitLevel").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.select(F.col("unitLevel").alias("_of"), F.coalesce(F.sum("files").over(of_levels), F.lit(0)).alias("_offset"))
+    numbered = files.join(F.broadcast(levels), F.col("unitLevel").eqNullSafe(F.col("_of"))).select(
+        F.col("unitLevel").alias("_unitLevel"), F.col("part").alias("_part"),
+        (F.col("_offset") + F.coalesce(F.sum("files").over(inside), F.lit(0))).alias("first_task"),
+    )
     # A NULL level or key is a key like any other.
-    of_slice = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in slice_key]
-    where = placed.join(numbered, of_slice).select(
+    of_part = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("unitLevel", "part")]
+    where = placed.join(numbered, of_part).select(
         F.col("unitLevel").alias("_level"), F.col("variable_id").alias("_id"), "part", "first_task", "spread"
     )
     same = F.col("unitLevel").eqNullSafe(F.col("_level")) & F.col("variable_id").eqNullSafe(F.col("_id"))

@@ -1,11 +1,15 @@
 """Two-way ingest, places in an order, and profiles as states."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from statbank import schema as S
 from statbank.operators import dataset, quality
 from statbank.operators.order import placed
+from statbank.plans.store import Store, grown, lay_out
+from statbank.sinks import layout
 from statbank.sources.ingest import ingest_extracts
 
 HEADER = "unitId,variable_id,unitName,unitLevel,year,value,attr_id,extra"
@@ -90,3 +94,39 @@ def test_profile_of_odd_facts(spark):
     assert quality.profile(spark.createDataFrame([], S.FACT)).collect() == []
     assert quality.label_check(spark.createDataFrame([(1,), (1,), (40000,), (None,), (-3,)], "id int")).first() == (5, 3)
     assert quality.label_check(spark.createDataFrame([], "id int")).first() == (0, 0)
+
+
+def test_wide_with_thousands_of_indicators(spark):
+    """2,000 columns with gaps, names in common and a variable without name, equal to a plain pivot."""
+    rng = random.Random(4)
+    book = spark.createDataFrame([(i, f"n{i % 1990:04d}" if i else None) for i in range(2001)], "variable_id int, variable_full_name string")
+    facts = [(v, f"u{u}", "n", 6, 2000 + u % 2, float(v + u)) for u in range(12) for v in rng.sample(range(2001), 900)]
+    found = dataset.wide(spark.createDataFrame(facts, "variable_id int, unitId string, unitName string, unitLevel int, year int, value double"), book, limit=2000)
+    assert len(found.columns) == 5 + 1990
+    want = {}
+    for v, u, *_, value in sorted(facts, reverse=True):
+        want.setdefault(u, {})
+        if v:
+            want[u][f"n{v % 1990:04d}"] = value
+    got = {r.unitId: {k: x for k, x in r.asDict().items() if k.startswith("n") and x is not None} for r in found.drop("unitName").collect()}
+    assert got == want
+    few = dataset.wide(found.select(F.lit(3).alias("variable_id"), "unitId", "unitName", "unitLevel", "year", F.lit(1.0).alias("value")), book, labels=["n0003", "n0004"])
+    assert {(r["n0003"], r["n0004"]) for r in few.collect()} == {(1.0, None)}
+
+
+def test_a_grown_store_counts_only_what_is_new(spark, tables, tmp_path):
+    old, new = tables.stored.facts.where("year < 1996"), tables.stored.facts.where("year >= 1996")
+    metadata = (tables.variables, tables.subjects)
+    first = lay_out(Store.of(old, *metadata), str(tmp_path / "first"), parts=5)
+    more = lay_out(first, str(tmp_path / "more"), parts=5)
+    assert sorted(map(str, more.manifest.collect())) == sorted(map(str, first.manifest.collect()))
+    whole = lay_out(Store.of(tables.stored.facts, *metadata), str(tmp_path / "whole"), parts=5)
+    both = grown(first, new, str(tmp_path / "both"), parts=5)
+    for table in ("manifest", "facts"):
+        assert sorted(map(str, getattr(both, table).collect())) == sorted(map(str, getattr(whole, table).collect()))
+    counts = [spark.read.parquet(f"{s.root}/key_counts") for s in (both, whole)]
+    assert sorted(map(tuple, counts[0].collect())) == sorted(map(tuple, counts[1].collect()))
+    plan = layout.merged_counts(spark.read.parquet(f"{first.root}/key_counts"), layout.key_counts(new))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("ReadSchema: struct<variable_id:int,unitLevel:tinyint,year:smallint>") == 1
+    with pytest.raises(ValueError):
+        grown(Store.of(old, *metadata), new, str(tmp_path / "none"))

@@ -141,7 +141,7 @@ def test_layout_keeps_rows_without_key(spark):
 
 
 def test_parts_grow_with_the_rows(tables):
-    few, many = (layout.ranges_of(layout.key_parts(tables.facts, rows_per_file=n)).where("unitLevel = 6") for n in (10**9, 300))
+    few, many = (layout.ranges_of(layout.key_parts(layout.key_counts(tables.facts), rows_per_file=n)).where("unitLevel = 6") for n in (10**9, 300))
     assert few.count() <= 16 < many.count()
     assert few.agg(F.sum("rows")).first() == many.agg(F.sum("rows")).first()
 

@@ -15,6 +15,7 @@ from catalog.filters import queries_table  # noqa: E402
 from statbank import Selection, Store, export_store, get  # noqa: E402
 from statbank.operators import dataset, facets, lookup, metadata, quality, search, series  # noqa: E402
 from statbank.plans import explore  # noqa: E402
+from statbank.plans.store import with_series  # noqa: E402
 from statbank.session import workspace  # noqa: E402
 from statbank.sinks import layout  # noqa: E402
 from statbank.sinks.text_index import build_text_index  # noqa: E402
@@ -60,6 +61,7 @@ def main() -> None:
     timed("derive_facts", lambda: t.facts)
     stored: Store = t.stored
     store: Store = timed("export_store", lambda: export_store(stored, workspace(spark, "bench")))
+    by_series = timed("build_series", lambda: with_series(store, workspace(spark, "series")))
     facts, bilingual = store.facts, store.bilingual
     title = store.codebook.where((F.col("subjectId") == "P0012") & (F.col("n1") == "ogółem"))
     chosen = Selection(levels=(1, 2, 4, 5, 6)).add(title.where(F.col("n4").isNull()).orderBy("variable_id").limit(40))
@@ -77,9 +79,9 @@ def main() -> None:
         "export_wide": lambda: dataset.wide(
             explore.observations(store, chosen), store.codebook.where(F.col("variable_id").isin(*chosen.variables))
         ),
-        "series_chart": lambda: explore.series_chart(store, chosen)[0],
+        "series_chart": lambda: explore.series_chart(by_series, chosen)[0],
         "export_csv": lambda: explore.export(store, chosen, workspace(spark, "csv")),
-        "top_series": lambda: series.top_points(facts),
+        "top_series": lambda: series.points_of_rows(series.best_rows(series.with_means(by_series.series))),
         "series_mean": lambda: series.series(facts),
         "profile": lambda: quality.profile(facts),
         "summary": lambda: dataset.summary(facts),

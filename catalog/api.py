@@ -12,7 +12,7 @@ from statbank import schema as S
 from statbank.operators import dataset, facets, search, series
 from statbank.plans import explore
 from statbank.plans.get import get
-from statbank.plans.store import lay_out
+from statbank.plans.store import lay_out, with_series
 from statbank.session import workspace
 from statbank.sinks import datasets
 from statbank.sinks.text_index import build_text_index
@@ -298,20 +298,33 @@ WHERE value IS NOT NULL GROUP BY variable_id, unitId, unitLevel, year"""
 SLICE_SERIES = f"SELECT variable_id, unitId, unitLevel, avg(value) AS mean FROM ({SLICE_POINTS}) p GROUP BY variable_id, unitId, unitLevel"
 
 
-@query(
-    "api_series_chart",
-    f"""SELECT p.variable_id, p.unitId, p.unitLevel, p.year, p.value, s.n_series,
+SERIES_CHART = f"""SELECT p.variable_id, p.unitId, p.unitLevel, p.year, p.value, s.n_series,
        concat_ws(' — ', u.unitName, CASE p.unitLevel WHEN 4 THEN 'podregion' WHEN 2 THEN 'woj.' WHEN 1 THEN 'makro' END,
                  CASE WHEN (SELECT count(*) FROM ({CHOSEN}) c) > 1
                       THEN coalesce(nullif(b.variable_full_name_en, ''), nullif(b.variable_full_name, ''), '') END) AS series_name
 FROM ({SLICE_POINTS}) p JOIN (SELECT *, count(*) OVER () AS n_series FROM ({SLICE_SERIES}) r
                               ORDER BY mean DESC, variable_id, unitLevel DESC, unitId LIMIT 8) s USING (variable_id, unitId, unitLevel)
-JOIN units u USING (unitId, unitLevel) LEFT JOIN bilingual b USING (variable_id)""",
-)
+JOIN units u USING (unitId, unitLevel) LEFT JOIN bilingual b USING (variable_id)"""
+
+
+@query("api_series_chart", SERIES_CHART)
 def _(t):
     return explore.series_chart(t.store, _selection(t), "en")[0]
 
 
+@query("api_series_chart_by_series", SERIES_CHART)
+def _(t):
+    store = with_series(t.store, workspace(t.spark, "by-series"))
+    return explore.series_chart(store, _selection(t), "en")[0]
+
+
+@query("top_series_by_series", "SELECT * FROM series ORDER BY mean DESC, variable_id, unitLevel DESC, unitId LIMIT 8")
+def _(t):
+    """The best series of all facts, from a layout by series."""
+    store = with_series(t.store, workspace(t.spark, "by-series"))
+    return series.best_rows(series.with_means(store.series)).select(*series.SERIES, "mean", "n_points")
+
+
 @query("export_long", LONG)
 def _(t):
     return dataset.long(t.facts, t.codebook)

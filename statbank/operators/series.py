@@ -1,6 +1,6 @@
 """Chart-ready series over observations."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statbank import schema as S
@@ -51,6 +51,30 @@ def top_points(observations: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
     return points_of(observations, top_series(observations, k))
 
 
+def with_means(rows: DataFrame, year_from: int | None = None, year_to: int | None = None) -> DataFrame:
+    """Rows of the layout by series, cut to the years: points, those with a value (`held`), their mean and number."""
+    low, high = (F.lit(y).cast("int") if y is not None else None for y in (year_from, year_to))
+
+    def within(p: Column) -> Column:
+        test = F.lit(True) if low is None else p["year"] >= low
+        return test if high is None else test & (p["year"] <= high)
+
+    cut = rows.select(*SERIES, F.filter("points", within).alias("points")).where(F.size("points") > 0)
+    cut = cut.withColumn("held", F.filter("points", lambda p: p["value"].isNotNull())).withColumn("n_points", F.size("held"))
+    total = F.aggregate("held", F.lit(0.0), lambda a, p: a + p["value"])
+    return cut.withColumn("mean", F.when(F.col("n_points") > 0, total / F.col("n_points")))
+
+
+def best_rows(means: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
+    """The k rows of `with_means` with the highest mean; no row is exchanged but the k of each task."""
+    return _best(means.where(F.col("n_points") > 0), k)
+
+
+def points_of_rows(rows: DataFrame) -> DataFrame:
+    """(variable_id, unitId, unitLevel, year, value) of rows of `with_means`."""
+    return rows.select(*SERIES, F.explode("held").alias("p")).select(*SERIES, "p.year", "p.value")
+
+
 def named_points(
     points: DataFrame, units: DataFrame, codebook: DataFrame, many_levels: bool, many_variables: bool, lang: str = "pl"
 ) -> DataFrame:

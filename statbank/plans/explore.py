@@ -3,7 +3,7 @@
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from statbank import schema as S
@@ -108,19 +108,52 @@ def build(store: Store, selection: Selection) -> tuple[DataFrame, DataFrame]:
 def series_chart(store: Store, selection: Selection, lang: str = "pl") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(named points of the top series with the number of all series, axis domain, measure check) of a selection.
 
-    Series are ranked once: their stored keys serve the points, the names and the axes.
+    Series are ranked once: their stored keys serve the points, the names and the axes. A store with a layout by
+    series is read once for all of them.
     """
+    if store.series is not None:
+        return _series_chart(store, selection, lang)
     rows = observations(store, selection)
     ranked = series.series(rows)
     keys = materialized(series.ranked(ranked), "series")
     shown = series.points_of(rows, keys)
+    named, measures = _named(store, selection, shown, lang)
+    named = named.join(F.broadcast(keys.select(*series.SERIES, "n_series")), series.SERIES)
+    return named, series.domain(rows, shown), measures
+
+
+def _named(store: Store, selection: Selection, shown: DataFrame, lang: str) -> tuple[DataFrame, DataFrame]:
     chosen = store.bilingual if store.subjects_en is not None and store.variables_en is not None else store.codebook
     chosen = chosen.where(filters.variables_in(selection.variables))
-    named = series.named_points(
-        shown, store.units, chosen, len(selection.levels) > 1, len(selection.variables) > 1, lang
+    many = len(selection.levels) > 1, len(selection.variables) > 1
+    return series.named_points(shown, store.units, chosen, *many, lang), series.mixed_measures(chosen)
+
+
+def selected_series(store: Store, selection: Selection) -> DataFrame:
+    """The selection's rows of the layout by series, with their means."""
+    rows = store.series.where(F.col("unitLevel").isin(*selection.levels)).where(filters.variables_in(selection.variables))
+    if selection.units:
+        rows = rows.where(filters.unit_ids_in(selection.units))
+    return series.with_means(rows, selection.year_from, selection.year_to)
+
+
+def _series_chart(store: Store, selection: Selection, lang: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`series_chart` by one pass over the layout by series: what the axes and the note need is observed on the way
+    to the best rows, which are stored."""
+    seen = Observation("series")
+    years = F.array_distinct(F.flatten(F.collect_set(F.transform("points", lambda p: p["year"]))))
+    rows = selected_series(store, selection).observe(seen, F.count_if(F.col("n_points") > 0).alias("n_series"), years.alias("years"))
+    shown = series.points_of_rows(materialized(series.best_rows(rows).select(*series.SERIES, "held"), "series"))
+    named, measures = _named(store, selection, shown, lang)
+    held = sorted(seen.get["years"] or [])
+    domain = shown.agg(
+        F.lit(len(held)).cast("bigint").alias("n_years"),
+        F.lit(held[0] if held else None).cast("smallint").alias("year_min"),
+        F.lit(held[-1] if held else None).cast("smallint").alias("year_max"),
+        F.least(F.lit(0.0), F.min("value")).alias("y_min"),
+        F.max("value").alias("y_max"),
     )
-    named = named.join(F.broadcast(keys.select(*series.SERIES, "n_series")), series.SERIES)
-    return named, series.domain(rows, shown), series.mixed_measures(chosen)
+    return named.withColumn("n_series", F.lit(seen.get["n_series"]).cast("bigint")), domain, measures
 
 
 def export(

@@ -12,6 +12,7 @@ from statbank.operators.search import SEARCH_KEYS, UNIT_KEY, unit_key
 from statbank.session import materialized
 from statbank.sinks.index import read_key_index, write_key_index
 from statbank.sinks.layout import ROWS_PER_FILE, key_counts, manifest, merged_counts, write_parquet, write_parts
+from statbank.sinks.series_table import read_series, write_series
 from statbank.sinks.text_index import TextIndex, build_text_index
 from statbank.sources import scan
 from statbank.sources.files import load_raw_extracts
@@ -22,7 +23,7 @@ class Store:
     """The tables queries run on.
 
     A laid-out store also has a root, a manifest, a key index, the stored forms of its two search tables and
-    their text indexes.
+    their text indexes. `with_series` adds a layout by series.
     """
 
     facts: DataFrame
@@ -39,6 +40,7 @@ class Store:
     index: DataFrame | None = None
     codebook_words: TextIndex | None = None
     unit_words: TextIndex | None = None
+    series: DataFrame | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -141,6 +143,13 @@ def lay_out(
     return replace(store, facts=facts, manifest=scan.read_manifest(store.spark, f"{root}/manifest"), root=root, index=read_key_index(store.spark, root))
 
 
+def with_series(store: Store, root: str) -> Store:
+    """The store with its facts laid out by series as well, below `root`"""
+    path = f"{root}/series"
+    write_series(store.facts, path)
+    return replace(store, series=read_series(store.spark, path))
+
+
 def grown(
     store: Store,
     more: DataFrame,

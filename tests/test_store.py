@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from statbank import Selection, Store, build_store, export, export_store, get
 from statbank import schema as S
-from statbank.operators import dataset, facets
+from statbank.operators import dataset, facets, series
 from statbank.operators.resolve import resolve_ids
 from statbank.plans import explore
-from statbank.plans.store import lay_out
+from statbank.plans.store import lay_out, with_series
 from statbank.session import literal_table, small_side, workspace
 from statbank.sinks import datasets, layout
 from statbank.sinks.index import read_key_index
+from statbank.sinks.series_table import series_rows
 from statbank.sources import files, scan
 
 
@@ -198,8 +199,6 @@ def test_a_refused_union_says_so(spark):
 def test_series_are_dealt_out_once(store):
     text = plan(dataset.preview(store.facts))  # a plan without an exchange of facts by series
     assert "hashpartitioning(variable_id" not in text
-    from statbank.operators import series
-
     assert plan(series.series(store.facts)).count("Exchange hashpartitioning") == 1
 
 
@@ -400,6 +399,27 @@ def test_series_chart(store):
     assert domain.first().n_years > 0 and measures.count() == 1
 
 
+def test_series_chart_by_series_reads_once(spark, store):
+    """The layout by series gives the same chart, from one scan and without an exchange of facts."""
+    by_series = with_series(store, workspace(spark, "by-series"))
+    ids = store.codebook.where("n1 = 'ogółem'")
+    for chosen in (Selection(levels=(1, 2)).add(ids), Selection(levels=(4,), year_from=1994, year_to=1996).add(ids.limit(1)), Selection(levels=(1,), year_from=2090).add(ids)):
+        for mine, other in zip(explore.series_chart(by_series, chosen), explore.series_chart(store, chosen), strict=True):
+            assert rows(mine.select(*other.columns)) == rows(other)
+        ranked = plan(series.best_rows(explore.selected_series(by_series, chosen)))
+        assert "Exchange" not in ranked and ranked.count("FileScan") == 1 and "TakeOrderedAndProject" in ranked
+        assert "In(variable_id" in ranked or "EqualTo(variable_id" in ranked
+    few = by_series.units.where("unitLevel = 2").orderBy("unitId").limit(2)
+    chosen = Selection(levels=(2,), units=tuple(r.unitId for r in few.collect())).add(ids)
+    assert rows(explore.series_chart(by_series, chosen)[0]) == rows(explore.series_chart(store, chosen)[0].select(*explore.series_chart(by_series, chosen)[0].columns))
+
+
+def test_series_rows_keep_every_year(spark):
+    facts = [(1, "u", "n", 6, 2001, None, 0), (1, "u", "n", 6, 2000, 2.0, 0), (1, "u", "n", 6, 2000, 3.0, 0), (1, "u", "n", 6, 2000, None, 0), (None, "u", None, None, 2000, 1.0, 0)]
+    got = series_rows(spark.createDataFrame(facts, S.FACT)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "u", [(2000, 3.0), (2001, None)], 6), (None, "u", [(2000, 1.0)], None)], key=str)
+
+
 def test_resolve_by_default_ticks(store):
     rows_of = store.bilingual.where("subjectId = 'P0012'")
     ticks = {}

@@ -2,58 +2,51 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statbank.functions import text
 from statbank.operators.filters import leading_zero
 
-_BITS = ("bits", "levels")
-
-
 def profile_state(facts: DataFrame) -> DataFrame:
     """What a profile is made of: (tbl, of_units, slot, bits, levels, n), by one pass over the facts.
 
     A fact counts once for its variable and once for its unit; both counts are combined where the facts are read, and
-    only different keys are exchanged. Variables become bits of bitmaps, a slot for every 32,768 ids; a unit's slot is
-    its id. Levels are bits too. A level that is NULL or unknown belongs to the table NULL.
+    only different keys are exchanged. Variables become bits of bitmaps, a slot for every 64 ids; a unit's slot is its
+    id. Levels are bits too, those outside 0 to 62 sharing one. A level that is NULL or unknown belongs to the table
+    NULL.
     """
     keys = ["unitLevel", "variable_id", "unitId"]
     sets = [[F.col("unitLevel"), F.col("variable_id")], [F.col("unitLevel"), F.col("unitId")]]
     counted = facts.select(*keys).groupingSets(sets, *keys).agg(F.count("*").alias("n"), F.grouping("variable_id").cast("int").alias("of_units"))
-    variable = F.when(F.col("of_units") == 0, F.col("variable_id"))
-    slot = F.when(F.col("of_units") == 0, F.bitmap_bucket_number(variable).cast("string")).otherwise(F.col("unitId"))
+    slot = F.when(F.col("of_units") == 0, F.shiftright("variable_id", 6).cast("string")).otherwise(F.col("unitId"))
+    bit = F.when(F.col("of_units") == 0, F.expr("shiftleft(1L, variable_id & 63)"))
+    level = F.when(F.col("unitLevel").between(0, 62), F.col("unitLevel")).when(F.col("unitLevel").isNotNull(), 63)
     named = counted.select(
-        text.fact_table_name(F.col("unitLevel")).alias("tbl"), "of_units", slot.alias("slot"),
-        F.bitmap_bit_position(variable).alias("bit"), F.col("unitLevel").cast("bigint").alias("level"), "n",
-    )
-    state = named.groupBy("tbl", "of_units", "slot").agg(
-        F.bitmap_construct_agg("bit").alias("bits"), F.bitmap_construct_agg("level").alias("levels"), F.sum("n").alias("n")
+        text.fact_table_name(F.col("unitLevel")).alias("tbl"), "of_units", slot.alias("slot"), bit.alias("bits"), level.cast("int").alias("level"), "n"
     )
-    return state.withColumn("bits", F.when(F.col("of_units") == 0, F.col("bits")))
+    return _combined(named.withColumn("levels", F.expr("shiftleft(1L, level)")))
+
+
+def _combined(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("tbl", "of_units", "slot").agg(F.bit_or("bits").alias("bits"), F.bit_or("levels").alias("levels"), F.sum("n").alias("n"))
 
 
 def merged_states(*states: DataFrame) -> DataFrame:
     """The state of all the facts that the given states are of."""
-    together = reduce(DataFrame.unionByName, states).groupBy("tbl", "of_units", "slot")
-    state = together.agg(*[F.bitmap_or_agg(F.coalesce(c, F.lit(b""))).alias(c) for c in _BITS], F.sum("n").alias("n"))
-    return state.withColumn("bits", F.when(F.col("of_units") == 0, F.col("bits")))
+    return _combined(reduce(DataFrame.unionByName, states))
 
 
 def profile_of(state: DataFrame) -> DataFrame:
     """Rows, distinct keys and levels, and id lengths of each fact table."""
     of_units = F.col("of_units") == 1
-
-    def counted(c: str) -> Column:
-        return F.coalesce(F.bitmap_count(c), F.lit(0))
-
     return state.groupBy("tbl").agg(
         F.sum(F.when(~of_units, F.col("n"))).alias("nrows"),
-        F.sum(F.when(~of_units, counted("bits"))).alias("nvars"),
+        F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("bigint").alias("nvars"),
         F.count(F.when(of_units, F.col("slot"))).alias("nunits"),
         F.min(F.when(of_units, F.length("slot"))).alias("min_idlen"),
         F.max(F.when(of_units, F.length("slot"))).alias("max_idlen"),
-        F.bitmap_count(F.bitmap_or_agg("levels")).alias("nlevels"),
+        F.coalesce(F.bit_count(F.bit_or("levels")), F.lit(0)).cast("bigint").alias("nlevels"),
     )
 
 
@@ -67,9 +60,6 @@ def leading_zero_count(facts: DataFrame) -> DataFrame:
 
 
 def label_check(labels: DataFrame) -> DataFrame:
-    """Rows and different ids: ids become bits of bitmaps after equal ones are combined where they are read."""
-    counted = labels.groupBy("id").agg(F.count("*").alias("n"))
-    slots = counted.groupBy(F.bitmap_bucket_number("id").alias("slot")).agg(
-        F.sum("n").alias("n"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("id"))).alias("u")
-    )
-    return slots.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("u"), F.lit(0)).alias("u"))
+    """Rows and different ids: ids become bits of bitmaps where they are read, a slot for every 64."""
+    slots = labels.groupBy(F.shiftright("id", 6).alias("slot")).agg(F.count("*").alias("n"), F.bit_or(F.expr("shiftleft(1L, id & 63)")).alias("bits"))
+    return slots.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("bigint").alias("u"))

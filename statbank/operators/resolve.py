@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from statbank import schema as S
 from statbank.operators.filters import aggregate_predicate, dims_predicate
 from statbank.operators.match import substring_pairs
-from statbank.session import literal_table, small_side
+from statbank.session import literal_table
 
 KEYWORD_MIN = 4
 
@@ -53,9 +53,12 @@ def category_subjects(subjects: DataFrame, codebook: DataFrame, codes: DataFrame
     return substring_pairs(categories, names).select("code", "subjectId").distinct()
 
 
-def named_like_categories(subjects: DataFrame, codes: DataFrame) -> DataFrame:
-    """(code, subjectId) as above, by the subjects' own names: subjects without variables are among them."""
-    return category_subjects(subjects, subjects.select(F.col("id").alias("subjectId"), F.col("name").alias("subject_name")), codes)
+def category_keywords(subjects: DataFrame, codes: Sequence[str]) -> list[str]:
+    """The keywords of the named categories: at most one for each code of a request."""
+    if not codes:
+        return []
+    held = subjects.where(F.col("id").isin(*codes) & F.col("name").isNotNull())
+    return sorted({r.needle for r in held.select(F.lower(category_keyword(F.col("name"))).alias("needle")).collect()})
 
 
 def by_category(
@@ -96,15 +99,11 @@ def resolve_ids(
     asked = F.col("subjectId").isin(*plain) if plain else F.lit(False)
     if literal is not None and predicate is not None:
         asked = asked | F.col("variable_id").isin(*literal)
-    rows = codebook
-    if codes is not None and len(plain) < len(codes):
-        table = literal_table(codebook.sparkSession, codes, "code", "string")
-        matched = named_like_categories(subjects, table).select("subjectId").distinct().withColumn("_named", F.lit(True))
-        rows = codebook.join(small_side(matched), "subjectId", "left")
-        asked = asked | F.col("_named").isNotNull()
+    for keyword in category_keywords(subjects, [c for c in codes or () if c.startswith("K")]):
+        asked = asked | F.coalesce(F.contains(F.lower("subject_name"), F.lit(keyword)), F.lit(False))
     if predicate is not None:
-        return rows.where(asked & predicate).select("variable_id").distinct()
-    found = [rows.where(asked).select("variable_id")] if codes is not None else []
+        return codebook.where(asked & predicate).select("variable_id").distinct()
+    found = [codebook.where(asked).select("variable_id")] if codes is not None else []
     if literal is not None:
         found.append(literal_table(codebook.sparkSession, literal, "variable_id", "int"))
     return union_ids(*found)

@@ -69,6 +69,6 @@ def build_text_index(texts: DataFrame, key: str, columns: Sequence[str], root: s
     postings = written(postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "row"), "postings", "bucket")
     words = written(postings.groupBy("word").agg(F.count("*").alias("n")), "words")
     gram_words = words.select(F.explode(windows(F.col("word"))).alias("gram"), "word")
-    gram_words = written(gram_words.repartitionByRange("gram").sortWithinPartitions("gram"), "gram_words")
+    gram_words = written(gram_words.repartition("gram").sortWithinPartitions("gram"), "gram_words")
     grams = written(gram_words.groupBy("gram").agg(F.count("*").alias("n")), "grams")
     return TextIndex(rows.select("row", "key"), postings.select("bucket", "word", "row"), words, gram_words, grams, key)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statbank.operators.match import asked_words
-from statbank.session import materialized, small_side
+from statbank.session import BROADCAST_BYTES, materialized, plan_bytes, small_side
 from statbank.sinks.text_index import GRAM, TextIndex, windows
 
 
@@ -29,9 +29,13 @@ def needle_words(needles: DataFrame, index: TextIndex) -> DataFrame:
 
     A word is compared with a needle only if it is listed under the needle's gram.
     """
-    listed = index.gram_words.join(small_side(needle_grams(needles, index.grams)), "gram")
-    found = listed.where(F.contains("word", F.col("needle"))).select("needle", "word").distinct()
-    return index.words.join(small_side(found), "word").select("needle", "word", "n")
+    grams = materialized(needle_grams(needles, index.grams), "grams")
+    listed = index.gram_words.join(small_side(grams), "gram")
+    return listed.where(F.contains("word", F.col("needle"))).select("needle", "word", "n").distinct()
+
+
+def _as_it_is(table: DataFrame) -> DataFrame:
+    return table
 
 
 def match_indexed(index: TextIndex, queries: DataFrame, stems: bool = True) -> DataFrame:
@@ -49,14 +53,17 @@ def match_indexed(index: TextIndex, queries: DataFrame, stems: bool = True) -> D
     costs = wanted.groupBy("query", "n_terms", "pos").agg(F.sum("n").alias("cost"))
     rarest = costs.groupBy("query", "n_terms").agg(F.count("*").alias("found"), F.min_by("pos", F.struct("cost", "pos")).alias("rarest"))
     rarest = rarest.where("found = n_terms").select("query", "rarest")
-    wanted = wanted.join(small_side(rarest), "query")
-    rows = small_side(wanted.where("pos = rarest").select("query", "word"))
-    candidates = materialized(index.postings.join(rows, "word").select("query", "row").distinct(), "candidates")
+    # What is cut from a small table is small, whatever its estimate.
+    small = F.broadcast if plan_bytes(wanted) <= BROADCAST_BYTES else _as_it_is
+    wanted = wanted.join(small(rarest), "query")
+    rows = wanted.where("pos = rarest").select("query", "word")
+    candidates = materialized(index.postings.join(small(rows), "word").select("query", "row").distinct(), "candidates")
     others = wanted.where("pos <> rarest").select("query", "n_terms", "pos", "word")
-    listed = index.postings.join(small_side(others), "word").join(small_side(candidates), ["query", "row"], "left_semi")
+    listed = index.postings.join(small(others), "word").join(small_side(candidates), ["query", "row"], "left_semi")
     every = listed.select("query", "n_terms", "pos", "row").distinct().groupBy("query", "row", "n_terms").agg(F.count("*").alias("held"))
     several = every.where("held = n_terms - 1").select("query", "row")
     single = asked.where(F.size("forms") == 1).select("query")
     hits = several.unionByName(candidates.join(small_side(single), "query", "left_semi"))
     keyed = hits.join(index.keys, "row").select("query", F.col("key").alias(index.key))
-    return queries.select("qid", "query").join(keyed, "query").select("qid", index.key).distinct()
+    names = queries.select("qid", "query").where(F.col("query").isNotNull()).distinct()
+    return names.join(keyed, "query").select("qid", index.key).distinct()

@@ -23,7 +23,7 @@ TABLES = ("keys", "postings", "words", "gram_words", "grams")
 
 @dataclass(frozen=True)
 class TextIndex:
-    """keys (row, key), postings (bucket, word, row), words (word, n), gram_words (gram, word), grams (gram, n)."""
+    """keys (row, key), postings (bucket, word, row), words (word, n), gram_words (gram, word, n), grams (gram, n)."""
 
     keys: DataFrame
     postings: DataFrame
@@ -68,7 +68,7 @@ def build_text_index(texts: DataFrame, key: str, columns: Sequence[str], root: s
     # A rebalanced bucket is split where it is large.
     postings = written(postings.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "row"), "postings", "bucket")
     words = written(postings.groupBy("word").agg(F.count("*").alias("n")), "words")
-    gram_words = words.select(F.explode(windows(F.col("word"))).alias("gram"), "word")
+    gram_words = words.select(F.explode(windows(F.col("word"))).alias("gram"), "word", "n")
     gram_words = written(gram_words.repartition("gram").sortWithinPartitions("gram"), "gram_words")
     grams = written(gram_words.groupBy("gram").agg(F.count("*").alias("n")), "grams")
     return TextIndex(rows.select("row", "key"), postings.select("bucket", "word", "row"), words, gram_words, grams, key)

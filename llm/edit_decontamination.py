@@ -17,6 +17,7 @@ left out. A document's row without doc_id is reported with a null doc_id.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -115,6 +116,11 @@ def items_of(rows: Sequence[tuple[int, str | None]], rate: float = RATE) -> list
     return [Item(k, t, math.floor(rate * len(t))) for k, t in ((k, normal(t)) for k, t in rows) if t]
 
 
+def _whole(text: str, start: int, end: int) -> bool:
+    """Whether no word of the text goes on beyond the match."""
+    return not (start and text[start - 1].isalnum() and text[start].isalnum()) and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
+
 class Finder:
     def __init__(self, items: list[Item]):
         import ahocorasick
@@ -143,14 +149,16 @@ class Finder:
                 if (k, first) in looked or not item.near(text, p, start):
                     continue
                 looked.add((k, first))
-                if match := item.align(text, first):
+                if (match := item.align(text, first)) and (item.budget or _whole(text, *match[:2])):
                     found.setdefault(k, []).append(match)
         for k, matches in found.items():
+            # What is kept lies apart, in order of place: only its neighbours can overlap a match.
             kept: list[tuple[int, int, int]] = []
             for match in sorted(set(matches), key=lambda x: (x[2], x[0], x[1])):
-                if all(match[1] <= a or b <= match[0] for a, b, _ in kept):
-                    kept.append(match)
-            for a, b, distance in sorted(kept):
+                at = bisect_left(kept, match)
+                if (not at or kept[at - 1][1] <= match[0]) and (at == len(kept) or match[1] <= kept[at][0]):
+                    kept.insert(at, match)
+            for a, b, distance in kept:
                 yield self.items[k].item_id, a, b, distance
 
 

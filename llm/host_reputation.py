@@ -28,6 +28,12 @@ THRESHOLD = 0.5
 #: Bounds of the intra-class correlation, from which a level's prior strength is 1 / rho - 1.
 RHO = (0.001, 0.5)
 
+#: Second-level labels under which the registries of countries (two letters) register names (fixed values).
+REGISTRIES = "ac ad asn co com ed edu firm gen go gob gouv gov govt gr gv id ind info lg ltd me mil ne net nhs nic nom or org plc police pro res sch web"
+SECOND = rf"(^|[.])({REGISTRIES.replace(' ', '|')})[.][a-z][a-z]$"
+ADDRESS = r"^[0-9]+([.][0-9]+){3}$|^\["
+USER, PORT = "^.*@", ":[0-9]*$"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,8 +55,16 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain (the last two labels) and public suffix (the last one)."""
-    return F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
+    """Registered domain and public suffix: the suffix is the last label, or the last two where a country's
+    registry sells below a second one; the domain is one label more. User and port do not count; an
+    address in numbers is its own domain and suffix."""
+    bare = F.regexp_replace(F.regexp_replace(host, USER, ""), PORT, "")
+    number, two = bare.rlike(ADDRESS), bare.rlike(SECOND)
+
+    def last(n: int) -> Column:
+        return F.when(number, bare).when(two, F.substring_index(bare, ".", -n - 1)).otherwise(F.substring_index(bare, ".", -n))
+
+    return last(2), last(1)
 
 
 def _shrunk(nodes: DataFrame, key: str, parents: DataFrame, parent: str) -> DataFrame:
@@ -147,8 +161,11 @@ judged AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UP
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
 known AS (SELECT doc_id AS page_id, max(CASE WHEN coalesce(quality = 0, false) OR coalesce(toxic = 1, false) THEN 1 ELSE 0 END) AS bad
     FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY 1),
-hosts AS (SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix,
+seen AS (SELECT host, regexp_replace(regexp_replace(host, '{USER}', ''), '{PORT}', '') AS bare,
     count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad FROM judged LEFT JOIN known USING (page_id) GROUP BY host),
+sized AS (SELECT *, CASE WHEN regexp_matches(bare, '{ADDRESS}') THEN 9 WHEN regexp_matches(bare, '{SECOND}') THEN 2 ELSE 1 END AS k FROM seen),
+hosts AS (SELECT host, n, bad, CASE k WHEN 9 THEN bare ELSE array_to_string(list_slice(string_split(bare, '.'), -k - 1, -1), '.') END AS domain,
+    CASE k WHEN 9 THEN bare ELSE array_to_string(list_slice(string_split(bare, '.'), -k, -1), '.') END AS suffix FROM sized),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, 0 AS root, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
 r0 AS (SELECT 0 AS root, (sum(bad) + 0.5) / (sum(n) + 1) AS mean FROM suffixes),

@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -103,8 +105,12 @@ class Lexicon:
                     found[start] = (end, weight)
             else:
                 spared.append((end + 1 - size, end))
+        # The furthest end of the phrases that begin at or before a place decides; no hit meets every phrase.
+        spared.sort()
+        starts, upto = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
         for start, (end, weight) in found.items():
-            if not any(a <= start and end <= b for a, b in spared):
+            before = bisect_right(starts, start)
+            if not before or upto[before - 1] < end:
                 yield start + 1, end + 1, weight
 
     def measured(self, automaton, text: str | None) -> tuple[float, int]:

@@ -24,11 +24,14 @@ from pyspark.sql import functions as F
 
 from llm.sampling import bounded_sample
 from llm.words import chunks
+from statbank.session import materialized
 
 UNKNOWN = "und"
 HIDDEN, STEPS = 8, 96
 #: Labelled rows to learn from, segments taken of each, passes over them.
 SAMPLE, SEGMENTS, EPOCHS = 5_000, 3, 5
+#: Share of a text's trigrams that texts of the learned languages hold, and the part of a sample that may have less.
+FAMILIAR, REFUSED = 0.5, 0.001
 _BATCH, _BLOCK = 256, 2048
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -208,6 +211,58 @@ def trained(rows: DataFrame, sample: int = SAMPLE, hidden: int = HIDDEN, steps:
     return network
 
 
+@dataclass
+class Familiar:
+    """Byte trigrams of a labelled sample, as 2^24 bits, and the share of a text's trigrams that must be among them."""
+
+    bits: np.ndarray
+    least: float
+
+    def share(self, text: str) -> float:
+        return float((self.bits[(at := trigrams(text)) >> 3] >> (at & 7) & 1).mean()) if len(text) > 2 else 1.0
+
+
+def trigrams(text: str) -> np.ndarray:
+    """The numbers of the lower-cased text's byte trigrams, one for each place."""
+    raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8).astype(np.int64)
+    return (raw[:-2] << 16) | (raw[1:-1] << 8) | raw[2:] if len(raw) > 2 else raw[:0]
+
+
+def labelled_sample(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most `sample` labelled rows (doc_id, text, lang), written."""
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).select("doc_id", "text", "lang")
+    return materialized(bounded_sample(rows, ["doc_id", "lang", "text"], sample), "labelled")
+
+
+def familiar(sample: DataFrame, most: float = FAMILIAR, refused: float = REFUSED) -> Familiar:
+    """What texts of the learned languages look like, from a bounded sample (text): trigrams of two texts or more.
+    The share asked for is `most`, or what all but the part `refused` of the sample have in the others' trigrams."""
+
+    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = np.zeros(1 << 24, np.int32)
+        for batch in batches:
+            for text in batch["text"]:
+                count[np.unique(trigrams(text))] += 1
+        at = np.flatnonzero(count)
+        yield pd.DataFrame({"gram": at.astype(np.int32), "n": count[at]})
+
+    grams = sample.select("text").mapInPandas(seen, "gram int, n int").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").toPandas()  # 2^24 rows at most
+
+    def bits(least: int) -> np.ndarray:
+        known = np.zeros(1 << 24, bool)
+        known[grams["gram"][grams["n"] >= least].to_numpy(np.int64)] = True
+        return np.packbits(known, bitorder="little")
+
+    others = Familiar(bits(3), 0.0)  # its own text is one of the three
+
+    def shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"share": [others.share(t) for t in batch["text"]]}, dtype=float)
+
+    got = sample.select("text").mapInPandas(shares, "share double").toPandas()["share"]
+    return Familiar(bits(2), min(most, float(got.quantile(refused, interpolation="lower"))) if len(got) else 0.0)
+
+
 def predicted(network: Network, texts: Sequence[str | None]) -> Iterator[tuple[int, list[str], np.ndarray]]:
     """(first row, languages, scores) of consecutive texts."""
     for first, raw in chunks(texts):
@@ -219,12 +274,15 @@ def predicted(network: Network, texts: Sequence[str | None]) -> Iterator[tuple[i
         yield first, [network.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
 
-def in_known_language(docs: DataFrame, network: Network, least: float) -> DataFrame:
-    """The rows of docs, with all their columns, whose language is known with at least this score."""
+def in_known_language(docs: DataFrame, network: Network, least: float, alike: Familiar | None = None) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is known with at least this score and, with
+    `alike`, whose text looks like texts of the learned languages."""
 
     def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([k != UNKNOWN and s >= least for _, names, score in predicted(network, batch.tolist()) for k, s in zip(names, score, strict=True)], dtype=bool)
+            texts = batch.tolist()
+            kept = [k != UNKNOWN and s >= least for _, names, score in predicted(network, texts) for k, s in zip(names, score, strict=True)]
+            yield pd.Series([k and (alike is None or alike.share(t) >= alike.least) for k, t in zip(kept, texts, strict=True)], dtype=bool)
 
     return docs.where(F.pandas_udf(known, "boolean", F.PandasUDFType.SCALAR_ITER)("text"))
 

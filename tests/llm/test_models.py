@@ -1,5 +1,6 @@
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -194,3 +195,23 @@ def test_samples_are_bounded_and_repeatable(spark):
     assert len(some) <= 300 and len(set(some)) == len(some) > 200
     assert some == sorted(r.doc_id for r in bounded_sample(rows.repartition(7), ["doc_id", "text"], 300).collect())
     assert bounded_sample(rows, ["doc_id", "text"], 10_000).count() == 4_000 and bounded_sample(rows.limit(0), ["doc_id"], 5).count() == 0
+
+
+def test_hits_equal_a_plain_scan_and_are_linear():
+    """Every hit against every phrase, for random texts; then 40,000 hits beside as many phrases."""
+    rng = np.random.default_rng(12)
+    words = ["bad", "badly", "worse", "not", "so", "fine"]
+    lexicon = T.Lexicon({"bad": 2.0, "badl": 3.0, "worse": 1.0}, ("not bad", "bad so", "so worse"))
+    automaton = lexicon.automaton()
+    for _ in range(200):
+        text = T.folded(" ".join(rng.choice(words, rng.integers(0, 30))))
+        spared = [(m.start(), m.start() + len(p) + 2) for p in lexicon.exceptions for m in re.finditer(f"(?= {p} )", text)]
+        want = {}
+        for stem, weight in lexicon.entries.items():
+            for m in re.finditer(f"(?= {stem})", text):
+                want[m.start()] = max(want.get(m.start(), (0.0, 0)), (weight, m.start() + len(stem) + 1))
+        plain = sorted((a + 1, end, w) for a, (w, end) in want.items() if not any(x <= a and end <= y for x, y in spared))
+        assert sorted(lexicon.hits(automaton, text)) == plain
+    started = time.perf_counter()
+    assert len(list(lexicon.hits(automaton, T.folded("not bad bad " * 40_000)))) == 40_000
+    assert time.perf_counter() - started < 5

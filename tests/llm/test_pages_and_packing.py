@@ -1,4 +1,5 @@
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -180,6 +181,75 @@ def test_pages_whole_table_and_awkward_rows(spark):
     assert X.extracted(odd.limit(0)).collect() == []
 
 
+def test_text_that_only_looks_hidden_or_boilerplate_stays():
+    assert X.main_text('<article><p>One.</p><div title="a hidden gem"><p>Kept text here.</p></div></article>') == "One.\nKept text here."
+    assert X.main_text('<article><div class="body hidden md:block">Kept words here.</div></article>') == "Kept words here."
+    assert X.main_text("<article><p>One <span hidden>gone</p><p>Two stays.</p></article>") == "One\nTwo stays."
+    assert X.main_text('<article><p style="color:red; display : none">Gone.</p><p aria-hidden=true>Gone.</p><p>Stays.</p></article>') == "Stays."
+    names = '<article><div class="story share-market"><p>Shares rose.</p></div><div id="search-results-study"><p>We study.</p></div>'
+    assert X.main_text(names + '<div class="shareButtons">Tweet this, now.</div><div id="cookie-notice">We use cookies, as all do.</div></article>') == "Shares rose.\nWe study."
+    assert X.main_text("<head><meta charset=utf-8><body><article><p>Text, though the head never ends.</p></article>") == "Text, though the head never ends."
+    assert X.main_text("<article><svg><text>x</text></svg><p>A.</p><script>if (a</script><p>B.</p></article>") == "A.\nB."
+    deep = "<article>" + "<div>" * 3000 + "<p>Deep text.</p>" + "</div>" * 3000 + "<p>After it.</p></article>"
+    assert X.main_text(deep) == "Deep text.\nAfter it."
+
+
+def test_weights_are_learned_and_blocks_are_right(spark):
+    """Precision and recall of characters of block text, on all pages, with names and without them."""
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    weights = X.learned(pages)
+    assert weights != X.PRIOR and len(weights) == len(X.PRIOR)
+    assert X.learned(pages.limit(0)) == X.PRIOR and X.learned(pages.limit(1).selectExpr("CAST(NULL AS string) AS html")) == X.PRIOR
+    for plain in (False, True):
+        right = got = want = 0
+        for page in pages.toPandas().html:
+            article = {id(b): b.text for b in X.blocks_of(page) if b.hints >= X.SURE}
+            true = Counter(article.values())
+            if plain:  # the article has no name any more; menus and footers keep theirs
+                page = re.sub("<(/?)article>", r"<\1div>", page)
+            found = Counter(b.text for b, content in X.labelled(page, weights) if content)
+            right += sum(len(t) * n for t, n in (found & true).items())
+            got += sum(len(t) * n for t, n in found.items())
+            want += sum(len(t) * n for t, n in true.items())
+        assert right >= 0.99 * got and right >= 0.99 * want
+
+
+def test_short_items_and_many_matches():
+    finder = D.Finder(D.items_of([(1, "a"), (2, "fox")]))
+    assert list(finder.find("banana and a fox")) == [(1, 11, 12, 0), (2, 13, 16, 0)] and not list(finder.find("bananas " * 3000))
+    started = time.perf_counter()
+    assert len(list(finder.find("a " * 40_000))) == 40_000
+    assert time.perf_counter() - started < 10
+
+
+def test_registries_addresses_and_ports(spark):
+    """Bad pages of one domain say nothing about others below the same registry."""
+    bad = [(k, f"https://www{k % 3}.bad.co.uk/{k}") for k in range(60)] + [(100 + k, f"http://10.0.0.7:80{k}/") for k in range(40)]
+    rest = [(200, "http://gov.co.uk/"), (201, "http://bbc.co.uk:8080/x"), (202, "http://10.0.0.8/"), (203, "http://x@www9.bad.co.uk/"), (204, "http://good.test/"), (205, "http://7.7/")]
+    good = [(300 + k, f"http://site{k}.good.uk/") for k in range(150)] + [(500 + k, f"http://fine{k}.co.uk/") for k in range(60)]
+    pages = spark.createDataFrame(bad + rest + good, "page_id bigint, url string")
+    outcomes = spark.createDataFrame([(k, 1) for k, _ in bad] + [(k, 0) for k, _ in good], "page_id bigint, bad int")
+    got = {r.page_id: r.verdict for r in H.url_filter(pages, outcomes).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {k for k, _ in bad} | {203}
+    names = spark.createDataFrame([(h,) for h in ("a.b.co.uk", "co.uk", "www.x.de", "1.2.3.4:80", "u@q.com.au:1", "", "de", "x.notco.uk")], "h string")
+    domain, suffix = H.levels(names.h)
+    assert [tuple(r) for r in names.select(domain, suffix).collect()] == [
+        ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("x.de", "de"), ("1.2.3.4", "1.2.3.4"), ("q.com.au", "com.au"), ("", ""), ("de", "de"), ("notco.uk", "uk"),
+    ]
+
+
+def test_pipeline_refuses_unlearned_scripts_and_random_characters(spark, wide):
+    """Hexadecimal digits, letters at random and other scripts go; the table's own documents stay."""
+    rng = np.random.default_rng(3)
+    odd = ["".join(rng.choice(list("0123456789abcdef"), 400)) for _ in range(10)]
+    odd += ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 400)) for _ in range(10)]
+    odd += ["Это обычный русский текст, который никто не учил. " * 5, "これは日本語の文章です。学習された言語ではありません。" * 8]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    mixed = docs.unionByName(wide([(10**6 + k, t) for k, t in enumerate(odd)]).selectExpr(*[f"CAST({c} AS {t}) AS {c}" if c in ("doc_id", "text") else f"CAST(NULL AS {t}) AS {c}" for c, t in docs.dtypes]))
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, mixed, FOLDER).collect()}
+    assert kept == {r.doc_id for r in docs.collect()}
+
+
 def test_rules_and_reputation(spark):
     odd = [(1, None), (2, "no scheme"), (3, "http://A.Net/x?y"), (4, "http://www.example.net/en/1#z"), (5, "http://net"), (6, "http://x.example.com/de/"), (7, "https://y.ORG/fr/"), (8, "http://bad.example.com/a"), (9, "http://xnet/"), (None, "http://bad.example.com?a://b/c")]
     pages = spark.createDataFrame([(i, u, 0) for i, u in odd] + [(100 + i, f"http://bad.example.com/{i}", 0) for i in range(60)], "page_id bigint, url string, mean int")

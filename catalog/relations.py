@@ -239,7 +239,7 @@ def _(t):
 
 @query("agg_series_mean", "SELECT * FROM series")
 def _(t):
-    return series.series(t.facts)
+    return series.series(t.facts, dealt=True)
 
 
 @query(
@@ -263,7 +263,7 @@ TOP = "SELECT variable_id, unitId, unitLevel FROM series ORDER BY mean DESC, var
 FROM points JOIN ({TOP}) s USING (variable_id, unitId, unitLevel)""",
 )
 def _(t):
-    return series.domain(t.facts, series.top_points(t.facts))
+    return series.domain(t.facts, series.top_points(t.facts, dealt=True))
 
 
 def _estimate(total: str) -> str:
@@ -320,4 +320,4 @@ def _(t):
 
 @query("win_dedup_last", "SELECT * FROM points")
 def _(t):
-    return series.points(t.facts)
+    return series.points(t.facts, dealt=True)

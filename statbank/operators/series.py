@@ -9,22 +9,26 @@ from statbank.functions import text
 SERIES = ["variable_id", "unitId", "unitLevel"]
 
 
-def points(observations: DataFrame) -> DataFrame:
-    """One non-null value per series and year; repeats keep the largest, nulls never count."""
+def points(observations: DataFrame, dealt: bool = False) -> DataFrame:
+    """One non-null value per series and year; repeats keep the largest, nulls never count.
+
+    `dealt` says that the rows of a variable lie in one partition already, so that no exchange is needed.
+    """
+    held = observations.where(F.col("value").isNotNull()).select(*SERIES, "year", "value")
     # Dealt out by series once: the yearly and the series aggregation both stay within a task.
-    dealt = observations.where(F.col("value").isNotNull()).select(*SERIES, "year", "value").repartition(*SERIES)
-    return dealt.groupBy(*SERIES, "year").agg(F.max("value").alias("value"))
+    rows = held if dealt else held.repartition(*SERIES)
+    return rows.groupBy(*SERIES, "year").agg(F.max("value").alias("value"))
 
 
-def series(observations: DataFrame) -> DataFrame:
+def series(observations: DataFrame, dealt: bool = False) -> DataFrame:
     """Mean and length of every series that has a value."""
-    means = points(observations).groupBy(*SERIES)
+    means = points(observations, dealt).groupBy(*SERIES)
     return means.agg(F.avg("value").alias("mean"), F.count("*").alias("n_points"))
 
 
-def top_series(observations: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
+def top_series(observations: DataFrame, k: int = S.MAX_SERIES, dealt: bool = False) -> DataFrame:
     """The k series with the highest mean."""
-    return _best(series(observations), k)
+    return _best(series(observations, dealt), k)
 
 
 def _best(means: DataFrame, k: int) -> DataFrame:
@@ -44,11 +48,11 @@ def points_of(observations: DataFrame, keys: DataFrame) -> DataFrame:
     return points(observations.join(F.broadcast(keys.select(*SERIES)), SERIES, "left_semi"))
 
 
-def top_points(observations: DataFrame, k: int = S.MAX_SERIES) -> DataFrame:
+def top_points(observations: DataFrame, k: int = S.MAX_SERIES, dealt: bool = False) -> DataFrame:
     """Points of the top series; at most 8 keys are chosen."""
     if not 0 <= k <= S.MAX_SERIES:
         raise ValueError(f"at most {S.MAX_SERIES} series")
-    return points_of(observations, top_series(observations, k))
+    return points_of(observations, top_series(observations, k, dealt))
 
 
 def with_means(rows: DataFrame, year_from: int | None = None, year_to: int | None = None) -> DataFrame:

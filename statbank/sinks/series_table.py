@@ -20,17 +20,18 @@ ROW = T.StructType(
 )
 
 
-def series_rows(facts: DataFrame) -> DataFrame:
+def series_rows(facts: DataFrame, dealt: bool = False) -> DataFrame:
     """(variable_id, unitId, points, unitLevel): a point for each year in ascending order; repeated years keep the
-    largest value, and a year without any value has a NULL. A series is as long as there are years."""
-    dealt = facts.select(*SERIES, "year", "value").repartition(*SERIES)
-    yearly = dealt.groupBy(*SERIES, "year").agg(F.max("value").alias("value"))
+    largest value, and a year without any value has a NULL. A series is as long as there are years.
+    `dealt` says that the rows of a variable lie in one partition already."""
+    rows = facts.select(*SERIES, "year", "value")
+    yearly = (rows if dealt else rows.repartition(*SERIES)).groupBy(*SERIES, "year").agg(F.max("value").alias("value"))
     rows = yearly.groupBy(*SERIES).agg(F.array_sort(F.collect_list(F.struct("year", "value"))).alias("points"))
     return rows.select(*ROW.names)
 
 
-def write_series(facts: DataFrame, path: str) -> None:
-    rows = series_rows(facts).repartitionByRange("unitLevel", "variable_id", "unitId").sortWithinPartitions("unitLevel", "variable_id", "unitId")
+def write_series(facts: DataFrame, path: str, dealt: bool = False) -> None:
+    rows = series_rows(facts, dealt).repartitionByRange("unitLevel", "variable_id", "unitId").sortWithinPartitions("unitLevel", "variable_id", "unitId")
     rows.write.option("compression", "zstd").partitionBy("unitLevel").parquet(path)
 
 

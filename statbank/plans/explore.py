@@ -3,15 +3,15 @@
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from statbank import schema as S
 from statbank.operators import dataset, facets, filters, series
 from statbank.plans.store import Store
-from statbank.session import materialized
+from statbank.session import literal_table, materialized
 from statbank.sinks.datasets import write_csv, write_dataset
-from statbank.sources.scan import literal_scan
+from statbank.sources.scan import Ids, of_ids, scan_ids, settled_ids
 
 
 def bounded_ids(ids: DataFrame, limit: int = S.MAX_VARIABLES) -> tuple[int, ...] | None:
@@ -22,25 +22,44 @@ def bounded_ids(ids: DataFrame, limit: int = S.MAX_VARIABLES) -> tuple[int, ...]
 
 @dataclass(frozen=True)
 class Selection:
-    """An immutable selection: at most 60 variables, optional units, levels and years."""
+    """An immutable selection: variables, optional units, levels and years.
 
-    variables: tuple[int, ...] = ()
+    The explorer's selection holds at most 60 variables. With limit=None it holds any number: up to a few thousand
+    as values, more of them as a stored table of ids.
+    """
+
+    variables: Ids = ()
     units: tuple[str, ...] = ()
     levels: tuple[int, ...] = ()
     year_from: int | None = None
     year_to: int | None = None
+    limit: int | None = S.MAX_VARIABLES
+
+    @property
+    def many_variables(self) -> bool:
+        return not isinstance(self.variables, tuple) or len(self.variables) > 1
+
+    def _held(self, spark: SparkSession) -> DataFrame:
+        if not isinstance(self.variables, tuple):
+            return self.variables
+        return literal_table(spark, self.variables, "variable_id", "int")
 
     def add(self, ids: DataFrame) -> "Selection":
         """Add resolved variables; refused beyond the limit unless all are in already."""
-        found = bounded_ids(ids)
+        if self.limit is None:
+            both = self._held(ids.sparkSession).unionByName(ids.select("variable_id"))
+            return replace(self, variables=settled_ids(both.distinct()))
+        found = bounded_ids(ids, self.limit)
         if found is None:
-            raise ValueError(f"too many variables: a selection holds {S.MAX_VARIABLES}")
+            raise ValueError(f"too many variables: a selection holds {self.limit}")
         held = set(self.variables)
-        if len(held) + len(found) > S.MAX_VARIABLES and not held.issuperset(found):
-            raise ValueError(f"too many variables: a selection holds {S.MAX_VARIABLES}")
+        if len(held) + len(found) > self.limit and not held.issuperset(found):
+            raise ValueError(f"too many variables: a selection holds {self.limit}")
         return replace(self, variables=tuple(sorted(held.union(found))))
 
     def remove(self, ids: Sequence[int]) -> "Selection":
+        if not isinstance(self.variables, tuple):
+            return replace(self, variables=settled_ids(self.variables.where(~filters.variables_in(ids))))
         return replace(self, variables=tuple(v for v in self.variables if v not in set(ids)))
 
     def clear(self) -> "Selection":
@@ -95,7 +114,7 @@ def observations(store: Store, selection: Selection) -> DataFrame:
     facts = facts.where(filters.year_range(selection.year_from, selection.year_to))
     if selection.units:
         facts = facts.where(filters.unit_ids_in(selection.units))
-    found = literal_scan(facts, store.manifest, selection.variables)
+    found = scan_ids(facts, store.manifest, selection.variables)
     return found.select(*S.OBSERVATION)
 
 
@@ -124,14 +143,14 @@ def series_chart(store: Store, selection: Selection, lang: str = "pl") -> tuple[
 
 def _named(store: Store, selection: Selection, shown: DataFrame, lang: str) -> tuple[DataFrame, DataFrame]:
     chosen = store.bilingual if store.subjects_en is not None and store.variables_en is not None else store.codebook
-    chosen = chosen.where(filters.variables_in(selection.variables))
-    many = len(selection.levels) > 1, len(selection.variables) > 1
+    chosen = of_ids(chosen, selection.variables)
+    many = len(selection.levels) > 1, selection.many_variables
     return series.named_points(shown, store.units, chosen, *many, lang), series.mixed_measures(chosen)
 
 
 def selected_series(store: Store, selection: Selection) -> DataFrame:
     """The selection's rows of the layout by series, with their means."""
-    rows = store.series.where(F.col("unitLevel").isin(*selection.levels)).where(filters.variables_in(selection.variables))
+    rows = of_ids(store.series.where(F.col("unitLevel").isin(*selection.levels)), selection.variables)
     if selection.units:
         rows = rows.where(filters.unit_ids_in(selection.units))
     return series.with_means(rows, selection.year_from, selection.year_to)
@@ -165,9 +184,9 @@ def export(
     docs: bool = True,
 ) -> None:
     """Write the dataset of a selection as CSV, with its documentation table beside it."""
-    chosen = store.bilingual.where(filters.variables_in(selection.variables))
+    chosen = of_ids(store.bilingual, selection.variables)
     rows = observations(store, selection)
-    data = dataset.wide(rows, chosen) if layout == "wide" else dataset.long(rows, chosen)
+    data = dataset.wide(rows, chosen, limit=selection.limit) if layout == "wide" else dataset.long(rows, chosen)
     write_dataset(data, f"{path}/data", per_level and len(selection.levels) > 1)
     if docs:
         write_csv(dataset.codebook_doc(chosen, chosen.select("variable_id")).orderBy("variable_id"), f"{path}/codebook")

@@ -1,10 +1,14 @@
 """Layout, store, scans, selection and export."""
 
+from dataclasses import replace
+from pathlib import Path
+
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from catalog.sources import _damaged
 from statbank import Selection, Store, build_store, export, export_store, get
 from statbank import schema as S
 from statbank.operators import dataset, facets, series
@@ -434,3 +438,65 @@ def test_broadcast_only_within_the_limit(spark):
     side = spark.range(1000).withColumn("k", F.col("id"))
     assert "BroadcastHashJoin" in plan(spark.range(10).join(small_side(side), "id"))
     assert small_side(side, limit=10) is side
+
+def test_a_whole_selection_is_not_cut(spark, store, tmp_path):
+    ids = store.facts.select("variable_id").distinct()
+    many = Selection(levels=(1, 2), limit=None).add(spark.range(5000).select(F.col("id").cast("int").alias("variable_id")))
+    assert not isinstance(many.variables, tuple) and many.many_variables
+    assert many.add(ids).variables.count() == many.remove([3]).variables.count() + 1
+    few = Selection(levels=(1, 2), limit=None).add(ids)
+    assert len(few.variables) == ids.count() > 60
+    wanted = store.facts.where("unitLevel IN (1, 2)").count()
+    for chosen in (few, replace(few, variables=ids)):
+        total, _ = explore.build(store, chosen)
+        assert total.first().total == wanted
+        explore.export(store, chosen, f"{tmp_path}/{chosen.many_variables}{isinstance(chosen.variables, tuple)}")
+        assert spark.read.csv(f"{tmp_path}/{chosen.many_variables}{isinstance(chosen.variables, tuple)}/data", header=True).count() == wanted
+    with pytest.raises(ValueError):
+        Selection().add(ids)
+
+
+def test_wide_blocks_have_a_bounded_plan(spark):
+    n = 3 * dataset.COLUMNS + 7
+    facts = spark.range(n).selectExpr("CAST(id AS int) AS variable_id", "'u' AS unitId", "'U' AS unitName", "CAST(1 AS tinyint) AS unitLevel", "CAST(2000 AS smallint) AS year", "IF(id = 5, NULL, id + 0.5D) AS value")
+    codebook = spark.range(2 * n).selectExpr("CAST(id AS int) AS variable_id")
+    data, headings = dataset.wide_blocks(facts, codebook, key="variable_id")
+    assert len(data.columns) == 6 + dataset.COLUMNS and headings.count() == 2 * n
+    cells = {r.indicator: r.value for r in dataset.block_cells(data, headings).collect()}
+    assert cells == {str(i): i + 0.5 for i in range(n) if i != 5}
+
+
+def test_datasets_are_compressed_in_order(spark, tables, tmp_path):
+    data = dataset.long(tables.facts_at([1]), tables.codebook)
+    datasets.write_dataset(data, f"{tmp_path}/d")
+    files = sorted(tmp_path.glob("d/part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
+    assert spark.read.schema(data.schema).options(**S.CSV).csv(f"{tmp_path}/d").exceptAll(data).isEmpty()
+
+
+def test_sales_are_exchanged_by_variable_once(tables):
+    for frame in (dataset.long(tables.facts, tables.codebook), series.series(tables.facts, dealt=True), series_rows(tables.facts, dealt=True)):
+        exchanges = [line for line in plan(frame).splitlines() if "Exchange hashpartitioning" in line]
+        assert exchanges and not any("unitId" in line for line in exchanges)
+
+
+def test_parts_without_a_table_of_all_keys(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr(
+        "CAST(IF(id % 97 = 0, NULL, IF(id % 3 = 0, 7, id % 9000 - 4500)) AS int) AS variable_id", "CAST(id AS string) AS unitId", "'U' AS unitName",
+        "CAST(IF(id % 89 = 0, NULL, 1 + id % 2) AS tinyint) AS unitLevel", "CAST(2000 AS smallint) AS year", "1.0D AS value", "CAST(0 AS tinyint) AS attr_id",
+    )
+    rows.write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    placed = layout.write_parts(stored, f"{tmp_path}/parts", 3, rows_per_file=2_000)
+    written = spark.read.schema("variable_id int, unitId string, unitLevel tinyint, part int").parquet(f"{tmp_path}/parts")
+    assert written.select("unitId", "variable_id", "unitLevel").exceptAll(stored.select("unitId", "variable_id", "unitLevel")).isEmpty() and written.count() == 40_000
+    key = ["unitLevel", "variable_id", "part"]
+    assert written.select(*key).distinct().exceptAll(placed.select(*key)).isEmpty()
+
+
+def test_extracts_are_not_dealt_out_by_endpoint(tables):
+    for name, folder in _damaged(tables).items():
+        files = list(Path(folder).glob("part-*"))
+        firsts = {f.read_text(encoding="utf-8").split("\n", 1)[0] for f in files}
+        assert firsts == {"variable_id,unitId,unitName,unitLevel,year,value,attr_id"}
+        assert name != "gminy" or len(files) > 3

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from catalog.sources import _damaged
+from catalog.sources import _damaged, _extracts
 from statbank import Selection, Store, build_store, export, export_store, get
 from statbank import schema as S
 from statbank.operators import dataset, facets, series
@@ -500,3 +500,11 @@ def test_extracts_are_not_dealt_out_by_endpoint(tables):
         firsts = {f.read_text(encoding="utf-8").split("\n", 1)[0] for f in files}
         assert firsts == {"variable_id,unitId,unitName,unitLevel,year,value,attr_id"}
         assert name != "gminy" or len(files) > 3
+
+
+def test_extracts_are_compressed(spark, tables):
+    extracts = _extracts(tables)
+    for folder in extracts.values():
+        written = list(Path(folder).glob("part-*"))
+        assert written and all(f.name.endswith(".csv.gz") for f in written)
+    assert rows(files.load_raw_extracts(spark, extracts)) == rows(tables.facts)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog.sources import _damaged, _extracts
 from statbank import Selection, Store, build_store, export, export_store, get
 from statbank import schema as S
-from statbank.operators import dataset, facets, series
+from statbank.operators import dataset, facets, metadata, series
 from statbank.operators.resolve import resolve_ids
 from statbank.plans import explore
 from statbank.plans.store import lay_out, with_series
@@ -508,3 +508,21 @@ def test_extracts_are_compressed(spark, tables):
         written = list(Path(folder).glob("part-*"))
         assert written and all(f.name.endswith(".csv.gz") for f in written)
     assert rows(files.load_raw_extracts(spark, extracts)) == rows(tables.facts)
+
+
+def test_units_of_upper_levels_are_broadcast(spark, tables, tmp_path):
+    odd = spark.createDataFrame([(1, None, "n", 6, 2000, 1.0, 0), (1, "u", "n", None, 2000, 1.0, 0)], S.FACT)
+    tables.facts.unionByName(odd).write.parquet(f"{tmp_path}/facts")
+    facts = scan.read_facts(spark, f"{tmp_path}/facts")
+    metadata.units(facts).select("unitId", "unitLevel", "first_year").write.parquet(f"{tmp_path}/units")
+    units = spark.read.parquet(f"{tmp_path}/units")
+    whole = rows(facts.join(units, ["unitId", "unitLevel"]))
+    for most in (0, 40, 10**6):
+        assert rows(dataset.with_units(facts, units, most)) == whole
+    counts = {r["unitLevel"]: r["count"] for r in units.groupBy("unitLevel").count().collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(dataset.with_units(facts, units, counts[1] + counts[2]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1

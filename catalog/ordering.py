@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from catalog.sources import LONG
 from statbank.operators import dataset, metadata, search, series
-from statbank.operators.order import placed
+from statbank.operators.order import placed, placed_by_key
 
 PREVIEW = """
 SELECT variable_id, unitId, unitName, unitLevel, year, value FROM facts
@@ -74,7 +74,7 @@ def _(t):
 
 @query("sort_export", f"SELECT *, row_number() OVER (ORDER BY variable_id, unitLevel DESC, unitId, year) AS place FROM ({LONG}) long")
 def _(t):
-    return placed(dataset.long(t.facts, t.codebook), dataset.export_order("variable_id"))
+    return placed_by_key(dataset.long(t.facts, t.codebook), "variable_id", dataset.export_order())
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from statbank import schema as S
 from statbank.operators import dataset, quality
-from statbank.operators.order import placed
+from statbank.operators.order import placed, placed_by_key
 from statbank.plans.store import Store, grown, lay_out
 from statbank.sinks import layout
 from statbank.sources.ingest import ingest_extracts
@@ -75,6 +75,19 @@ def test_places_of_odd_tables(spark):
     assert placed(rows.limit(0), ["id"]).collect() == [] and placed(rows, ["id"]).columns == ["row", "place2", "id", "place"]
 
 
+def test_places_by_key_exchange_no_rows(spark, tables):
+    rows = spark.createDataFrame([(i % 7 if i % 5 else None, i, "x") for i in range(200)], "row int, place2 int, id string").repartition(5, "row")
+    frame = placed_by_key(rows, "row", [F.col("place2").desc()])
+    got = frame.orderBy("place").collect()
+    assert [r.place for r in got] == list(range(1, 201))
+    assert [(r.row, r.place2) for r in got] == sorted(((i % 7 if i % 5 else None, i) for i in range(200)), key=lambda x: (x[0] is not None, x[0] or 0, -x[1]))
+    assert placed_by_key(rows.limit(0), "row", ["id"]).collect() == [] and frame.columns == ["row", "place2", "id", "place"]
+    long = dataset.long(tables.facts, tables.codebook)
+    plan = placed_by_key(long, "variable_id", dataset.export_order())._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("unitId" in line or "rangepartitioning" in line for line in exchanges)
+
+
 def test_profile_is_one_pass_and_merges(spark, tables):
     facts = tables.stored.facts
     plan = quality.profile(facts)._jdf.queryExecution().executedPlan().toString()

@@ -526,3 +526,28 @@ def test_units_of_upper_levels_are_broadcast(spark, tables, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+
+
+def test_a_task_writes_a_slice_of_a_part(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "ROWS_PER_TASK", 200)
+    facts = tables.stored.facts
+    placed = layout.write_parts(facts, f"{tmp_path}/parts", 2)
+    written = scan.read_parts(spark, f"{tmp_path}/parts")
+    assert rows(written.select(*FACT_COLUMNS)) == rows(facts)
+    hottest = placed.agg(F.max("n")).first()[0]
+    found = written.groupBy(F.input_file_name().alias("file")).agg(
+        F.count("*").alias("n"), F.min("variable_id").alias("lo"), F.max("variable_id").alias("hi"), F.first("unitLevel").alias("level")
+    ).collect()
+    assert max(f.n for f in found) <= 200 + hottest and len(found) > 2 * len(S.LEVELS)
+    for level in S.LEVELS:
+        mine = sorted((f.lo, f.hi) for f in found if f.level == level)
+        assert all(a[1] <= b[0] for a, b in zip(mine, mine[1:]))
+    same = layout.equidepth_ranges(facts, 2).select("unitLevel", "part", "rows")
+    assert rows(same) == rows(written.groupBy("unitLevel", "part").agg(F.count("*").alias("rows")))
+
+
+def test_stored_facts_are_in_order(tables):
+    frame = tables.stored.facts
+    held = frame.select(F.input_file_name().alias("file"), F.col("_metadata.row_index").alias("at"), "unitLevel", "variable_id", "unitId", "year").orderBy("file", "at").collect()
+    keys = [(r.file, r.unitLevel, r.variable_id, r.unitId, r.year) for r in held]
+    assert keys and keys == sorted(keys)

@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -46,3 +47,38 @@ def test_every_query_has_an_oracle():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def _own_tables(spark, folder, chosen):
+    """Small tables of which `chosen` variables are in the choice of the explorer's queries, and 30 are not."""
+    n = chosen + 30
+    given = {
+        "region": (2, ["CAST(id AS int) AS r_regionkey", "concat('R', id) AS r_name"]),
+        "nation": (4, ["CAST(id AS int) AS n_nationkey", "concat('N', id) AS n_name", "CAST(id % 2 AS int) AS n_regionkey"]),
+        "customer": (12, ["id AS c_custkey", "concat('C', id) AS c_name", "CAST(id % 4 AS int) AS c_nationkey", "IF(id % 3 = 0, 'BUILDING', 'MACHINERY') AS c_mktsegment"]),
+        "part": (n, [
+            "id AS p_partkey", "concat(IF(id % 2 = 0, 'red', 'blue'), ' ring') AS p_name", f"IF(id < {chosen}, 'Brand#12', 'Brand#21') AS p_brand",
+            "'STANDARD' AS p_type", "CAST(id % 50 AS int) AS p_size",
+        ]),
+        "orders": (50, ["id AS o_orderkey", "id % 12 AS o_custkey", "make_timestamp(1995 + id % 7, 6, 1, 0, 0, 0) AS o_orderdate"]),
+        "lineitem": (3 * n, ["id % 50 AS l_orderkey", f"id % {n} AS l_partkey", "CAST(id % 7 AS int) AS l_linenumber", "CAST(1 + id % 11 AS double) AS l_quantity"]),
+    }
+    duck = duckdb.connect()
+    for name, (rows, columns) in given.items():
+        spark.range(rows).selectExpr(*columns).write.parquet(f"{folder}/{name}.parquet")
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    return duck
+
+
+def _matches(frame, duck, name):
+    columns = frame.columns
+    expected = duck.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in columns)} FROM ({ORACLES[name]}) o").fetchall()
+    return len(expected) > 0 and canonical(frame.collect()) == canonical(expected)
+
+
+# More than the explorer's 60 variables, and more than a request holds as values.
+@pytest.mark.parametrize("chosen", [70, 2100])
+@pytest.mark.parametrize("name", ["api_build_total"])
+def test_a_choice_of_any_size(name, chosen, spark, tmp_path):
+    duck = _own_tables(spark, str(tmp_path), chosen)
+    assert _matches(QUERIES[name](spark, str(tmp_path)), duck, name)

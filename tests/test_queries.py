@@ -78,7 +78,7 @@ def _matches(frame, duck, name):
 
 # More than the explorer's 60 variables, and more than a request holds as values.
 @pytest.mark.parametrize("chosen", [70, 2100])
-@pytest.mark.parametrize("name", ["api_build_total", "api_export", "api_export_docs", "api_export_wide"])
+@pytest.mark.parametrize("name", ["api_build_total", "api_export", "api_export_docs", "api_export_wide", "api_series_chart"])
 def test_a_choice_of_any_size(name, chosen, spark, tmp_path):
     duck = _own_tables(spark, str(tmp_path), chosen)
     assert _matches(QUERIES[name](spark, str(tmp_path)), duck, name)

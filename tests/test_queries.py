@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from catalog.registry import QUERIES as OWN
+from statbank.sinks import layout
 from tests.conftest import FOLDER
 
 ORACLES = {name: sql for name, sql in oracle_sql().items() if name in OWN}
@@ -82,3 +83,13 @@ def _matches(frame, duck, name):
 def test_a_choice_of_any_size(name, chosen, spark, tmp_path):
     duck = _own_tables(spark, str(tmp_path), chosen)
     assert _matches(QUERIES[name](spark, str(tmp_path)), duck, name)
+
+
+def test_facts_are_written_without_an_exchange_of_their_own(spark, tmp_path, monkeypatch):
+    """src_fact_parquet exchanges the narrow sales by variable, and not the facts of every level by their keys."""
+    duck, written, write = _own_tables(spark, str(tmp_path), 70), [], layout.write_parquet
+    monkeypatch.setattr(layout, "write_parquet", lambda df, path: (written.append(df), write(df, path)))
+    assert _matches(QUERIES["src_fact_parquet"](spark, str(tmp_path)), duck, "src_fact_parquet")
+    lines = [df._jdf.queryExecution().executedPlan().toString().splitlines() for df in written]
+    exchanges = [line for plan in lines for line in plan if "Exchange hashpartitioning" in line]
+    assert any("variable_id" in line for line in exchanges) and not any("unitId" in line for line in exchanges)

@@ -1,11 +1,14 @@
 """Every registered query against its oracle, and a look at its plan."""
 
+import glob
+import gzip
 import math
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from catalog import sources
 from catalog.registry import QUERIES as OWN
 from statbank.sinks import layout
 from tests.conftest import FOLDER
@@ -93,3 +96,23 @@ def test_facts_are_written_without_an_exchange_of_their_own(spark, tmp_path, mon
     lines = [df._jdf.queryExecution().executedPlan().toString().splitlines() for df in written]
     exchanges = [line for plan in lines for line in plan if "Exchange hashpartitioning" in line]
     assert any("variable_id" in line for line in exchanges) and not any("unitId" in line for line in exchanges)
+
+
+def _of_workspace(monkeypatch, folder, name):
+    """Workspaces lie in `folder` and are not deleted; the path of the one called `name` is put into the list."""
+    made = []
+    monkeypatch.setattr(sources, "discard_folders", lambda *_: None, raising=False)
+    monkeypatch.setattr(sources, "workspace", lambda _, x: (made.append(f"{folder}/statbank-{x}"), made[-1])[1])
+    return lambda: [x for x in made if x.endswith(name)]
+
+
+def test_damaged_extracts_are_compressed_in_order(spark, tmp_path, monkeypatch):
+    duck, made = _own_tables(spark, str(tmp_path / "in"), 70), _of_workspace(monkeypatch, tmp_path, "damaged")
+    assert _matches(QUERIES["src_fact_csv_good"](spark, str(tmp_path / "in")), duck, "src_fact_csv_good")
+    files = [f for f in glob.glob(f"{made()[0]}/endpoint=*/part-*") if not f.endswith(".txt")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    for file in files:
+        header, *lines = gzip.open(file, "rt", encoding="utf-8").read().splitlines()
+        assert header.startswith("variable_id,unitId,")
+        ids = [int(line.split(",")[0]) for line in lines]
+        assert ids == sorted(ids)

@@ -3,6 +3,7 @@
 import glob
 import gzip
 import math
+import time
 
 import duckdb
 import pytest
@@ -10,6 +11,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from catalog import sources
 from catalog.registry import QUERIES as OWN
+from statbank.session import exchanges_dropped
 from statbank.sinks import layout
 from tests.conftest import FOLDER
 
@@ -116,3 +118,36 @@ def test_damaged_extracts_are_compressed_in_order(spark, tmp_path, monkeypatch):
         assert header.startswith("variable_id,unitId,")
         ids = [int(line.split(",")[0]) for line in lines]
         assert ids == sorted(ids)
+
+
+def test_extracts_and_exchanges_go_once_they_are_ingested(spark, tmp_path, monkeypatch):
+    """src_fact_csv_quarantine keeps what it ingested, and neither the extracts nor what was exchanged for them."""
+    duck, made = _own_tables(spark, str(tmp_path / "in"), 70), []
+    monkeypatch.setattr(sources, "workspace", lambda _, x: (made.append(tmp_path / f"statbank-{x}"), str(made[-1]))[1])
+    found = QUERIES["src_fact_csv_quarantine"](spark, str(tmp_path / "in"))
+    assert [x.name for x in made] == ["statbank-damaged", "statbank-ingested"]
+    assert not list(made[0].glob("**/part-*")) and list(made[1].glob("good=true/unitLevel=6/part-*"))
+    assert _matches(found, duck, "src_fact_csv_quarantine")
+
+
+def test_exchanges_are_dropped_with_their_write(spark, tmp_path):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        return {x for x in manager.getAllBlocks().mkString("\n").split("\n") if x.startswith("shuffle_")}
+
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", held()
+    was = spark.conf.get(key, None)
+    spark.range(1000).repartition(7, "id").write.parquet(f"{tmp_path}/kept")
+    assert held() - before
+    before = held()
+    with exchanges_dropped(spark):
+        spark.range(1000).repartition(7, "id").write.parquet(f"{tmp_path}/dropped")
+    until = time.time() + 20
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before and spark.conf.get(key, None) == was
+    assert spark.read.parquet(f"{tmp_path}/dropped").count() == 1000
+    with pytest.raises(RuntimeError), exchanges_dropped(spark):
+        raise RuntimeError
+    assert spark.conf.get(key, None) == was

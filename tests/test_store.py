@@ -15,7 +15,7 @@ from statbank.operators import dataset, facets, metadata, series
 from statbank.operators.resolve import resolve_ids
 from statbank.plans import explore
 from statbank.plans.store import lay_out, with_series
-from statbank.session import literal_table, small_side, workspace
+from statbank.session import COLUMN_BYTES, ROW_BYTES, literal_table, plan_bytes, row_bytes, small_side, workspace
 from statbank.sinks import datasets, layout
 from statbank.sinks.index import read_key_index
 from statbank.sinks.series_table import series_rows
@@ -439,6 +439,23 @@ def test_broadcast_only_within_the_limit(spark):
     assert "BroadcastHashJoin" in plan(spark.range(10).join(small_side(side), "id"))
     assert small_side(side, limit=10) is side
 
+
+def test_a_side_is_small_by_its_rows(spark, tmp_path):
+    """Sorted numbers and repeated texts: a small file, and rows of many times that."""
+    side = spark.range(0, 100_000, 1, 4).selectExpr("id", "CAST(id DIV 50 AS int) AS block", "repeat('name ', 20) AS name")
+    side.write.option("compression", "zstd").parquet(f"{tmp_path}/side")
+    side, rows = spark.read.parquet(f"{tmp_path}/side"), spark.range(10)
+    few = 100_000 * (ROW_BYTES + 3 * COLUMN_BYTES + 100) - 1
+    assert row_bytes(side) == few + 1 > 5 * plan_bytes(side)
+    assert "BroadcastHashJoin" in plan(rows.join(small_side(side, unpacked=few + 1), "id"))
+    # Neither by the hint nor by Spark's own threshold, which only knows the estimate.
+    assert "BroadcastHashJoin" not in plan(rows.join(small_side(side, unpacked=few), "id", "left"))
+    assert "BroadcastHashJoin" not in plan(side.join(small_side(side, limit=10, unpacked=few), "id"))
+    assert small_side(side, limit=10, unpacked=few + 1) is side
+    odd = spark.createDataFrame([(None, None, None), ("ab", ["x", "y"], 1)], "a string, `b.c` array<string>, d int")
+    assert row_bytes(odd) > 2 * (ROW_BYTES + 3 * COLUMN_BYTES) + 2 and row_bytes(odd.limit(0)) == 0
+
+
 def test_a_whole_selection_is_not_cut(spark, store, tmp_path):
     ids = store.facts.select("variable_id").distinct()
     many = Selection(levels=(1, 2), limit=None).add(spark.range(5000).select(F.col("id").cast("int").alias("variable_id")))
@@ -466,6 +483,21 @@ def test_wide_blocks_have_a_bounded_plan(spark):
     assert cells == {str(i): i + 0.5 for i in range(n) if i != 5}
 
 
+def test_wide_blocks_meet_their_headings_by_block(spark):
+    """Headings are as many as variables, so they are not broadcast, and facts are exchanged once, narrow."""
+    n = 2 * dataset.COLUMNS + 9
+    facts = spark.range(3 * n).selectExpr(f"CAST(id % {n} AS int) AS variable_id", f"concat('u', id DIV {n}) AS unitId", "'U' AS unitName", "CAST(1 AS tinyint) AS unitLevel", "CAST(2000 AS smallint) AS year", "IF(id = 5, NULL, id + 0.5D) AS value")
+    codebook = spark.range(2 * n).selectExpr("CAST(id AS int) AS variable_id", "concat('n', id % 70) AS variable_full_name")
+    cells = dataset.block_cells(*dataset.wide_blocks(facts, codebook, key="variable_id"))
+    found = plan(cells)
+    assert "ShuffledHashJoin [block" in found and not [x for x in found.splitlines() if "HashedRelationBroadcastMode" in x and "lane" in x]
+    assert [x for x in found.splitlines() if "Exchange hashpartitioning(block" in x and "lane" not in x] and "Exchange hashpartitioning(unitId" not in found
+    got = {(r.unitId, r.indicator): r.value for r in cells.collect()}
+    assert got == {(f"u{i // n}", str(i % n)): i + 0.5 for i in range(3 * n) if i != 5}
+    by_name = dataset.block_cells(*dataset.wide_blocks(facts, codebook)).collect()
+    assert {(r.unitId, r.indicator): r.value for r in by_name} == {(f"u{u}", f"n{k}"): u * n + k + 0.5 for u in range(3) for k in range(70) if (u, k) != (0, 5)}
+
+
 def test_datasets_are_compressed_in_order(spark, tables, tmp_path):
     data = dataset.long(tables.facts_at([1]), tables.codebook)
     datasets.write_dataset(data, f"{tmp_path}/d")

@@ -11,6 +11,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from catalog import sources
 from catalog.registry import QUERIES as OWN
+from statbank import session
 from statbank.session import exchanges_dropped
 from statbank.sinks import layout
 from tests.conftest import FOLDER
@@ -151,3 +152,15 @@ def test_exchanges_are_dropped_with_their_write(spark, tmp_path):
     with pytest.raises(RuntimeError), exchanges_dropped(spark):
         raise RuntimeError
     assert spark.conf.get(key, None) == was
+
+
+def test_labels_of_many_variables_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """export_store with a codebook of which only the file is small."""
+    duck = _own_tables(spark, str(tmp_path), 70)
+    frame = QUERIES["export_store"](spark, str(tmp_path))
+    assert "BroadcastHashJoin" in frame._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(session, "UNPACKING", 10**9, raising=False)
+    monkeypatch.setattr(session, "row_bytes", lambda _: 10**12, raising=False)
+    frame = QUERIES["export_store"](spark, str(tmp_path))
+    assert "BroadcastHashJoin" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert _matches(frame, duck, "export_store")
